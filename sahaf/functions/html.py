@@ -137,12 +137,8 @@ def html_to_markdown(df: DataFrame, html_col: str = "html", out_col: str = "mark
     The steps are separate columns so that each is computed once per row.
     """
     text = apply_rules(F.col(html_col), LEADING_RULES)
-    lists = F.when(
-        F.size("_pieces") == 1, F.get("_pieces", F.lit(0))
-    ).otherwise(
-        F.array_join(
-            F.transform("_pieces", lambda piece, i: _list_piece(piece, F.get("_stacks", i + 1))), ""
-        )
+    lists = F.array_join(
+        F.transform("_pieces", lambda piece, i: _list_piece(piece, F.get("_stacks", i + 1))), ""
     )
     tables = F.when(F.size("_rows") == 1, F.get("_rows", F.lit(0))).otherwise(
         F.array_join(F.transform("_rows", _table_row), "")

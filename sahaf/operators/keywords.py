@@ -62,10 +62,8 @@ def keyword_tokens(docs: DataFrame) -> DataFrame:
 def term_statistics(tokens: DataFrame) -> DataFrame:
     """Counts per (doc_id, stem), with the places the stem occurs at."""
     surface = F.col("surface")
-    head = F.substring(surface, 1, 1)
-    letter = surface.rlike(r"^\p{L}")
-    acronym = letter & (F.upper(surface) == surface) & (F.length(surface) >= 2)
-    capital = letter & (F.upper(head) == head) & ~acronym
+    acronym = surface.rlike(r"^\p{Lu}{2,}$")
+    capital = surface.rlike(r"^\p{Lu}") & ~acronym
     start = (F.col("chunk") == 0) & (F.col("pos") == 0)
     grouped = tokens.groupBy("doc_id", "stem").agg(
         F.count_if(capital & ~start).alias("tf_capital"),

@@ -95,7 +95,7 @@ def summary_report(docs: DataFrame, dim: int = 1024, sentences: int = 3, slots:
     """
     model = fit_terms(docs)
     own = embed_documents(docs, dim, model)
-    short = summarize(docs, sentences, model).withColumnRenamed("summary", "text")
+    short = summarize(docs, sentences).withColumnRenamed("summary", "text")
     summaries = embed_texts(short, model, dim).withColumnRenamed("vec", "summary_vec")
     pairs = control_pairs(docs, slots)
     others = pairs.select(F.col("other_id")).distinct()  # at most 2 * (slots + 1) rows

@@ -1,0 +1,14 @@
+"""Queries that run the operators over whole tables."""
+
+from __future__ import annotations
+
+from sahaf.plans import retrieval, tables, texts  # noqa: F401  (they register queries)
+from sahaf.plans.registry import QUERIES, SQL
+
+
+def all_queries():
+    return dict(QUERIES)
+
+
+def all_sql() -> dict[str, str]:
+    return dict(SQL)
