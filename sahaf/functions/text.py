@@ -93,15 +93,24 @@ def is_stop_word(word: Column, lang: Column) -> Column:
     return listed | (F.length(word) < 3)
 
 
-def ngrams(items: Column, least: int = 2, most: int = 5) -> Column:
-    """All runs of ``least`` to ``most`` neighbouring array entries, shortest first."""
-    def runs(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.size(items) - (n - 1))
-        return F.when(
-            F.size(items) >= n, F.transform(starts, lambda i: F.slice(items, i, n))
-        ).otherwise(F.slice(F.array(items), 1, 0))
-
-    return F.concat(*[runs(n) for n in range(least, most + 1)])
+def neighbours(items: Column, most: int = 5) -> Column:
+    """Array of structs ``w0 .. w<most-1>``: every entry with the entries after it."""
+    return F.arrays_zip(*[F.slice(items, i + 1, F.size(items)).alias(f"w{i}") for i in range(most)])
+
+
+def ngrams(row: Column, least: int = 2, most: int = 5) -> Column:
+    """The n-grams that start at one row of :func:`neighbours`, as (n, gram) structs."""
+    runs = [
+        F.when(
+            row[f"w{n - 1}"].isNotNull(),
+            F.struct(
+                F.lit(n).alias("n"),
+                F.concat_ws(" ", *[row[f"w{i}"] for i in range(n)]).alias("gram"),
+            ),
+        )
+        for n in range(least, most + 1)
+    ]
+    return F.array_compact(F.array(*runs))
 
 
 def preview(text: Column, length: int = 500) -> Column:

@@ -43,6 +43,19 @@ def term_positions(docs: DataFrame, mode: str = "unicode") -> DataFrame:
     return places.withColumn("tf", F.size("sents"))
 
 
+def ngram_counts(docs: DataFrame, least: int = 2, most: int = 5, mode: str = "unicode") -> DataFrame:
+    """(doc_id, n, gram, count).
+
+    The texts are shuffled by ``doc_id`` instead of their n-grams, which take more than
+    ten times the space; the counting then needs no further shuffle.
+    """
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = docs.repartition(parts, "doc_id").select("doc_id", T.words(F.col("text"), mode).alias("w"))
+    rows = words.select("doc_id", F.explode_outer(T.neighbours(F.col("w"), most)).alias("row"))
+    grams = rows.select("doc_id", F.explode(T.ngrams(F.col("row"), least, most)).alias("g"))
+    return grams.groupBy("doc_id", "g.n", "g.gram").agg(F.count(F.lit(1)).alias("count"))
+
+
 @dataclass
 class TermModel:
     """Document frequencies of a corpus: ``table(term, df, idf)`` and its size."""

@@ -236,12 +236,12 @@ def pca(spark, folder):
 
 @query(
     "mean_pool",
-    """SELECT label, pos, round(avg(x), 6) AS value FROM
+    """SELECT label, pos, round(avg(x), 6) + 0.0 AS value FROM
       (SELECT label, unnest(embedding::DOUBLE[]) AS x, (generate_subscripts(embedding, 1) - 1)::INT AS pos FROM embeddings)
     GROUP BY ALL""",
 )
 def mean_pool_labels(spark, folder):
     pooled = mean_pool(corpus(spark, folder), ["label"])
     return pooled.select("label", F.posexplode("vec").alias("pos", "x")).select(
-        "label", "pos", F.round("x", 6).alias("value")
+        "label", "pos", (F.round("x", 6) + F.lit(0.0)).alias("value")
     )

@@ -13,7 +13,7 @@ from sahaf.operators.keywords import as_annotations, corpus_keywords, extract_ke
 from sahaf.operators.nearest import top_k
 from sahaf.operators.reduce import word2vec_documents
 from sahaf.operators.summarize import summarize, summary_report
-from sahaf.operators.terms import fit_hashed_tfidf, fit_terms, term_counts, tfidf, tfidf_search
+from sahaf.operators.terms import fit_hashed_tfidf, fit_terms, ngram_counts, term_counts, tfidf, tfidf_search
 from sahaf.plans.registry import java_lower_words, query, quoted, replace_all, table
 from sahaf.sources.files import convert_envelopes
 
@@ -143,21 +143,20 @@ def stems(spark, folder):
 @query(
     "keyword_ngrams",
     f"""WITH w AS (SELECT doc_id, {words_sql("text")} AS w FROM documents),
-    runs AS (SELECT doc_id, n, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i + n - 1], ' '))) AS gram
-      FROM w, (SELECT unnest([2, 3, 4, 5]) AS n)),
+    p AS (SELECT doc_id, unnest(w) AS w0, generate_subscripts(w, 1) AS pos FROM w),
+    l AS (SELECT doc_id, w0, {", ".join(f"lead(w0, {i}) OVER o AS w{i}" for i in range(1, 5))}
+      FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY pos)),
+    runs AS ({" UNION ALL ".join(
+        f"SELECT doc_id, {n} AS n, concat_ws(' ', {', '.join(f'w{i}' for i in range(n))}) AS gram FROM l WHERE w{n - 1} IS NOT NULL"
+        for n in range(2, 6))}),
     counted AS (SELECT doc_id, n, gram, count(*) AS c FROM runs GROUP BY ALL)
     SELECT doc_id, n::INT AS n, sum(c)::BIGINT AS grams, count(*) AS distinct_grams, max(c) AS most FROM counted GROUP BY doc_id, n""",
 )
 def keyword_ngrams(spark, folder):
     """Word n-grams of 2 to 5 words, counted per document."""
-    words = documents(spark, folder).select("doc_id", T.words(F.col("text"), "unicode").alias("w"))
-    runs = words.select("doc_id", F.explode(T.ngrams(F.col("w"), 2, 5)).alias("g"))
-    counted = (
-        runs.groupBy("doc_id", F.size("g").alias("n"), F.array_join("g", " ").alias("gram"))
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
+    counted = ngram_counts(documents(spark, folder))
     return counted.groupBy("doc_id", "n").agg(
-        F.sum("c").alias("grams"), F.count(F.lit(1)).alias("distinct_grams"), F.max("c").alias("most")
+        F.sum("count").alias("grams"), F.count(F.lit(1)).alias("distinct_grams"), F.max("count").alias("most")
     )
 
 
@@ -239,12 +238,12 @@ def embedded_sql(name: str, docs: str, weights: str) -> str:
 @query(
     "embed_documents",
     f"""WITH {COUNTS}, {embedded_sql("embedded", "documents", "weights")}
-    SELECT doc_id, (generate_subscripts(vec, 1) - 1)::INT AS pos, round(unnest(vec), 6) AS value FROM embedded""",
+    SELECT doc_id, (generate_subscripts(vec, 1) - 1)::INT AS pos, round(unnest(vec), 6) + 0.0 AS value FROM embedded""",
 )
 def embed(spark, folder):
     return embed_documents(documents(spark, folder), DIM).select(
         "doc_id", F.posexplode("vec").alias("pos", "x")
-    ).select("doc_id", "pos", F.round(F.col("x").cast("double"), 6).alias("value"))
+    ).select("doc_id", "pos", (F.round(F.col("x").cast("double"), 6) + F.lit(0.0)).alias("value"))
 
 
 @query(

@@ -70,6 +70,16 @@ def read_markdown(spark: SparkSession, path: str) -> DataFrame:
     return with_file(files).select("doc_id", F.col("value").alias("text"))
 
 
+def spread(files: DataFrame) -> DataFrame:
+    """Rows of a file scan over all cores when the scan has fewer splits than cores.
+
+    A Parquet file with one row group is one split, and text work on it would run in
+    one task. A table with enough splits is returned as it is.
+    """
+    cores = files.sparkSession.sparkContext.defaultParallelism
+    return files.repartition(cores) if files.rdd.getNumPartitions() < cores else files
+
+
 def list_files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
     """Paths with a suffix, in order: (doc_id, file)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(path)
