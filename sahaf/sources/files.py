@@ -65,7 +65,7 @@ def write_markdown_files(converted: DataFrame, path: str) -> None:
 
 
 def read_markdown(spark: SparkSession, path: str) -> DataFrame:
-    """Whole Markdown files: (doc_id, text)."""
+    """Whole Markdown files: (doc_id, text). Spark skips files of zero bytes."""
     files = spark.read.option("pathGlobFilter", "*.md").text(path, wholetext=True)
     return with_file(files).select("doc_id", F.col("value").alias("text"))
 
