@@ -1 +1,48 @@
-"""Document preparation, vector collections and similarity search on Spark."""
+"""Document preparation, vector collections and similarity search on Spark.
+
+All functions take and return DataFrames, so steps compose with ``df.transform``.
+"""
+
+from sahaf.functions.html import html_to_markdown
+from sahaf.operators.embed import embed_documents, embed_texts, embed_with
+from sahaf.operators.ivf import ivf_search, read_ivf, train_centroids, write_ivf
+from sahaf.operators.keywords import corpus_keywords, extract_keywords
+from sahaf.operators.lsh import fit_lsh, lsh_search
+from sahaf.operators.nearest import recall_at_k, top_k
+from sahaf.operators.search import extract_law_refs, render_hits, search
+from sahaf.operators.summarize import summarize, summary_report
+from sahaf.operators.terms import tfidf, tfidf_search
+from sahaf.session import get_session
+from sahaf.sources.collection import append, create_collection, delete_where
+from sahaf.sources.files import convert_envelopes, read_envelopes, read_markdown
+
+__all__ = [
+    "append",
+    "convert_envelopes",
+    "corpus_keywords",
+    "create_collection",
+    "delete_where",
+    "embed_documents",
+    "embed_texts",
+    "embed_with",
+    "extract_keywords",
+    "extract_law_refs",
+    "fit_lsh",
+    "get_session",
+    "html_to_markdown",
+    "ivf_search",
+    "lsh_search",
+    "read_envelopes",
+    "read_ivf",
+    "read_markdown",
+    "recall_at_k",
+    "render_hits",
+    "search",
+    "summarize",
+    "summary_report",
+    "tfidf",
+    "tfidf_search",
+    "top_k",
+    "train_centroids",
+    "write_ivf",
+]

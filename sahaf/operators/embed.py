@@ -26,6 +26,8 @@ def sign(term: Column) -> Column:
 
 def _project(docs: DataFrame, weighted: DataFrame, dim: int) -> DataFrame:
     """Unit vectors of ``docs`` from (doc_id, pos, value) contributions."""
+    # One shuffle by document serves both groupings.
+    weighted = weighted.select("doc_id", "pos", "value").repartition("doc_id")
     parts = weighted.groupBy("doc_id", "pos").agg(F.sum("value").alias("value"))
     entries = parts.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("e"))
     dense = entries.select("doc_id", V.dense_from_entries(F.col("e"), dim).alias("dense"))
@@ -36,13 +38,16 @@ def _project(docs: DataFrame, weighted: DataFrame, dim: int) -> DataFrame:
     )
 
 
-def embed_documents(docs: DataFrame, dim: int = 1024, model: TermModel | None = None) -> DataFrame:
+def embed_documents(
+    docs: DataFrame, dim: int = 1024, model: TermModel | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """(doc_id, vec array<float>) for the corpus, one unit vector per document.
 
     Every term adds its signed TF-IDF weight to one hashed component. Hashes are taken
-    once per distinct term. A document without words gets the zero vector.
+    once per distinct term. A document without words gets the zero vector. Pass
+    ``counts`` (and their ``model``) when they are already at hand.
     """
-    counts = term_counts(docs)
+    counts = term_counts(docs) if counts is None else counts
     model = model or fit_terms(docs, counts)
     hashed = TermModel(
         model.table.withColumn("pos", bucket(F.col("term"), dim)).withColumn("sign", sign(F.col("term"))),

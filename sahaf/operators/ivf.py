@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sahaf.operators.nearest import bounded_table, top_k, unit_rows, vector_matrix
+from sahaf.session import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -123,9 +124,11 @@ def ivf_search(
     The probed cells become a literal filter on the partition column, so only their
     folders are read.
     """
-    probes = queries.withColumn(
-        "query_cells", nearest_cells(F.col("query_vec").cast("array<double>"), centroids, nprobe, cell_metric)
+    vec = F.col("query_vec").cast("array<double>")
+    probes = queries.select(
+        "query_id", "query_vec", nearest_cells(vec, centroids, nprobe, cell_metric).alias("query_cells")
     )
+    probes = staged(probes, "probes")  # read for the cells and again for the scores
     probed = [r[0] for r in probes.select(F.explode("query_cells")).distinct().collect()]  # <= nlist
     corpus = index.where(F.col("cell").isin(probed)).withColumn(
         "cells", F.array(F.col("cell").cast("bigint"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from sahaf.functions import text as T
 from sahaf.functions import vectors as V
 from sahaf.operators.embed import embed_documents, embed_texts
-from sahaf.operators.terms import TermModel, fit_terms, term_positions, weigh
+from sahaf.operators.terms import TermModel, fit_terms, term_counts, term_positions, weigh
+from sahaf.session import staged
 
 
 def summarize(docs: DataFrame, sentences: int = 3, model: TermModel | None = None) -> DataFrame:
@@ -22,6 +23,8 @@ def summarize(docs: DataFrame, sentences: int = 3, model: TermModel | None = Non
     model = model or fit_terms(docs, counts)
     scores = (
         weigh(counts, model)
+        .select("doc_id", "sents", "weight")
+        .repartition("doc_id")  # serves the mean, the ranking and the collection below
         .select("doc_id", F.explode("sents").alias("sent"), "weight")
         .groupBy("doc_id", "sent")
         .agg(F.round(F.avg("weight"), 10).alias("score"))
@@ -93,8 +96,9 @@ def summary_report(docs: DataFrame, dim: int = 1024, sentences: int = 3, slots:
     """(doc_id, cos_summary, cos_other): every document against its summary and
     against a document of another language.
     """
-    model = fit_terms(docs)
-    own = embed_documents(docs, dim, model)
+    counts = staged(term_counts(docs), "counts")
+    model = fit_terms(docs, counts).kept()
+    own = staged(embed_documents(docs, dim, model, counts), "vectors")  # joined on both sides
     short = summarize(docs, sentences).withColumnRenamed("summary", "text")
     summaries = embed_texts(short, model, dim).withColumnRenamed("vec", "summary_vec")
     pairs = control_pairs(docs, slots)

@@ -21,6 +21,7 @@ from sahaf.functions import text as T
 from sahaf.operators import nearest
 from sahaf.operators.nearest import MAX_QUERY_ROWS, SCORE_CELLS, QueryBlock, TopK
 from sahaf.operators.skew import join_frequent_first
+from sahaf.session import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -68,13 +69,18 @@ class TermModel:
         """Weight of a term that no document has."""
         return F.log(self.documents + 1)
 
+    def kept(self) -> TermModel:
+        """The model with its table written to the scratch folder, for use in several jobs."""
+        return TermModel(staged(self.table, "terms"), self.documents)
+
 
 def fit_terms(docs: DataFrame, counts: DataFrame | None = None) -> TermModel:
     """Inverse document frequencies. Pass ``counts`` when they are used again."""
     counts = term_counts(docs) if counts is None else counts
     n = docs.agg(F.count(F.lit(1)).alias("n")).scalar()
     # Reading ``tf`` keeps this branch on the same shuffle as the counts themselves.
-    df = counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+    # The filter is stated because joins would add it to some branches only.
+    df = counts.where("term IS NOT NULL").groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     return TermModel(df.withColumn("idf", F.log((n + 1) / (F.col("df") + 1))), n)
 
 
@@ -225,8 +231,10 @@ def tfidf_search(
     ``queries`` has ``query_id, text``. Weights are fitted on ``docs``. A document
     without a word of the query scores zero and is not returned.
     """
-    counts = term_counts(docs, mode)
-    model = fit_terms(docs, counts)
+    # The query weights are needed before the corpus is scored; staging the counts keeps
+    # the corpus from being tokenised for each of the two jobs.
+    counts = staged(term_counts(docs, mode), "counts")
+    model = fit_terms(docs, counts).kept()
     asked = term_counts(queries.select(F.col("query_id").alias("doc_id"), "text"), mode)
     wanted = asked.select("term").distinct().withColumn("asked", F.lit(True))
     marked = TermModel(model.table.join(wanted, "term", "left"), model.documents)

@@ -16,6 +16,7 @@ from sahaf.operators.nearest import recall_at_k, score_moments, top_k
 from sahaf.operators.pooling import mean_pool
 from sahaf.operators.reduce import pca_reduce
 from sahaf.plans.registry import query, table
+from sahaf.session import staged
 
 K = 5
 NPROBE = 3
@@ -188,7 +189,7 @@ def ivf_assign(spark, folder):
 )
 def ivf_search_topk(spark, folder):
     vectors = corpus(spark, folder)
-    centroids = cells(vectors)
+    centroids = staged(cells(vectors), "cells")
     return hits(ivf_search(assign_cells(vectors, centroids), prototypes(vectors), centroids, K, NPROBE))
 
 
@@ -202,7 +203,7 @@ def ivf_search_topk(spark, folder):
 )
 def ann_recall(spark, folder):
     vectors = corpus(spark, folder)
-    centroids, asked = cells(vectors), prototypes(vectors)
+    centroids, asked = staged(cells(vectors), "cells"), staged(prototypes(vectors), "prototypes")
     found = ivf_search(assign_cells(vectors, centroids), asked, centroids, K, NPROBE)
     return recall_at_k(found, top_k(vectors, asked, K, "ip")).select("query_id", F.round("recall", 6).alias("recall"))
 

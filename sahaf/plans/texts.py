@@ -15,6 +15,7 @@ from sahaf.operators.reduce import word2vec_documents
 from sahaf.operators.summarize import summarize, summary_report
 from sahaf.operators.terms import fit_hashed_tfidf, fit_terms, ngram_counts, term_counts, tfidf, tfidf_search
 from sahaf.plans.registry import java_lower_words, query, quoted, replace_all, table
+from sahaf.session import staged
 from sahaf.sources.files import convert_envelopes
 
 DIM = 64
@@ -262,8 +263,9 @@ def semantic_search(spark, folder):
     """Embed texts and documents alike, search by inner product, join the text last."""
     docs = documents(spark, folder)
     asked = table(spark, folder, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
-    model = fit_terms(docs)
-    corpus = embed_documents(docs, DIM).withColumnRenamed("doc_id", "id")
+    counts = staged(term_counts(docs), "counts")
+    model = fit_terms(docs, counts).kept()
+    corpus = embed_documents(docs, DIM, model, counts).withColumnRenamed("doc_id", "id")
     queries = embed_texts(asked, model, DIM).toDF("query_id", "query_vec")
     found = top_k(corpus, queries, 5, "ip").withColumnRenamed("id", "doc_id")
     return found.join(docs, "doc_id").select(

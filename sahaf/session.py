@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_session(app: str = "sahaf", master: str | None = None, **conf: str) -> SparkSession:
@@ -41,3 +42,14 @@ def scratch_dir(spark: SparkSession) -> str:
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(os.path.join(named, "rdd"))
     return named
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared scratch folder and return a scan of what was written.
+
+    For results that several jobs read: computed once, and safe when an executor is
+    lost. The files stay until the scratch folder is cleared.
+    """
+    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +9,7 @@ from pyspark.sql.types import ArrayType, FloatType, StringType, StructField, Str
 
 from sahaf.functions import vectors as V
 from sahaf.operators.skew import join_frequent_first
-from sahaf.session import scratch_dir
+from sahaf.session import staged
 from sahaf.sources.rowjson import read_row_json
 
 # Limits of the collection's columns.
@@ -46,6 +45,14 @@ def load_collection(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def read_segments(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """One frame over the files of several segments, matched by column name."""
+    out = spark.read.parquet(paths[0])
+    for path in paths[1:]:
+        out = out.unionByName(spark.read.parquet(path), allowMissingColumns=True)
+    return out
+
+
 def scan(source: DataFrame, predicate: Column | str | None = None, columns: list[str] | None = None) -> DataFrame:
     """Rows matching a predicate, with the wanted columns only."""
     out = source if predicate is None else source.where(predicate)
@@ -89,15 +96,13 @@ def append(rows: DataFrame, name: str, dim: int = DIM, normalize: bool = True) -
     appends nothing.
     """
     spark = rows.sparkSession
-    stage = f"{scratch_dir(spark)}/append-{uuid.uuid4().hex}"
-    rows.select("id", "text", "vec").write.parquet(f"{stage}/rows")
-    staged = spark.read.parquet(f"{stage}/rows")
-    checked = check_contract(staged, dim, spark.table(name))
+    fresh = staged(rows.select("id", "text", "vec"), "append")
+    checked = check_contract(fresh, dim, spark.table(name))
     # Written before the insert: afterwards the good ids would count as existing.
-    checked.where("reason IS NOT NULL").write.parquet(f"{stage}/rejected")
+    rejected = staged(checked.where("reason IS NOT NULL"), "rejected")
     vec = V.to_float(V.normalize(F.col("vec"))) if normalize else V.to_float(F.col("vec"))
     checked.where("reason IS NULL").select("id", "text", vec.alias("vec")).write.mode("append").insertInto(name)
-    return spark.read.parquet(f"{stage}/rejected")
+    return rejected
 
 
 def bulk_insert(spark: SparkSession, path: str, name: str, fmt: str = "parquet", dim: int = DIM) -> DataFrame:
