@@ -6,8 +6,8 @@ most ``k * queries`` rows and the corpus itself is never shuffled. A window with
 ``row_number() <= k`` then merges the tasks' hits.
 
 The query matrix is broadcast only after it was found to be within
-``broadcast_bytes``. A larger query set takes the block plan: both sides are cut
-into hashed blocks, every block pair is one co-group of bounded size, and the same
+``broadcast_bytes``. A query set of a few times that size is sliced, one scan per slice.
+A larger one takes the block plan: both sides are cut into hashed blocks, every block pair is one co-group of bounded size, and the same
 kernel runs on each pair.
 
 ``cells`` restricts which pairs are scored (inverted file, hash buckets): a corpus
@@ -30,6 +30,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from sahaf.session import staged
+
 # Executors need numpy and pyarrow only: the kernel travels with the task.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -37,6 +39,7 @@ METRICS = ("ip", "cosine", "l2")
 SCORE_CELLS = 4_000_000  # scores held at once by one task
 RESCORE_VALUES = 4_000_000  # vector components gathered at once when rescoring
 MAX_QUERY_ROWS = 8_192  # 64 MB of 1024-d doubles
+MAX_SLICES = 16
 
 
 @dataclass
@@ -205,6 +208,28 @@ def bounded_table(df: DataFrame, max_rows: int, max_bytes: int) -> pa.Table | No
     return table
 
 
+def query_tables(queries: DataFrame, max_rows: int, max_bytes: int) -> list[pa.Table] | None:
+    """The queries as tables that are each within the bounds, or None.
+
+    One table when all fit, else up to ``MAX_SLICES`` hashed slices. Every slice costs
+    a scan of the corpus, which is less than moving the corpus through a shuffle.
+    """
+    whole = bounded_table(queries, max_rows, max_bytes)
+    if whole is not None:
+        return [whole]
+    queries = staged(queries, "queries")
+    slices = -(-2 * queries.count() // max_rows)
+    if slices > MAX_SLICES:
+        return None
+    tables = []
+    for i in range(slices):
+        part = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == i)
+        tables.append(bounded_table(part, max_rows, max_bytes))
+        if tables[-1] is None:
+            return None
+    return tables
+
+
 def top_k(
     corpus: DataFrame,
     queries: DataFrame,
@@ -213,6 +238,7 @@ def top_k(
     *,
     cells: bool = False,
     broadcast_bytes: int = 64 << 20,
+    broadcast_rows: int = MAX_QUERY_ROWS,
     block_rows: int = 20_000,
 ) -> DataFrame:
     """``k`` nearest corpus rows of every query: (query_id, rank, id, score).
@@ -228,9 +254,12 @@ def top_k(
     queries = queries.select(
         "query_id", "query_vec", *(["query_cells"] if cells else [])
     ).where("query_vec IS NOT NULL")
-    table = bounded_table(queries, MAX_QUERY_ROWS, broadcast_bytes)
-    if table is not None:
-        hits = _scan_against(corpus, queries, query_block(table, metric, cells), k, metric, cells)
+    tables = query_tables(queries, broadcast_rows, broadcast_bytes)
+    if tables is not None:
+        hits = None
+        for table in tables:
+            found = _scan_against(corpus, queries, query_block(table, metric, cells), k, metric, cells)
+            hits = found if hits is None else hits.unionByName(found)
     else:
         ddl, schema = _hits(corpus, queries)
 
@@ -276,10 +305,6 @@ def _scan_against(corpus, queries, block, k, metric, celled) -> DataFrame:
     return corpus.mapInArrow(scan, ddl)
 
 
-def _copies(n: int) -> Column:
-    return F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-
-
 def _block_pairs(corpus, queries, celled, block_rows, pair, ddl) -> DataFrame:
     """Run ``pair`` on every block of the corpus with every block of the queries.
 
@@ -292,21 +317,23 @@ def _block_pairs(corpus, queries, celled, block_rows, pair, ddl) -> DataFrame:
     else:
         corpus, queries = corpus.withColumn("cell", F.lit(0)), queries.withColumn("cell", F.lit(0))
 
-    def blocks(df: DataFrame) -> int:
-        largest = df.groupBy("cell").count().agg(F.max("count")).first()[0] or 0
-        return max(1, -(-largest // block_rows))
+    def crowded(df: DataFrame, name: str) -> DataFrame:
+        """Blocks of the cells with more than one; at most rows / block_rows entries."""
+        count = df.groupBy("cell").count().where(F.col("count") > block_rows)
+        return F.broadcast(count.select("cell", F.ceil(F.col("count") / block_rows).alias(name)))
 
-    left_blocks, right_blocks = blocks(corpus), blocks(queries)
-    left = corpus.select(
-        "*",
-        F.pmod(F.xxhash64("id"), F.lit(left_blocks)).alias("lb"),
-        _copies(right_blocks).alias("rb"),
-    )
-    right = queries.select(
-        "*",
-        F.pmod(F.xxhash64("query_id"), F.lit(right_blocks)).alias("rb"),
-        _copies(left_blocks).alias("lb"),
-    )
+    left_cells, right_cells = crowded(corpus, "lbs"), crowded(queries, "rbs")
+
+    def cut(df: DataFrame, id_col: str, own: str, other: str) -> DataFrame:
+        blocks = lambda side: F.coalesce(f"{side}s", F.lit(1).cast("bigint"))
+        sized = df.join(left_cells, "cell", "left").join(right_cells, "cell", "left")
+        return sized.select(
+            *df.columns,
+            F.pmod(F.xxhash64(id_col), blocks(own)).alias(own),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), blocks(other) - 1)).alias(other),
+        )
+
+    left, right = cut(corpus, "id", "lb", "rb"), cut(queries, "query_id", "rb", "lb")
     keys = ["cell", "lb", "rb"]
     return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(pair, ddl)
 

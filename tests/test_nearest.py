@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sahaf.operators.ivf import assign_cells, ivf_search, nearest_cells, read_ivf, train_centroids, write_ivf
 from sahaf.operators.lsh import approx_neighbors, fit_lsh, lsh_search
 from sahaf.operators.nearest import recall_at_k, score_moments, top_k
+from sahaf.operators.search import render_hits, search
 from sahaf.operators.reduce import bounded_vocabulary, pca_reduce, word2vec_documents
 
 DIM = 8
@@ -57,7 +58,7 @@ def rows(df):
 
 
 @pytest.mark.parametrize("metric", ["ip", "cosine", "l2"])
-@pytest.mark.parametrize("options", [{}, SMALL], ids=["broadcast", "blocks"])
+@pytest.mark.parametrize("options", [{}, {"broadcast_rows": 3}, SMALL], ids=["broadcast", "slices", "blocks"])
 def test_exact_search_equals_brute_force(frames, data, metric, options):
     assert rows(top_k(*frames, 7, metric, **options)) == brute(data, 7, metric)
 
@@ -171,3 +172,18 @@ def test_word2vec_and_bounded_vocabulary(spark):
     assert got[1][:3] == ["a", "b", "a"] and got[1][3].startswith("\x01")
     assert {i: len(w) for i, w in got.items()} == {1: 4, 2: 5, 3: 3}
     assert len({w for ws in got.values() for w in ws}) <= 4
+
+
+def test_search_entry_point_and_rendering(spark, frames):
+    c, q = frames
+    exact = search(q, c, "cosine", 3)
+    assert rows(exact) == rows(top_k(c, q, 3, "cosine"))
+    centroids = train_centroids(c, nlist=4)
+    index = assign_cells(c, centroids)
+    assert rows(search(q, index, k=3, method="ivf", centroids=centroids, nprobe=4)) == rows(top_k(c, q, 3))
+    assert search(q, c, k=3, method="lsh").count() > 0
+    with pytest.raises(ValueError):
+        search(q, c, method="other")
+    docs = c.select("id", F.concat(F.lit("text "), "id").alias("text"))
+    shown = render_hits(exact, docs, length=5).where("query_id = 0 AND rank = 1").first()
+    assert (shown.id, shown.score, shown.preview) == (50, "1.000", "text ...")
