@@ -258,7 +258,7 @@ def top_k(
     if tables is not None:
         hits = None
         for table in tables:
-            found = _scan_against(corpus, queries, query_block(table, metric, cells), k, metric, cells)
+            found = _scan_against(corpus, queries, table, k, metric, cells)
             hits = found if hits is None else hits.unionByName(found)
     else:
         ddl, schema = _hits(corpus, queries)
@@ -290,12 +290,13 @@ def best_hits(hits: DataFrame, k: int, descending: bool = True) -> DataFrame:
     )
 
 
-def _scan_against(corpus, queries, block, k, metric, celled) -> DataFrame:
+def _scan_against(corpus, queries, table, k, metric, celled) -> DataFrame:
     ddl, schema = _hits(corpus, queries)
-    shared = corpus.sparkSession.sparkContext.broadcast(block)
+    # A plain Arrow table: broadcast values of own classes would need the package there.
+    shared = corpus.sparkSession.sparkContext.broadcast(table)
 
     def scan(batches):
-        best = TopK(shared.value, k, metric)
+        best = TopK(query_block(shared.value, metric, celled), k, metric)
         for batch in batches:
             if batch.num_rows and len(best.queries.ids):
                 cells = cell_lists(batch.column("cells")) if celled else None
@@ -388,10 +389,10 @@ def score_moments(
     )
     table = bounded_table(queries, MAX_QUERY_ROWS, broadcast_bytes)
     if table is not None:
-        shared = corpus.sparkSession.sparkContext.broadcast(query_block(table, "ip", False))
+        shared = corpus.sparkSession.sparkContext.broadcast(table)
 
         def scan(batches):
-            moments = Moments(shared.value)
+            moments = Moments(query_block(shared.value, "ip", False))
             for batch in batches:
                 moments.add(vector_matrix(batch.column("vec")))
             yield from moments.result(schema).to_batches()
