@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+STAGED: list[str] = []
+
 
 def get_session(app: str = "sahaf", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators were measured with.
@@ -32,11 +35,15 @@ def get_session(app: str = "sahaf", master: str | None = None, **conf: str) -> S
 def scratch_dir(spark: SparkSession) -> str:
     """Folder for checkpoints and intermediate tables.
 
-    A cluster names a shared folder in ``spark.checkpoint.dir``. Only where that is
-    unset (tests, local runs) a fresh local folder is made and remembered.
+    A cluster names a shared folder in ``spark.checkpoint.dir``. Only a session in one
+    process (``local[*]``) may leave it unset: a fresh local folder is made then and
+    remembered. On a cluster each executor would write to a disk of its own, so there
+    an unset folder is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="sahaf-")
         spark.conf.set("spark.checkpoint.dir", named)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
@@ -48,8 +55,22 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared scratch folder and return a scan of what was written.
 
     For results that several jobs read: computed once, and safe when an executor is
-    lost. The files stay until the scratch folder is cleared.
+    lost. The files stay until ``release`` is called: frames made from them are lazy,
+    so only the caller knows when the last one has been read.
     """
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    STAGED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Delete every staged table of this process; returns how many there were.
+
+    Frames that read staged tables can't be evaluated afterwards.
+    """
+    count = len(STAGED)
+    while STAGED:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(STAGED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return count
