@@ -4,17 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sahaf.llm import fingerprints, hosts, mixing, sharding, warc
+from sahaf.llm import fingerprints, hosts, itq, mixing, ngram_join, packing, sharding, warc
 from sahaf.llm.frames import table
 from sahaf.llm.registry import query
 
 
-@query("op1_warc")
+OP1_SQL = """WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+  f AS (SELECT h, min(page_id) AS first FROM p GROUP BY h)
+SELECT page_id, n AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    (((('0x' || substr(h, (5 * (i // 4) + 1)::INT, 5))::BIGINT) >> (15 - 5 * (i % 4))::INT) & 31)::INT + 1, 1)), 'string_agg', '')
+    AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p JOIN f USING (h)"""
+
+
+@query("op1_warc", OP1_SQL)
 def op1_warc(spark, folder):
     rows = warc.archive_pages(table(spark, folder, "pages").select("page_id", "url", "html"))
     return rows.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def vocabulary() -> str:
+    """The vocabulary file of the box; ``packing`` takes its path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op2_pack")
+def op2_pack(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, vocabulary(), packing.LENGTH)
+
+
+OP4_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents),
+  s AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(
+    range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w),
+  e AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS t FROM s),
+  l AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.t = b.t AND a.doc_id < b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+  y AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+  r AS (SELECT doc_id AS d, doc_id AS c FROM s UNION SELECT y.a, r.c FROM r JOIN y ON y.b = r.d)
+SELECT doc_id, len(any_value(s)) AS n_shingles, min(c) AS component_id FROM r JOIN s ON doc_id = d GROUP BY doc_id"""
+
+
+@query("op4_ngram_join", OP4_SQL)
+def op4_ngram_join(spark, folder):
+    return ngram_join.similar_groups(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 #: Weights of the sources in turn, their share of all words, and how often a document may be taken.
 WEIGHTS, SHARE, EPOCHS = [5.0, 2.0, 1.0], 1.5, 2.0
 
@@ -31,6 +73,11 @@ def op7_fingerprints(spark, folder):
     return fingerprints.fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+@query("op8_itq")
+def op8_itq(spark, folder):
+    return itq.near_duplicates(table(spark, folder, "embeddings"), itq.MIN_COSINE)
+
+
 #: Rules of the url filter: fixed values.
 RULES = [
     ("allow", "org", "/"),
@@ -41,7 +88,56 @@ RULES = [
 ]
 
 
-@query("op9_hosts")
+def _sql_suffix(host: str, below: int) -> str:
+    """SQL for the last labels of a host: those of its suffix and ``below`` more."""
+    listed = ", ".join(f"'{x}'" for x in hosts.TWO_LABELS)
+    last = "array_to_string(string_split({h}, '.')[-{n}:], '.')".format
+    two = last(h=host, n=2)
+    return f"CASE WHEN {two} IN ({listed}) THEN {last(h=host, n=2 + below)} ELSE {last(h=host, n=1 + below)} END"
+
+
+def _sql_rules() -> tuple[str, str]:
+    ordered = sorted(RULES, key=lambda r: -len(r[1] + r[2]))
+    fits = [
+        f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN " for _, h, p in ordered
+    ]
+    texts = " ".join(f + f"'{h}{p}'" for f, (_, h, p) in zip(fits, ordered, strict=True))
+    verdicts = " ".join(f + f"'{v}'" for f, (v, _, _) in zip(fits, ordered, strict=True))
+    return f"CASE {texts} END", f"CASE {verdicts}"
+
+
+def _sql_level(name: str, own: str, key: str, above: str, parent: str) -> str:
+    """Counts of a level with their prior mean, the level's strength and the shrunk mean."""
+    return f"""{name}_j AS (SELECT o.*, a.mean AS m FROM {own} o JOIN {above} a USING ({parent})),
+  {name}_k AS (SELECT sum(CASE WHEN n > 0 THEN n * (bad / n - m) * (bad / n - m) END) AS s,
+    sum(CASE WHEN n > 0 THEN m * (1 - m) END) AS c, sum(CASE WHEN n > 0 THEN n * m * (1 - m) END) AS t FROM {name}_j),
+  {name} AS (SELECT j.*, k, (bad + k * m) / (n + k) AS mean FROM {name}_j j, (SELECT coalesce(least(greatest(
+    CASE WHEN t > c AND s > c THEN 1 / ((s - c) / (t - c)) - 1 ELSE {hosts.MOST_STRENGTH} END,
+    {hosts.LEAST_STRENGTH}), {hosts.MOST_STRENGTH}), {hosts.MOST_STRENGTH}) AS k FROM {name}_k))"""
+
+
+def _op9_sql() -> str:
+    rule, verdict = _sql_rules()
+    return f"""WITH p AS (SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://(.*)$', 1) AS rest FROM pages),
+  q AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{hosts.UPPER}', '{hosts.LOWER}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+  o AS (SELECT doc_id AS page_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality = 1 THEN 0 END) AS bad
+    FROM labels GROUP BY doc_id),
+  h AS (SELECT host, count(bad) AS n, coalesce(sum(bad), 0)::DOUBLE AS bad, {_sql_suffix("host", 1)} AS domain,
+    {_sql_suffix("host", 0)} AS suffix FROM q LEFT JOIN o USING (page_id) GROUP BY host),
+  d AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM h GROUP BY ALL),
+  s AS (SELECT suffix, 0 AS root, sum(n) AS n, sum(bad) AS bad FROM d GROUP BY ALL),
+  r AS (SELECT 0 AS root, (sum(bad) + 0.5) / (sum(n) + 1.0) AS mean FROM s),
+  {_sql_level("s2", "s", "suffix", "r", "root")},
+  {_sql_level("d2", "d", "domain", "s2", "suffix")},
+  {_sql_level("h2", "h", "host", "d2", "domain")},
+  z AS (SELECT host, n, bad, mean, bad + k * m AS a, n - bad + k * (1 - m) AS b FROM h2)
+SELECT page_id, host, path, {rule} AS rule, {verdict} WHEN greatest(0, mean - {hosts.DEVIATIONS} *
+  sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))) > {hosts.MAX_BAD} THEN 'block' ELSE 'allow' END AS verdict,
+  n AS labelled, bad::BIGINT AS bad_pages FROM q JOIN z USING (host)"""
+
+
+@query("op9_hosts", _op9_sql())
 def op9_hosts(spark, folder):
     """A page's outcome is the label of the same number: bad where it is of low quality or toxic."""
     labels = table(spark, folder, "labels")
