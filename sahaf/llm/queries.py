@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sahaf.llm import fingerprints, hosts, itq, mixing, ngram_join, packing, sharding, warc
+from sahaf.llm import fingerprints, hosts, itq, mixing, ngram_join, packing, quality, sharding, warc
 from sahaf.llm.frames import table
 from sahaf.llm.registry import query
 
@@ -39,6 +39,18 @@ def op2_pack(spark, folder):
     return packing.pack_documents(docs, vocabulary(), packing.LENGTH)
 
 
+def trusted_ids(spark, folder):
+    """Documents labelled as good and not toxic."""
+    return table(spark, folder, "labels").where("quality = 1 AND coalesce(toxic, 0) = 0").select("doc_id")
+
+
+@query("op3_quality")
+def op3_quality(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    out = quality.classify(docs, trusted_ids(spark, folder))
+    return out.select("doc_id", "lang", "n_words", "perplexity", "low", "high", "keep")
+
+
 OP4_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
     FROM documents),
