@@ -32,7 +32,7 @@ from sahaf.session import staged
 #: Trusted documents of a language that are trained on, about, and at most which share of them.
 TRAINED, MOST_SHARE = 600, 0.5
 #: Quantiles of the trusted perplexities between which a document is kept.
-LOW, HIGH = 0.002, 0.998
+LOW, HIGH = 0.001, 0.99
 #: Entries of a shard.
 SHARD = 1 << 20
 #: Discounts where the counts of counts don't give any.
@@ -133,8 +133,18 @@ def train(texts: DataFrame) -> DataFrame:
     return staged(model, "quality-model")
 
 
-def sharded(model: DataFrame) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
-    """Each kind's entries as shards (keys, values) by rising ranges of the key.
+Shard = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def shard(keys: np.ndarray, values: np.ndarray) -> Shard:
+    """Sorted keys, their values, and where each range of equal leading bits begins."""
+    bits = max(1, len(keys).bit_length())
+    firsts = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+    return keys, values, np.searchsorted(keys, firsts).astype(np.int32)
+
+
+def sharded(model: DataFrame) -> dict[int, list[Shard]]:
+    """Each kind's entries as shards by rising ranges of the key.
 
     The model's size is bounded by the sample that it is trained on.
     """
@@ -145,17 +155,30 @@ def sharded(model: DataFrame) -> dict[int, list[tuple[np.ndarray, np.ndarray]]]:
     for k in (0, 1, 2, 3, 12, 13):
         own = np.flatnonzero(kind == k)
         own = own[np.argsort(key[own])]
-        out[k] = [(key[own[i : i + SHARD]], value[own[i : i + SHARD]]) for i in range(0, len(own), SHARD)]
+        cuts = range(0, len(own), SHARD)
+        out[k] = [shard(key[own[i : i + SHARD]], value[own[i : i + SHARD]]) for i in cuts]
     return out
 
 
-def join_counts(shards: list[tuple[np.ndarray, np.ndarray]], keys: np.ndarray, missing: float) -> np.ndarray:
-    """The value of each key: a join with one shard after another."""
+def join_counts(shards: list[Shard], keys: np.ndarray, missing: float, among: np.ndarray | None = None) -> np.ndarray:
+    """The value of each key, or of those at ``among``: a join with one shard after another.
+
+    A key's place is sought from the beginning of its range of leading bits; a range has
+    about one key.
+    """
     out = np.full(len(keys), missing)
-    for own, values in shards:
-        at = np.minimum(np.searchsorted(own, keys), len(own) - 1)
-        hit = own[at] == keys
-        out[hit] = values[at[hit]]
+    asked = np.arange(len(keys)) if among is None else among
+    for own, values, begin in shards:
+        at = begin[(keys[asked] >> np.uint64(64 - (len(begin).bit_length() - 1))).astype(np.int64)].astype(np.int64)
+        left = asked
+        while len(left):
+            inside = at < len(own)
+            left, at = left[inside], at[inside]
+            there, sought = own[at], keys[left]
+            hit = there == sought
+            out[left[hit]] = values[at[hit]]
+            before = there < sought
+            left, at = left[before], at[before] + 1
     return out
 
 
@@ -166,11 +189,16 @@ def log_probability(shards, texts: pa.Array, langs: pa.Array) -> tuple[np.ndarra
     """
     keys, n = grams(texts, langs)
     floor = np.repeat(join_counts(shards[0], lang_hash(langs), np.nan), n)
-    # Keys repeat a lot within a block, so each is joined once.
-    found = {}
-    for name, kind, missing in (("w", 1, 0.0), ("v", 12, 1.0), ("vw", 2, 0.0), ("uv", 13, 1.0), ("uvw", 3, 0.0)):
-        found[name] = join_counts(shards[kind], keys[name], missing)
-    p = found["uvw"] + found["uv"] * (found["vw"] + found["v"] * (found["w"] + floor))
+    one = join_counts(shards[1], keys["w"], 0.0)
+    # A word pair can only be known where its first word is known as a context, and so on.
+    back1 = join_counts(shards[12], keys["v"], np.nan)
+    some = np.flatnonzero(~np.isnan(back1))
+    two = join_counts(shards[2], keys["vw"], 0.0, some)
+    back2 = join_counts(shards[13], keys["uv"], np.nan, some)
+    some = np.flatnonzero(~np.isnan(back2))
+    three = join_counts(shards[3], keys["uvw"], 0.0, some)
+    back1[np.isnan(back1)] = back2[np.isnan(back2)] = 1.0
+    p = three + back2 * (two + back1 * (one + floor))
     sums = np.concatenate(([0.0], np.cumsum(np.log(p))))
     to = np.concatenate(([0], np.cumsum(n)))
     total = sums[to[1:]] - sums[to[:-1]]

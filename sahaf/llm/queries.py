@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sahaf.llm import fingerprints, hosts, itq, mixing, ngram_join, packing, quality, sharding, warc
+from sahaf.llm import fingerprints, hosts, itq, lines, mixing, ngram_join, packing, quality, sharding, warc
 from sahaf.llm.frames import table
 from sahaf.llm.registry import query
 
@@ -80,6 +80,32 @@ def op5_mix(spark, folder):
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+OP6_SQL = r"""WITH o AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS no
+    FROM documents),
+  w AS (SELECT doc_id, no, list_filter(string_split_regex(lower(line), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM o),
+  s AS (SELECT doc_id, no, list_sort(list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+    lambda i: array_to_string(w[i:i + 4], ' ')))) AS s FROM w WHERE len(w) > 0),
+  c AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY doc_id, no) AS ord FROM s),
+  f AS MATERIALIZED (SELECT s, min(ord) AS ord FROM c GROUP BY s),
+  e AS MATERIALIZED (SELECT ord, len(s) AS n, unnest(s) AS t FROM f),
+  m AS (SELECT DISTINCT a.ord FROM e a JOIN e b ON a.t = b.t AND b.ord < a.ord
+    GROUP BY a.ord, b.ord, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+  g AS (SELECT c.doc_id, c.no FROM c JOIN f USING (s) WHERE c.ord > f.ord OR f.ord IN (SELECT ord FROM m))
+SELECT d.doc_id, len(string_split(text, chr(10)))::BIGINT AS n_lines, coalesce(k.n, 0)::BIGINT AS n_removed,
+  md5(CASE WHEN k.n IS NULL THEN text ELSE coalesce((SELECT string_agg(o.line, chr(10) ORDER BY o.no) FROM o
+    WHERE o.doc_id = d.doc_id AND NOT list_contains(k.nos, o.no)), '') END) AS text_md5
+FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, list(no) AS nos FROM g GROUP BY doc_id) k USING (doc_id)"""
+
+
+@query("op6_lines", OP6_SQL)
+def op6_lines(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text", F.size(F.split("text", "\n")).cast("long").alias("n_lines"))
+    out = lines.without_repeats(docs)
+    left = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n")))
+    removed = F.col("n_lines") - F.when(F.col("n_lines") == 1, F.lit(1)).otherwise(left)
+    return out.select("doc_id", "n_lines", removed.alias("n_removed"), F.md5("text").alias("text_md5"))
+
+
 @query("op7_fingerprints")
 def op7_fingerprints(spark, folder):
     return fingerprints.fingerprints(table(spark, folder, "documents").select("doc_id", "text"))
