@@ -167,10 +167,11 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return removed.groupBy("dkey").agg(F.collect_set("no").alias("nos"))
 
 
-def without_repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def without_repeats(docs: DataFrame, percent: int = PERCENT, removed: str | None = None) -> DataFrame:
     """The documents (doc_id, text, ..) without repeated lines; other columns stay as they are.
 
-    ``n_chars``, where there is one, is that of the new text.
+    ``n_chars``, where there is one, is that of the new text. ``removed`` names a column to
+    add with the number of lines that a document lost.
     """
     nos = repeated_lines(docs.select("doc_id", "text"), percent).withColumnRenamed("nos", "_nos")
     joined = docs.withColumn("_dkey", document_key()).join(nos.withColumnRenamed("dkey", "_dkey"), "_dkey", "left")
@@ -178,4 +179,5 @@ def without_repeats(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     out = joined.withColumn("text", F.when(F.col("_nos").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("_nos").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*docs.columns)
+    lost = [F.coalesce(F.size("_nos"), F.lit(0)).cast("long").alias(removed)] if removed else []
+    return out.select(*docs.columns, *lost)

@@ -4,8 +4,11 @@ All sets are put in one order, rare shingles first. Two sets whose overlap is at
 t(n) = the least overlap that a set of n shingles needs share at least l shingles within
 their first n - t(n) + l ones. Each document chooses its own l between 1 and MOST_MATCHES
 by estimated cost: a longer prefix moves more rows, but as more shared shingles are
-required, fewer candidates are verified. A pair is a candidate when it shares as many
-prefix shingles as the smaller l of the two; so none is lost.
+required, fewer candidates are verified. A pair shares at least as many prefix shingles
+as the smaller l of the two. More is known: of the two prefixes' last shingles take the
+one that comes first in the order; common shingles up to it are in both prefixes, and of
+its set only t(n) - l shingles come later. So a pair that must share o shingles in all
+shares at least o - t(n) + l of them in the prefixes; others are no candidates.
 
 How frequent a shingle is comes from a table of counters of fixed size over all
 documents; it only sets the order and the estimates, never the result.
@@ -155,7 +158,7 @@ def all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         changed[1:] = np.any([c[k][1:] != c[k][:-1] for k in ("token", "x", "y")], axis=0)
         cuts = np.append(np.flatnonzero(changed), len(rows))
         out: list[tuple] = []
-        # Runs of the same size are done together.
+        # Runs of equal size are done together.
         sizes = np.diff(cuts)
         for s in np.unique(sizes[sizes > 1]).tolist():
             starts = cuts[:-1][sizes == s]
@@ -169,11 +172,23 @@ def all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ok &= 100 * np.minimum(np_, nq) >= PERCENT * np.maximum(np_, nq)
                 ok &= (c["x"][p] == c["y"][p]) | (c["chunk"][p] != c["chunk"][q])
                 p, q = p[ok], q[ok]
-                out.append((c["node"][p], c["node"][q], np.minimum(c["meta"][p] & 7, c["meta"][q] & 7)))
+                turn = c["node"][p] > c["node"][q]
+                p, q = np.where(turn, q, p), np.where(turn, p, q)
+                out.append((c["node"][p], c["meta"][p], c["node"][q], c["meta"][q]))
         if out:
-            a, b, l = (np.concatenate(z) for z in zip(*out, strict=True))
-            columns = [np.minimum(a, b), np.maximum(a, b), l]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["a", "b", "l"])
+            columns = [pa.array(np.concatenate(z)) for z in zip(*out, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "ma", "b", "mb"])
+
+
+def candidates(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) from one row (a, ma, b, mb) for each prefix shingle that they share: those that share enough."""
+    n, m = F.shiftright("ma", 3), F.shiftright("mb", 3)
+    whole = F.ceil((n + m) * percent / (100 + percent))
+    first = whole - F.ceil(n * percent / 100) + F.col("ma").bitwiseAND(7)
+    second = whole - F.ceil(m * percent / 100) + F.col("mb").bitwiseAND(7)
+    met = met.where(100 * F.least(n, m) >= percent * F.greatest(n, m))
+    counted = met.groupBy("a", "ma", "b", "mb").agg(F.count("*").alias("c"))
+    return counted.where(F.col("c") >= F.least(first, second)).select("a", "b")
 
 
 def wanted_sets(bits, k: int):
@@ -191,24 +206,21 @@ def wanted_sets(bits, k: int):
     return run
 
 
-def verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, k: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, chosen: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough, by their whole sets.
 
-    Only documents whose id falls on a set bit of a table of fixed size are shingled
-    again; others that fall on the same bit drop out in the join.
+    ``chosen`` has one document (node, id) of each set. Only documents whose id falls on a
+    set bit of a table of fixed size are shingled again; others that fall on the same bit
+    meet no pair.
     """
-    spark = docs.sparkSession
-    pairs = staged(pairs.select("a", "b"), "join-pairs")
-    needed = staged(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "join-needed")
-    some = members.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id"))
-    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("long")
-    slots = some.join(needed, "node").select(slot.alias("slot")).distinct().toArrow().column(0).to_numpy()
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    slot = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("long").alias("slot")
+    slots = chosen.join(needed, "node").select(slot).distinct().toArrow().column(0).to_numpy()
     table = np.zeros(FILTER_BITS, dtype=bool)
     table[slots] = True
-    bits = spark.sparkContext.broadcast(table)
-    rows = docs.select("id", "text", F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS)).cast("long").alias("slot"))
-    sets = rows.mapInArrow(wanted_sets(bits, k), "node long, shingles array<long>")
-    sets = staged(sets.join(needed, "node", "left_semi").dropDuplicates(["node"]), "join-sets")
+    bits = docs.sparkSession.sparkContext.broadcast(table)
+    rows = docs.select("id", "text", slot)
+    sets = staged(rows.mapInArrow(wanted_sets(bits, k), "node long, shingles array<long>"), "join-sets")
     left = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("other")), "b")
     both = left.join(sets.select(F.col("node").alias("a"), "shingles"), "a")
     inter = F.size(F.array_intersect("shingles", "other"))
@@ -241,11 +253,13 @@ def similar_groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataF
     postings = postings.sortWithinPartitions("token", "part", "node")
     kept = staged(postings.mapInArrow(shared, "token long, node long, meta long"), "join-shared")
 
-    roots = kept.select("node", F.col("node").alias("root")).distinct()
+    chosen = staged(members.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id")), "join-chosen")
+    nodes = staged(kept.select("node").distinct(), "join-nodes")
+    roots = nodes.withColumn("root", F.col("node"))
     links, done = None, None
     for number in range(LEADER_ROUNDS + 1):
         rows = kept.join(roots, "node") if number else kept.withColumn("root", F.col("node"))
-        mix = F.xxhash64("node", F.pmod("token", F.lit(4)), F.lit(number))
+        mix = F.xxhash64("node", F.lit(number))
         lead = F.min(F.struct(mix.alias("h"), "node", "meta", "root"))
         tokens = rows.groupBy("token").agg(
             F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), lead.alias("lead")
@@ -253,9 +267,11 @@ def similar_groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataF
         tokens = tokens.where("low <> high")
         if number < LEADER_ROUNDS:
             met = rows.join(tokens.select("token", "lead"), "token").where("root <> lead.root")
-            small, large = F.least(F.col("meta"), F.col("lead.meta")), F.greatest(F.col("meta"), F.col("lead.meta"))
-            met = met.where(100 * F.shiftright(small, 3) >= percent * F.shiftright(large, 3))
-            pairs = met.select(F.least("node", "lead.node").alias("a"), F.greatest("node", "lead.node").alias("b")).distinct()
+            own, lead = F.struct("node", "meta"), F.struct("lead.node", "lead.meta")
+            low, high = F.least(own, lead), F.greatest(own, lead)
+            met = met.select(
+                low["node"].alias("a"), low["meta"].alias("ma"), high["node"].alias("b"), high["meta"].alias("mb")
+            )
         else:
             chunks = F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")
             met = rows.join(tokens.select("token", chunks), "token")
@@ -264,16 +280,16 @@ def similar_groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataF
             met = met.withColumn("x", F.least("chunk", "with")).withColumn("y", F.greatest("chunk", "with"))
             met = met.select("token", "x", "y", "chunk", "node", "meta", "root")
             met = met.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
-            made = met.mapInArrow(all_pairs, "a long, b long, l long")
-            pairs = made.groupBy("a", "b").agg(F.count("*").alias("n"), F.min("l").alias("l")).where("n >= l").select("a", "b")
+            met = met.mapInArrow(all_pairs, "a long, ma long, b long, mb long")
+        pairs = candidates(met, percent)
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = staged(pairs, "join-candidates")
-        new = verified(pairs, docs, members, k, percent)
+        new = verified(pairs, docs, chosen, k, percent)
         links = new if links is None else links.union(new)
         done = pairs if done is None else done.union(pairs)
         found_roots = components(links, "join-components")
-        roots = kept.select("node").distinct().join(found_roots, "node", "left")
+        roots = nodes.join(found_roots, "node", "left")
         roots = staged(roots.select("node", F.coalesce("root", "node").alias("root")), "join-roots")
     # The smallest id of a component: minima are combined before they meet.
     placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -30,7 +30,7 @@ from sahaf.llm.words import _PLACE, blocks, mixed, span_hashes, words
 from sahaf.session import staged
 
 #: Trusted documents of a language that are trained on, about, and at most which share of them.
-TRAINED, MOST_SHARE = 600, 0.5
+TRAINED, MOST_SHARE = 250, 0.5
 #: Quantiles of the trusted perplexities between which a document is kept.
 LOW, HIGH = 0.001, 0.99
 #: Entries of a shard.
@@ -118,8 +118,8 @@ def train(texts: DataFrame) -> DataFrame:
     schema = "lang long, w long, v long, vw long, uv long, uvw long"
     rows = texts.select("text", "lang").mapInArrow(training_rows, schema)
     three = staged(rows.groupBy("lang", "uvw", "uv", "vw", "v", "w").agg(F.count("*").alias("c")), "quality-counts")
-    two = three.groupBy("lang", "vw", "v", "w").agg(F.count("*").alias("c"))
-    one = two.groupBy("lang", "w").agg(F.count("*").alias("c"))
+    two = staged(three.groupBy("lang", "vw", "v", "w").agg(F.count("*").alias("c")), "quality-counts")
+    one = staged(two.groupBy("lang", "w").agg(F.count("*").alias("c")), "quality-counts")
     a3, g3 = discounted(three, ["uv"], ["uvw"], [])
     a2, g2 = discounted(two, ["v"], ["vw"], [])
     a1, g1 = discounted(one, [], ["w"], [])

@@ -100,10 +100,8 @@ FROM documents d LEFT JOIN (SELECT doc_id, count(*) AS n, list(no) AS nos FROM g
 @query("op6_lines", OP6_SQL)
 def op6_lines(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", F.size(F.split("text", "\n")).cast("long").alias("n_lines"))
-    out = lines.without_repeats(docs)
-    left = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n")))
-    removed = F.col("n_lines") - F.when(F.col("n_lines") == 1, F.lit(1)).otherwise(left)
-    return out.select("doc_id", "n_lines", removed.alias("n_removed"), F.md5("text").alias("text_md5"))
+    out = lines.without_repeats(docs, removed="n_removed")
+    return out.select("doc_id", "n_lines", "n_removed", F.md5("text").alias("text_md5"))
 
 
 @query("op7_fingerprints")
