@@ -110,8 +110,8 @@ def with_next(docs: DataFrame, columns: list[str], order: str = "doc_id", tie: s
     # Range 0 holds null ids only, and may be empty: then range 1 begins the order.
     nulls = docs.where(F.col(order).isNull()).limit(1).count() > 0
     before = F.pmod(F.col("_own") - 1, F.lit(total)) if nulls else F.pmod(F.col("_own") - 2, F.lit(total - 1)) + 1
-    head = F.array_contains(edges, F.col(order)) if cuts else F.lit(False)
-    head = F.coalesce(head, F.lit(nulls))
+    begins = F.array_contains(edges, F.col(order)) if cuts else F.lit(False)
+    head = F.when(F.col(order).isNull(), F.lit(nulls)).otherwise(begins)
     there = F.when(head, F.array(F.struct(F.col("_own").alias("r"), F.lit(False).alias("ghost")),
                                  F.struct(before.cast("int").alias("r"), F.lit(True).alias("ghost"))))
     there = there.otherwise(F.array(F.struct(F.col("_own").alias("r"), F.lit(False).alias("ghost"))))

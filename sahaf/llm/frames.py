@@ -86,19 +86,15 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     round is written to the shared folder; minima are combined before the shuffle, and a
     node with very many edges is split by the adaptive skew join.
     """
-    e = staged(
-        edges.where("a <> b")
-        .select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
-        .distinct(),
-        name,
-    )
+    e = edges.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
+    e = staged(e.distinct(), name)
     seen = None
     while True:
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(
             e.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(low, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
         e = staged(small.union(low.select("hi", F.col("m").alias("lo"))).distinct(), name)

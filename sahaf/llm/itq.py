@@ -47,6 +47,17 @@ def unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(axis=1, keepdims=True))
 
 
+def spread_out(sample: np.ndarray, planes: int = 12, seed: int = 11) -> np.ndarray:
+    """One vector of the sample for each cell of a few random planes.
+
+    A large group of near copies has few cells. Left whole it would draw the thresholds,
+    which halve the sample, through its own middle, and copies would differ in every bit.
+    """
+    normals = np.random.default_rng(seed).standard_normal((sample.shape[1], planes))
+    cells = (unit(sample) @ normals >= 0) @ (1 << np.arange(planes))
+    return sample[np.unique(cells, return_index=True)[1]]
+
+
 def fit(sample: np.ndarray, rotations: int, steps: int = 40, seed: int = 7) -> list[tuple[np.ndarray, np.ndarray]]:
     """(projection, threshold) of each code: signs of x @ projection - threshold, half of them positive."""
     x = unit(sample)
@@ -168,7 +179,7 @@ def near_duplicates(rows: DataFrame, min_cosine: float = MIN_COSINE, dim: int |
     sample = nodes.where(drawn).select("embedding").limit(2 * SAMPLE).toArrow().column(0).combine_chunks()
     sample = sample.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
     bits, tables = layout(stats[1], min(64, dim), min_cosine)
-    model = fit(sample, math.ceil(tables / (min(64, dim) // bits)))
+    model = fit(spread_out(sample), math.ceil(tables / (min(64, dim) // bits)))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -66,9 +66,14 @@ def rarity(lines: DataFrame) -> Column:
     It has as many numbers as there are counters, whatever the input, and comes to the
     driver as one text.
     """
-    bits = 64 - COUNTER_BITS
-    counter = F.shiftrightunsigned("h", bits).cast("int").alias("counter")
-    counts = lines.select(F.explode(shingle_hashes(F.col("line"))).alias("h")).groupBy(counter).count()
+    # The words side by side with those that follow, so that rows are hashed in compiled code.
+    w = lines.select(line_words(F.col("line")).alias("w"))
+    n = F.greatest(F.size("w") - (K - 1), F.lit(1))
+    beside = F.arrays_zip(*[F.slice("w", F.lit(j + 1), n).alias(f"w{j}") for j in range(K)])
+    made = w.select(F.inline(beside))
+    h = F.xxhash64(*[F.xxhash64(f"w{j}") if j == 0 else F.when(F.col(f"w{j}").isNotNull(), F.xxhash64(f"w{j}")) for j in range(K)])
+    counter = F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int").alias("counter")
+    counts = made.groupBy(counter).count()
     every = lines.sparkSession.range(1 << COUNTER_BITS).select(F.col("id").cast("int").alias("counter"))
     counts = every.join(counts, "counter", "left").select("counter", F.coalesce("count", F.lit(0)).alias("n"))
     ranked = counts.select("counter", F.row_number().over(Window.orderBy("n", "counter")).alias("rank"))

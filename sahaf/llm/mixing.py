@@ -51,47 +51,56 @@ def targets(sizes: DataFrame, weights: list[float], share: float, epochs: float)
 
 
 def plan(
-    docs: DataFrame, weights: list[float], share: float, epochs: float = 2.0, seed: int = 0
+    docs: DataFrame, weights: list[float], share: float, epochs: float = 2.0, seed: int = 0, carry: list[str] | None = None
 ) -> DataFrame:
     """(doc_id, source, size, source_size, target, taken) of rows (doc_id, text, source).
 
     A source's budget is its target without the fraction. It is met exactly: every
     document is taken once for each whole epoch in the budget, and in the last, partial
     epoch the documents in hash order are taken until the words that are left run out;
-    only the document at the cut gives part of its words.
+    only the document at the cut gives part of its words. Columns named in ``carry`` move
+    along with their rows.
     """
     key = F.shiftrightunsigned(F.xxhash64(F.col("doc_id"), F.lit(seed)), 1)
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("key"))
-    sized = staged(sized.withColumn("skey", source_key(F.col("source"))), "mix-sizes")
-    sizes = sized.groupBy("skey").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    sized = docs.select(
+        "doc_id", "source", n_words(F.col("text")).alias("size"), key.alias("_key"),
+        source_key(F.col("source")).alias("_skey"), *(carry or []),
+    )
+    if not carry:
+        sized = staged(sized, "mix-sizes")
+    sizes = sized.groupBy("_skey").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     sizes = staged(sizes, "mix-sources")
     most = sizes.agg(F.max("n")).first()[0] or 0
-    aims = staged(targets(sizes.select("skey", "source_size"), weights, share, epochs), "mix-targets")
-    ranged = running(sized, "skey", "key", F.col("size"), ["doc_id", "size"], parts(most, RANGE_ROWS, LEAST_RANGES), "before")
+    aims = staged(targets(sizes.select(F.col("_skey").alias("skey"), "source_size"), weights, share, epochs), "mix-targets")
+    ranges = parts(most, RANGE_ROWS, LEAST_RANGES)
+    ranged = running(sized, "_skey", "_key", F.col("size"), ["doc_id", "size"], ranges, "_from")
     # One row per source: joined by its key, and split by Spark where one source has very many rows.
-    joined = ranged.join(aims, "skey")
+    joined = ranged.join(aims.withColumnRenamed("skey", "_skey"), "_skey")
     whole = F.floor(F.col("target"))
     times = F.when(F.col("source_size") > 0, F.floor(whole / F.col("source_size"))).otherwise(F.lit(0))
     left = whole - times * F.col("source_size")
-    part = F.least(F.greatest(left - F.col("before"), F.lit(0)), F.col("size"))
+    part = F.least(F.greatest(left - F.col("_from"), F.lit(0)), F.col("size"))
     taken = (times * F.col("size") + part).cast("long")
-    return joined.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+    return joined.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), *(carry or []))
 
 
-def mixed_texts(docs: DataFrame, mix: DataFrame) -> DataFrame:
-    """The documents as often as the mix takes them; the one at a cut also with its first words.
+def mixed_texts(docs: DataFrame, weights: list[float], share: float, epochs: float = 2.0, seed: int = 0) -> DataFrame:
+    """The documents as often as the mix takes them, with the columns that they had.
 
-    ``mix`` has one row (doc_id, size, taken) per document; documents are told apart by
-    their id. Columns stay as they are; ``n_chars`` is that of the text given.
+    The one at a cut also comes with its first words, one blank between them. ``n_chars``,
+    where there is one, is that of the text given.
     """
-    chosen = mix.where("taken > 0").select("doc_id", "size", "taken")
-    rows = docs.join(chosen, "doc_id")
-    whole = F.col("taken").cast("double") / F.col("size")
-    copies = F.floor(whole).cast("int")
-    words = F.col("taken") - copies * F.col("size")
-    pattern = F.concat(F.lit(r"^([\x20\x09-\x0D]*(?:[^\x20\x09-\x0D]+[\x20\x09-\x0D]*){"), words, F.lit(r"})"))
-    pieces = F.array_repeat("text", copies)
-    pieces = F.when(words > 0, F.concat(pieces, F.array(F.regexp_extract("text", pattern, 1)))).otherwise(pieces)
-    others = [c for c in docs.columns if c not in ("text", "n_chars")]
-    out = rows.select(*others, F.explode(pieces).alias("text"))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    whole_row = F.struct(*[F.col(c) for c in docs.columns]).alias("_row")
+    rows = docs.select("doc_id", "text", "source", whole_row)
+    mix = plan(rows, weights, share, epochs, seed, ["_row"]).where("taken > 0").select("size", "taken", "_row")
+    text = F.col("_row.text")
+    copies = F.floor(F.col("taken").cast("double") / F.col("size")).cast("int")
+    words = (F.col("taken") - copies * F.col("size")).cast("int")
+    first = F.array_join(F.slice(F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), ""), F.lit(1), words), " ")
+    pieces = F.array_repeat(text, copies)
+    pieces = F.when(words > 0, F.concat(pieces, F.array(first))).otherwise(pieces)
+    out = mix.select("_row", F.explode(pieces).alias("_text"))
+    own = {c: F.col(f"_row.{c}") for c in docs.columns} | {"text": F.col("_text")}
+    if "n_chars" in own:
+        own["n_chars"] = F.length("_text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[v.alias(c) for c, v in own.items()])

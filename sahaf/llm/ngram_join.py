@@ -13,8 +13,10 @@ shares at least o - t(n) + l of them in the prefixes; others are no candidates.
 How frequent a shingle is comes from a table of counters of fixed size over all
 documents; it only sets the order and the estimates, never the result.
 
-Groups of many near copies are joined up first: in each round every prefix shingle that
-holds more than one component offers one leader, and only pairs with it are verified.
+Groups of many near copies are joined up first: every prefix shingle that holds more
+than one component offers one leader, and only pairs with it are verified. The leader is
+the set of which the largest part of the prefix is shared with others: an edited copy
+begins with shingles of its own, the text that it was made from does not.
 Then all pairs of different components that are still candidates are verified. Pairs
 within a component are never made.
 
@@ -39,9 +41,9 @@ from sahaf.session import staged
 #: Similarity in percent; most shared shingles asked for; cost of a candidate in prefix rows.
 PERCENT, MOST_MATCHES, CANDIDATE_COST = 80, 4, 8.0
 #: Counters of shingle frequency, and rounds in which leaders are offered.
-COUNTERS, LEADER_ROUNDS = 1 << 18, 2
-#: Prefix rows of a task, rows of one shingle in one run, rows of a chunk when all pairs are made.
-TASK_ROWS, RUN_ROWS, CHUNK = 1_000_000, 50_000, 512
+COUNTERS, LEADER_ROUNDS = 1 << 18, 1
+#: Prefix rows of a task, rows of one shingle in one run, rows of a chunk of a group when all pairs are made.
+TASK_ROWS, RUN_ROWS, CHUNK = 1_000_000, 50_000, 4_096
 #: Bits of the table by which documents that need no verification are passed over.
 FILTER_BITS = 1 << 23
 _SHIFT = np.uint64(64 - 18)
@@ -151,13 +153,14 @@ def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components in each run or block of chunks, within the length limits."""
-    for rows in runs(batches, ["token", "x", "y"]):
-        c = {k: rows.column(k).to_numpy() for k in ("token", "x", "y", "chunk", "node", "meta", "root")}
+    """Pairs of different components in each block, within the length limits, and how many tokens they share there."""
+    for rows in runs(batches, ["low", "x", "y"]):
+        c = {k: rows.column(k).to_numpy() for k in ("low", "x", "y", "token", "chunk", "node", "meta", "root")}
         changed = np.ones(len(rows), dtype=bool)
-        changed[1:] = np.any([c[k][1:] != c[k][:-1] for k in ("token", "x", "y")], axis=0)
+        changed[1:] = np.any([c[k][1:] != c[k][:-1] for k in ("low", "x", "y", "token")], axis=0)
         cuts = np.append(np.flatnonzero(changed), len(rows))
-        out: list[tuple] = []
+        nodes, first, place = np.unique(c["node"], return_index=True, return_inverse=True)
+        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         # Runs of equal size are done together.
         sizes = np.diff(cuts)
         for s in np.unique(sizes[sizes > 1]).tolist():
@@ -168,26 +171,28 @@ def all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = starts[k : k + step]
                 p, q = (own[:, None] + i).ravel(), (own[:, None] + j).ravel()
                 ok = c["root"][p] != c["root"][q]
-                np_, nq = c["meta"][p] >> 3, c["meta"][q] >> 3
-                ok &= 100 * np.minimum(np_, nq) >= PERCENT * np.maximum(np_, nq)
+                n, m = c["meta"][p] >> 3, c["meta"][q] >> 3
+                ok &= 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
                 ok &= (c["x"][p] == c["y"][p]) | (c["chunk"][p] != c["chunk"][q])
-                p, q = p[ok], q[ok]
-                turn = c["node"][p] > c["node"][q]
-                p, q = np.where(turn, q, p), np.where(turn, p, q)
-                out.append((c["node"][p], c["meta"][p], c["node"][q], c["meta"][q]))
-        if out:
-            columns = [pa.array(np.concatenate(z)) for z in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "ma", "b", "mb"])
+                p, q = place[p[ok]], place[q[ok]]
+                new = np.minimum(p, q) * len(nodes) + np.maximum(p, q)
+                codes, at = np.unique(np.concatenate((codes, new)), return_inverse=True)
+                counts = np.bincount(at, np.concatenate((counts, np.ones(len(new), np.int64))), len(codes)).astype(np.int64)
+        if len(codes):
+            p, q = codes // len(nodes), codes % len(nodes)
+            meta = c["meta"][first]
+            columns = [nodes[p], meta[p], nodes[q], meta[q], counts]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["a", "ma", "b", "mb", "c"])
 
 
 def candidates(met: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) from one row (a, ma, b, mb) for each prefix shingle that they share: those that share enough."""
+    """Pairs (a, b) from rows (a, ma, b, mb, c) with counts of shared prefix shingles: those that share enough."""
     n, m = F.shiftright("ma", 3), F.shiftright("mb", 3)
     whole = F.ceil((n + m) * percent / (100 + percent))
     first = whole - F.ceil(n * percent / 100) + F.col("ma").bitwiseAND(7)
     second = whole - F.ceil(m * percent / 100) + F.col("mb").bitwiseAND(7)
     met = met.where(100 * F.least(n, m) >= percent * F.greatest(n, m))
-    counted = met.groupBy("a", "ma", "b", "mb").agg(F.count("*").alias("c"))
+    counted = met.groupBy("a", "ma", "b", "mb").agg(F.sum("c").alias("c"))
     return counted.where(F.col("c") >= F.least(first, second)).select("a", "b")
 
 
@@ -254,13 +259,14 @@ def similar_groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataF
     kept = staged(postings.mapInArrow(shared, "token long, node long, meta long"), "join-shared")
 
     chosen = staged(members.where("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("id")), "join-chosen")
-    nodes = staged(kept.select("node").distinct(), "join-nodes")
+    n, t = F.shiftright("meta", 3), F.ceil(F.shiftright("meta", 3) * percent / 100)
+    alone = 1 - F.count("*") / F.first(n - t + F.col("meta").bitwiseAND(7))
+    nodes = staged(kept.groupBy("node").agg(alone.alias("alone")), "join-nodes")
     roots = nodes.withColumn("root", F.col("node"))
     links, done = None, None
     for number in range(LEADER_ROUNDS + 1):
-        rows = kept.join(roots, "node") if number else kept.withColumn("root", F.col("node"))
-        mix = F.xxhash64("node", F.lit(number))
-        lead = F.min(F.struct(mix.alias("h"), "node", "meta", "root"))
+        rows = kept.join(roots, "node")
+        lead = F.min(F.struct("alone", F.xxhash64("node", F.lit(number)).alias("h"), "node", "meta", "root"))
         tokens = rows.groupBy("token").agg(
             F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n"), lead.alias("lead")
         )
@@ -270,17 +276,20 @@ def similar_groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataF
             own, lead = F.struct("node", "meta"), F.struct("lead.node", "lead.meta")
             low, high = F.least(own, lead), F.greatest(own, lead)
             met = met.select(
-                low["node"].alias("a"), low["meta"].alias("ma"), high["node"].alias("b"), high["meta"].alias("mb")
-            )
+                low["node"].alias("a"), low["meta"].alias("ma"), high["node"].alias("b"), high["meta"].alias("mb"),
+                F.lit(1).alias("c"),
+            )
         else:
-            chunks = F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")
-            met = rows.join(tokens.select("token", chunks), "token")
+            # Tokens with the same smallest component are together, so that a pair's shared
+            # tokens are counted before it is passed on; groups of many rows are cut by node.
+            groups = tokens.groupBy("low").agg(F.ceil(F.sum("n") / CHUNK).cast("int").alias("chunks"))
+            met = rows.join(tokens.select("token", "low").join(groups, "low"), "token")
             met = met.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
             met = met.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             met = met.withColumn("x", F.least("chunk", "with")).withColumn("y", F.greatest("chunk", "with"))
-            met = met.select("token", "x", "y", "chunk", "node", "meta", "root")
-            met = met.repartition("token", "x", "y").sortWithinPartitions("token", "x", "y")
-            met = met.mapInArrow(all_pairs, "a long, ma long, b long, mb long")
+            met = met.select("low", "x", "y", "token", "chunk", "node", "meta", "root")
+            met = met.repartition("low", "x", "y").sortWithinPartitions("low", "x", "y", "token")
+            met = met.mapInArrow(all_pairs, "a long, ma long, b long, mb long, c long")
         pairs = candidates(met, percent)
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
@@ -290,9 +299,9 @@ def similar_groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataF
         done = pairs if done is None else done.union(pairs)
         found_roots = components(links, "join-components")
         roots = nodes.join(found_roots, "node", "left")
-        roots = staged(roots.select("node", F.coalesce("root", "node").alias("root")), "join-roots")
+        roots = staged(roots.select("node", "alone", F.coalesce("root", "node").alias("root")), "join-roots")
     # The smallest id of a component: minima are combined before they meet.
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = members.join(roots.select("node", "root"), "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = placed.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("component_id"))
     out = placed.join(least, "root", "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))

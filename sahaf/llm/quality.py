@@ -5,9 +5,9 @@ counts, continuation counts, discounts and back-off weights are Spark aggregatio
 tables are cut into shards by hash range, each of at most SHARD entries, and the n-grams
 of each block of documents are joined with the shards one after another.
 
-A document is kept when its perplexity lies between two quantiles of its language, taken
-over the trusted documents that were not trained on: text of unseen words is too
-surprising, endless repetition too little.
+A document is kept when its perplexity is at most a quantile of its language, taken over
+the trusted documents that were not trained on. There is no lower limit: documents that
+were trained on, and their copies, have the lowest perplexities.
 
 Words are runs of bytes other than blanks, with A to Z lowered. Nulls: a null text, like
 one without words, has no perplexity and is kept; a null language is a language of its
@@ -31,8 +31,8 @@ from sahaf.session import staged
 
 #: Trusted documents of a language that are trained on, about, and at most which share of them.
 TRAINED, MOST_SHARE = 250, 0.5
-#: Quantiles of the trusted perplexities between which a document is kept.
-LOW, HIGH = 0.001, 0.99
+#: Quantile of the trusted perplexities up to which a document is kept.
+HIGH = 0.99
 #: Entries of a shard.
 SHARD = 1 << 20
 #: Discounts where the counts of counts don't give any.
@@ -228,8 +228,8 @@ def scored(docs: DataFrame, shards) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def classify(docs: DataFrame, trusted: DataFrame, low: float = LOW, high: float = HIGH) -> DataFrame:
-    """Adds n_words, perplexity, low, high and keep to documents (doc_id, text, lang, ..).
+def classify(docs: DataFrame, trusted: DataFrame, high: float = HIGH) -> DataFrame:
+    """Adds n_words, perplexity, limit and keep to documents (doc_id, text, lang, ..).
 
     ``trusted`` has the ids (doc_id) of trusted documents. Documents are read to train,
     to take the quantiles of the other trusted ones, and to score all; no text is moved.
@@ -246,11 +246,8 @@ def classify(docs: DataFrame, trusted: DataFrame, low: float = LOW, high: float
     # About TRAINED ids for each language.
     shards = sharded(train(docs.select("doc_id", "text", "lang").join(F.broadcast(train_ids), "doc_id", "left_semi")))
     rest = scored(docs.select("doc_id", "text", "lang"), shards).select("doc_id", "lang", "perplexity").join(rest_ids, "doc_id", "left_semi")
-    limits = rest.groupBy(lang.alias("_lang")).agg(
-        F.percentile_approx("perplexity", [low, high], 100_000).alias("_limits")
-    )
-    limits = staged(limits.select("_lang", F.col("_limits")[0].alias("low"), F.col("_limits")[1].alias("high")), "quality-limits")
-    out = scored(docs.drop("low", "high", "keep"), shards).withColumn("_lang", lang)
+    limits = rest.groupBy(lang.alias("_lang")).agg(F.percentile_approx("perplexity", high, 100_000).alias("limit"))
+    limits = staged(limits, "quality-limits")
+    out = scored(docs.drop("limit", "keep"), shards).withColumn("_lang", lang)
     out = out.join(limits, "_lang", "left").drop("_lang")
-    outside = (F.col("perplexity") < F.col("low")) | (F.col("perplexity") > F.col("high"))
-    return out.withColumn("keep", ~F.coalesce(outside, F.lit(False)))
+    return out.withColumn("keep", ~F.coalesce(F.col("perplexity") > F.col("limit"), F.lit(False)))

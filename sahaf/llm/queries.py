@@ -48,7 +48,7 @@ def trusted_ids(spark, folder):
 def op3_quality(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     out = quality.classify(docs, trusted_ids(spark, folder))
-    return out.select("doc_id", "lang", "n_words", "perplexity", "low", "high", "keep")
+    return out.select("doc_id", "lang", "n_words", "perplexity", "limit", "keep")
 
 
 OP4_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, list_filter(string_split_regex(

@@ -1,30 +1,48 @@
-"""The stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns documents."""
+"""The stages of the corpus pipeline: each takes (spark, docs, sf_dir) and returns a DataFrame.
+
+All but the last return the columns of documents. Rows of one id are one document. A null
+text or id, an empty table and columns of any other name pass as in the operator called.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sahaf.llm import mixing
-from sahaf.llm.queries import EPOCHS, SHARE, WEIGHTS
+from sahaf.llm import lines, mixing, packing
+from sahaf.llm import ngram_join as join
+from sahaf.llm import quality as perplexity
+from sahaf.llm.queries import EPOCHS, SHARE, WEIGHTS, trusted_ids, vocabulary
 from sahaf.llm.registry import ship
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Documents whose perplexity lies within the limits of their language."""
+    ship(spark)
+    return perplexity.classify(docs, trusted_ids(spark, sf_dir)).where("keep").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Every document, without lines that an earlier line is as similar to."""
+    ship(spark)
+    return lines.without_repeats(docs)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """Of each group of near copies the document with the smallest id. Rows without id stay."""
+    ship(spark)
+    groups = join.similar_groups(docs.select("doc_id", "text"))
+    gone = groups.where(F.col("doc_id") != F.col("component_id")).select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
     ship(spark)
-    return mixing.mixed_texts(docs, mixing.plan(docs, WEIGHTS, SHARE, EPOCHS))
+    return mixing.mixed_texts(docs, WEIGHTS, SHARE, EPOCHS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    """The pieces of all documents and their places in sequences."""
+    ship(spark)
+    return packing.pack_documents(docs.select("doc_id", "text"), vocabulary(), packing.LENGTH)

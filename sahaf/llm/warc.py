@@ -123,7 +123,7 @@ def write_archives(pages: DataFrame, path: str) -> DataFrame:
         left = records()
         while (head := next(left, None)) is not None:
             name = f"{uuid.uuid4().hex}.warc.zst"
-            with store.open_output_stream(f"{base}/{name}") as out:
+            with store.open_output_stream(f"{base}/{name}", compression=None) as out:
                 count, size, _ = archive(_chain(head, left), out)
             yield pa.RecordBatch.from_pydict({"archive": [f"{path}/{name}"], "records": [count], "bytes": [size]})
 
@@ -176,7 +176,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 store, name = fs.FileSystem.from_uri(path)
-                with store.open_input_stream(name) as stream:
+                with store.open_input_stream(name, compression=None) as stream:
                     rows: list[tuple] = []
                     held = 0
                     for r in records_of(stream):
