@@ -5,43 +5,63 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed pattern. Groups: law number, name, article, second article.
-ORDINAL = r"(?:n?[ıiuü]?nc[ıiuü])?"
+# Fixed values of the wording: ordinal endings, one article ("25", "25/II-e", "8/3.", "8-10", each with or
+# without an ordinal), words between articles, and words that follow them.
+ORDINAL = r"(?:['’]?n?[ıiuü]?nc[ıiuü])?"
+ARTICLE = r"\d+(?:\s*-\s*\d+)?(?:/[\dIVX]+(?:-\p{L})?)?\.?\s*" + ORDINAL
+ARTICLES = ARTICLE + r"(?:\s*(?:,|ve|ile)\s*" + ARTICLE + r")*"
+# Groups: law number, name or abbreviation, articles.
 LAW_REFERENCE = (
-    r"(\d{3,4})\s+sayılı\s+((?:\p{L}+\s+){0,4}?(?:Kanun|Yasa|yasa|kanun))\p{L}*"
-    r"(?:\s+(?:Geçici\s+)?(\d+)(?:/\d+)?\.?\s*" + ORDINAL + r"\s*"
-    r"(?:ve\s+(\d+)\.?\s*" + ORDINAL + r"\s*)?madde)?"
+    r"(\d{3,4})\s+sayılı\s+((?:\p{L}+\s+){0,4}?(?:Kanun|Yasa|yasa|kanun)|[A-ZÇĞİÖŞÜ]{2,6}['’])\p{L}*(?:['’]\p{L}+)?"
+    r"(?:\s+(?:[Gg]eçici\s+|[Ee]k\s+)?(" + ARTICLES + r")\s*(?:madde|fıkra))?"
 )
 LEADING_LOWER = r"^(?:\p{Ll}+\s+)+"
 NONE = "0"
+#: A longer range of articles gives its two ends.
+LONGEST_RANGE = 100
 
 
 def law_name(captured: Column) -> Column:
-    """Name in the possessive form; a bare "law" names none."""
+    """Name in the possessive form, or the abbreviation; a bare "law" names none."""
     name = F.regexp_replace(captured, LEADING_LOWER, "")
     return (
-        F.when(F.lower(name).isin("kanun", "yasa"), F.lit(NONE))
+        F.when(name.rlike("['’]$"), F.regexp_replace(name, "['’]$", ""))
+        .when(F.lower(name).isin("kanun", "yasa"), F.lit(NONE))
         .when(F.lower(name).endswith("kanun"), F.concat(name, F.lit("u")))
         .otherwise(F.concat(name, F.lit("sı")))
     )
 
 
+def articles(listed: Column) -> Column:
+    """Article numbers of a list, ranges written out; 0 where none is stated."""
+
+    def numbers(item: Column) -> Column:
+        ends = F.transform(F.regexp_extract_all(item, F.lit(r"\d+"), F.lit(0)), lambda x: F.coalesce(x.try_cast("int"), F.lit(0)))
+        low, high = ends[0], F.element_at(ends, -1)
+        return F.when((high > low) & (high - low <= LONGEST_RANGE), F.sequence(low, high)).otherwise(ends)
+
+    plain = F.regexp_replace(listed, r"/[\dIVX]+(?:-\p{L})?", "")
+    items = F.regexp_extract_all(plain, F.lit(r"\d+(?:\s*-\s*\d+)?"), F.lit(0))
+    return F.when(F.size(items) == 0, F.array(F.lit(0))).otherwise(F.flatten(F.transform(items, numbers)))
+
+
 def law_references(text: Column) -> Column:
     """``array<struct<number int, law string, article int>>`` in text order.
 
-    0 (``'0'`` for the name) where a part is missing. Two articles of one law
-    ("8 inci ve 37 nci maddeleri") give two entries.
+    0 (``'0'`` for the name) where a part is missing. Several articles of one law
+    ("8 inci ve 37 nci maddeleri", "17-19 uncu maddeleri") give an entry each.
     """
-    number = lambda c: F.coalesce(c.try_cast("int"), F.lit(0))
 
     def entries(match):
         group = lambda n: F.regexp_extract(match, LAW_REFERENCE, n)
-        entry = lambda article: F.struct(
-            number(group(1)).alias("number"),
-            law_name(group(2)).alias("law"),
-            number(group(article)).alias("article"),
+        return F.transform(
+            articles(group(3)),
+            lambda article: F.struct(
+                F.coalesce(group(1).try_cast("int"), F.lit(0)).alias("number"),
+                law_name(group(2)).alias("law"),
+                article.alias("article"),
+            ),
         )
-        return F.when(group(4) != "", F.array(entry(3), entry(4))).otherwise(F.array(entry(3)))
 
     return F.flatten(
         F.transform(F.regexp_extract_all(text, F.lit(LAW_REFERENCE), F.lit(0)), entries)

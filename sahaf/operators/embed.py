@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
+from pyspark.sql.types import ArrayType, FloatType, StringType, StructField, StructType
 
 from sahaf.functions import vectors as V
 from sahaf.operators.terms import TermModel, fit_terms, term_counts, weigh, weigh_queries
@@ -72,22 +73,48 @@ def embed_with(
     make_model: Callable[[], Callable[[list[str]], list]],
     text_col: str = "text",
     out_col: str = "vec",
+    error_col: str | None = None,
 ) -> DataFrame:
     """Add embeddings from a model of the caller.
 
     ``make_model`` runs once per task and returns a function from a list of texts to a
-    list of vectors; it is called once per Arrow batch.
+    list of vectors; it is called once per Arrow batch. With ``error_col`` a batch that
+    fails is embedded text by text, and a text that fails has no vector but its error
+    there; without it the job ends.
     """
-    schema = StructType([*df.schema.fields, StructField(out_col, ArrayType(FloatType()))])
+    fields = [*df.schema.fields, StructField(out_col, ArrayType(FloatType()))]
+    schema = StructType([*fields, StructField(error_col, StringType())] if error_col else fields)
     names = schema.names
 
+    def floats(vector) -> list[float]:
+        return np.asarray(vector, dtype=np.float32).tolist()
+
+    def one_by_one(encode, texts: list[str]) -> tuple[list, list]:
+        vectors, errors = [], []
+        for text in texts:
+            try:
+                vectors.append(floats(encode([text])[0]))
+                errors.append(None)
+            except Exception as e:
+                vectors.append(None)
+                errors.append(f"{type(e).__name__}: {e}")
+        return vectors, errors
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = None
         for pdf in batches:
             if encode is None:
                 encode = make_model()
-            vectors = encode(pdf[text_col].tolist())
-            pdf[out_col] = [[float(x) for x in v] for v in vectors]
+            texts = pdf[text_col].tolist()
+            try:
+                vectors, errors = [floats(v) for v in encode(texts)], [None] * len(texts)
+            except Exception:
+                if not error_col:
+                    raise
+                vectors, errors = one_by_one(encode, texts)
+            pdf[out_col] = vectors
+            if error_col:
+                pdf[error_col] = errors
             yield pdf[names]
 
     return df.mapInPandas(run, schema)

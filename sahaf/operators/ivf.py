@@ -21,27 +21,24 @@ from sahaf.session import staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_CENTROIDS = 65_536
+#: The centroid table is held by every task; a larger one is refused.
 MAX_CENTROID_BYTES = 1 << 30
-TRAINING_ROWS_PER_CENTROID = 256
 
 
 def train_centroids(
-    vectors: DataFrame, nlist: int = 1024, seed: int = 42, max_iter: int = 10
+    vectors: DataFrame, nlist: int = 1024, seed: int = 42, max_iter: int = 10, share: float = 1.0
 ) -> DataFrame:
     """K-means centroids (cell int, centroid array<float>) of ``vectors(id, vec)``.
 
-    Training reads at most about ``256 * nlist`` rows, chosen by a hash of the id;
-    every row is assigned afterwards. ``nlist`` must not exceed the number of rows.
+    Trained on all rows, or on the ``share`` of them that the caller states, chosen by a
+    hash of the id. ``nlist`` must not exceed the number of rows.
     """
     rows = vectors.count()
     if nlist > rows:
         raise ValueError(f"nlist={nlist} exceeds the {rows} vectors")
-    wanted = TRAINING_ROWS_PER_CENTROID * nlist
     training = vectors
-    if rows > 2 * wanted:
-        share = rows // wanted
-        training = vectors.where(F.pmod(F.xxhash64("id"), F.lit(share)) == 0)
+    if share < 1.0:
+        training = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     training = training.select(array_to_vector(F.col("vec").cast("array<double>")).alias("features"))
     model = KMeans(k=nlist, seed=seed, maxIter=max_iter).fit(training)
     centers = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
@@ -52,7 +49,7 @@ def nearest_cells(vec: Column, centroids: DataFrame, n: int = 1, metric: str = "
     """The ``n`` nearest cells of a vector, nearest first, ties to the smaller cell."""
     table = bounded_table(
         centroids.select("cell", F.col("centroid").cast("array<double>").alias("centroid")),
-        MAX_CENTROIDS,
+        MAX_CENTROID_BYTES // 8,
         MAX_CENTROID_BYTES,
     )
     if table is None:

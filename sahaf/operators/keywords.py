@@ -176,9 +176,6 @@ def as_annotations(keywords: DataFrame) -> DataFrame:
     )
 
 
-def corpus_keywords(annotated: DataFrame) -> DataFrame:
-    """(keyword, score) over all documents: the least score of a keyword, ascending."""
-    flat = annotated.selectExpr("explode(arrays_zip(keywords.keyword, keywords.score)) AS k").selectExpr(
-        "k.keyword AS keyword", "k.score AS score"
-    )
-    return flat.groupBy("keyword").agg(F.min("score").alias("score")).orderBy("score", "keyword")
+def corpus_keywords(keywords: DataFrame) -> DataFrame:
+    """The least score of each keyword over all documents, ascending, from rows of :func:`extract_keywords`."""
+    return keywords.groupBy("keyword").agg(F.min("score").alias("score")).orderBy("score", "keyword")

@@ -321,7 +321,7 @@ def _block_pairs(corpus, queries, celled, block_rows, pair, ddl) -> DataFrame:
     def crowded(df: DataFrame, name: str) -> DataFrame:
         """Blocks of the cells with more than one; at most rows / block_rows entries."""
         count = df.groupBy("cell").count().where(F.col("count") > block_rows)
-        return F.broadcast(count.select("cell", F.ceil(F.col("count") / block_rows).alias(name)))
+        return count.select("cell", F.ceil(F.col("count") / block_rows).alias(name))
 
     left_cells, right_cells = crowded(corpus, "lbs"), crowded(queries, "rbs")
 
@@ -351,6 +351,7 @@ class Moments:
         self.low, self.high = np.full(size, np.inf), np.full(size, -np.inf)
 
     def add(self, x: np.ndarray) -> None:
+        x = x[np.isfinite(x).all(axis=1)]
         step = max(1, SCORE_CELLS // max(len(self.queries.ids), 1))
         for at in range(0, len(x), step):
             s = x[at : at + step] @ self.queries.matrix.T
@@ -373,7 +374,8 @@ def score_moments(
     corpus: DataFrame, queries: DataFrame, *, broadcast_bytes: int = 64 << 20, block_rows: int = 20_000
 ) -> DataFrame:
     """Mean, population deviation, least and greatest inner product of every query
-    over the whole corpus: (query_id, n, mean, std, min, max).
+    over the whole corpus: (query_id, n, mean, std, min, max). Vectors with a number that
+    is not finite don't count, as in :func:`top_k`.
 
     Tasks pass on one row of moments per query, never the scores.
     """

@@ -10,6 +10,10 @@ from sahaf.functions.citations import law_references
 from sahaf.operators.ivf import ivf_search
 from sahaf.operators.lsh import fit_lsh, lsh_search
 from sahaf.operators.nearest import top_k
+from sahaf.session import staged
+
+#: Hits that are sent to every task, a few dozen bytes each.
+MAX_SENT_HITS = 100_000
 
 
 def search(
@@ -30,11 +34,21 @@ def search(
     raise ValueError("method must be exact, ivf or lsh")
 
 
+def with_texts(hits: DataFrame, docs: DataFrame, key: str = "id") -> DataFrame:
+    """Hits with the columns of their documents.
+
+    Hits are written and counted first. Few enough are sent to the tasks that read the
+    documents, so the texts of the corpus stay where they are; more are joined by a shuffle.
+    """
+    hits = staged(hits, "hits")
+    return docs.join(F.broadcast(hits), key) if hits.count() <= MAX_SENT_HITS else hits.join(docs, key)
+
+
 def render_hits(hits: DataFrame, docs: DataFrame, length: int = 500, decimals: int = 3) -> DataFrame:
     """Hits with their text (joined after the ranking) as columns to print:
     (query_id, rank, id, score, preview). ``docs`` has ``id, text``.
     """
-    return hits.join(docs.select("id", "text"), "id").select(
+    return with_texts(hits, docs.select("id", "text")).select(
         "query_id",
         "rank",
         "id",

@@ -15,6 +15,7 @@ from sahaf.operators.lsh import fit_lsh, lsh_search
 from sahaf.operators.nearest import recall_at_k, score_moments, top_k
 from sahaf.operators.pooling import mean_pool
 from sahaf.operators.reduce import pca_reduce
+from sahaf.operators.search import with_texts
 from sahaf.plans.registry import query, table
 from sahaf.session import staged
 
@@ -103,7 +104,7 @@ def search_hits(spark, folder):
     vectors = corpus(spark, folder)
     docs = table(spark, folder, "documents")
     found = top_k(vectors, prototypes(vectors), 10, "ip").withColumnRenamed("id", "doc_id")
-    return found.join(docs, "doc_id").select(
+    return with_texts(found, docs, "doc_id").select(
         "query_id", "rank", "doc_id", F.round("score", 3).alias("score"), T.preview(F.col("text")).alias("preview")
     )
 

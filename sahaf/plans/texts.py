@@ -9,9 +9,10 @@ from sahaf.functions import html as H
 from sahaf.functions import text as T
 from sahaf.functions.wordlists import STOP_WORDS
 from sahaf.operators.embed import embed_documents, embed_texts
-from sahaf.operators.keywords import as_annotations, corpus_keywords, extract_keywords
+from sahaf.operators.keywords import corpus_keywords, extract_keywords
 from sahaf.operators.nearest import top_k
 from sahaf.operators.reduce import word2vec_documents
+from sahaf.operators.search import with_texts
 from sahaf.operators.summarize import summarize, summary_report
 from sahaf.operators.terms import fit_hashed_tfidf, fit_terms, ngram_counts, term_counts, tfidf, tfidf_search
 from sahaf.plans.registry import java_lower_words, query, quoted, replace_all, table
@@ -268,7 +269,7 @@ def semantic_search(spark, folder):
     corpus = embed_documents(docs, DIM, model, counts).withColumnRenamed("doc_id", "id")
     queries = embed_texts(asked, model, DIM).toDF("query_id", "query_vec")
     found = top_k(corpus, queries, 5, "ip").withColumnRenamed("id", "doc_id")
-    return found.join(docs, "doc_id").select(
+    return with_texts(found, docs, "doc_id").select(
         "query_id", "rank", "doc_id", F.round("score", 6).alias("score"), T.preview(F.col("text")).alias("preview")
     )
 
@@ -390,32 +391,43 @@ def keywords_per_doc(spark, folder):
 )
 def keywords_corpus(spark, folder):
     """Keywords of all documents, the best score of each."""
-    found = as_annotations(extract_keywords(documents(spark, folder)))
+    found = extract_keywords(documents(spark, folder))
     return corpus_keywords(found).select("keyword", F.round("score", 9).alias("score"))
 
 
 # --- law references ---------------------------------------------------------
 
-LAWS = ["İş Kanununun", "Türk Medenî Kanununun", "yasanın", "önceki İş Yasasının", "Borçlar Kanununda"]
-FORMS = [" üncü maddesinde", " inci ve 7 nci maddelerinin", ". maddesi", "nci maddenin", " sayfasında"]
+# Wordings of laws and of articles, and by hand the name and the articles that each of them states.
+LAWS = [
+    ("İş Kanununun", "İş Kanunu"), ("Türk Medenî Kanununun", "Türk Medenî Kanunu"), ("yasanın", "0"),
+    ("önceki İş Yasasının", "İş Yasası"), ("Borçlar Kanununda", "Borçlar Kanunu"), ("HMK'nın", "HMK"),
+    ("İş Kanunu'nun", "İş Kanunu"), ("Basın Yasası’nın", "Basın Yasası"),
+]
+FORMS = [
+    (" üncü maddesinde", []), (" inci ve 7 nci maddelerinin", [7]), (". maddesi", []), ("nci maddenin", []),
+    (" sayfasında", None), (", 18 ve 19 uncu maddeleri", [18, 19]), ("/II-e maddesi", []), ("/3. fıkrası", []),
+    (" ve 8-10 uncu maddeleri", [8, 9, 10]),
+]
+
+
+def _stated_sql(number: str, law: str, article: str, form: str) -> str:
+    """Rows that one injected reference states, from its parts and not from a pattern."""
+    names = [x for _, x in LAWS]
+    more = ", ".join("NULL" if x is None else f"{x}::INT[]" for _, x in FORMS)
+    own = f"([{more}])[{form}]"
+    return f"""SELECT doc_id, ({number})::INT AS number, ({names})[{law}] AS law,
+      unnest(CASE WHEN {own} IS NULL THEN [0] ELSE list_concat([({article})::INT], {own}) END) AS article FROM documents"""
 
 
 @query(
     "citations",
-    f"""WITH legal AS (SELECT doc_id, (1000 + doc_id % 9000) || ' sayılı ' || ({LAWS})[doc_id % 5 + 1] || ' ' || (doc_id % 400 + 1)
-        || ({FORMS})[doc_id // 5 % 5 + 1] || ' ' || text || ' ' || (100 + doc_id % 900) || ' sayılı ' || ({LAWS})[doc_id // 3 % 5 + 1]
-        || ' ' || (doc_id % 90 + 1) || ({FORMS})[doc_id // 7 % 5 + 1] AS text FROM documents),
-    found AS (SELECT doc_id, {", ".join(f"regexp_extract_all(text, {quoted(C.LAW_REFERENCE)}, {i}) AS g{i}" for i in range(1, 5))} FROM legal),
-    long AS (SELECT doc_id, unnest(g1) AS number, regexp_replace(unnest(g2), {quoted(C.LEADING_LOWER)}, '') AS name,
-        unnest(g3) AS a, unnest(g4) AS b FROM found),
-    both_articles AS (SELECT doc_id, number, name, a AS article FROM long UNION ALL SELECT doc_id, number, name, b FROM long WHERE b <> '')
-    SELECT doc_id, number::INT AS number,
-      CASE WHEN lower(name) IN ('kanun', 'yasa') THEN '0' WHEN lower(name) LIKE '%kanun' THEN name || 'u' ELSE name || 'sı' END AS law,
-      coalesce(try_cast(article AS INT), 0) AS article FROM both_articles""",
+    _stated_sql("1000 + doc_id % 9000", "doc_id % 8 + 1", "doc_id % 400 + 1", "doc_id // 5 % 9 + 1")
+    + " UNION ALL "
+    + _stated_sql("100 + doc_id % 900", "doc_id // 3 % 8 + 1", "doc_id % 90 + 1", "doc_id // 7 % 9 + 1"),
 )
 def citations(spark, folder):
     """Law references in the documents, each given two in the wording of court texts."""
-    pick = lambda entries, i: F.get(F.array(*map(F.lit, entries)), (i % 5).cast("int"))
+    pick = lambda entries, i: F.get(F.array(*[F.lit(x) for x, _ in entries]), (i % len(entries)).cast("int"))
     i = F.col("doc_id")
     legal = F.concat(
         1000 + i % 9000, F.lit(" sayılı "), pick(LAWS, i), F.lit(" "), i % 400 + 1, pick(FORMS, F.floor(i / 5)),

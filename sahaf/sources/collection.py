@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,23 +72,25 @@ def check_contract(rows: DataFrame, dim: int = DIM, existing: DataFrame | None =
     """
     counts = rows.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("copies"))
     repeated = counts.where("copies > 1")
-    marked = join_frequent_first(rows, repeated, "id", "copies")
+    # Rows without an id meet nothing; they stay out of the joins, where they would be one key.
+    named = rows.where("id IS NOT NULL")
+    marked = join_frequent_first(named, repeated, "id", "copies")
     present = F.lit(False)
     if existing is not None:
-        fresh = rows.select("id").distinct()
+        fresh = named.select("id").distinct()
         known = existing.select("id").join(fresh, "id", "left_semi").distinct()
         marked = marked.join(known.withColumn("present", F.lit(True)), "id", "left")
         present = F.coalesce("present", F.lit(False))
     reason = (
-        F.when(F.col("id").isNull(), F.lit("id missing"))
-        .when(F.octet_length("id") > MAX_ID_BYTES, F.lit("id too long"))
+        F.when(F.octet_length("id") > MAX_ID_BYTES, F.lit("id too long"))
         .when(F.octet_length("text") > MAX_TEXT_BYTES, F.lit("text too long"))
         .when(F.col("vec").isNull(), F.lit("vector missing"))
         .when(F.size("vec") != dim, F.lit("wrong dimension"))
         .when(F.col("copies") > 1, F.lit("id repeated"))
         .when(present, F.lit("id exists"))
     )
-    return marked.select(*rows.columns, reason.alias("reason"))
+    nameless = rows.where("id IS NULL").select(*rows.columns, F.lit("id missing").alias("reason"))
+    return marked.select(*rows.columns, reason.alias("reason")).union(nameless)
 
 
 def append(rows: DataFrame, name: str, dim: int = DIM, normalize: bool = True) -> DataFrame:
@@ -120,10 +124,13 @@ def keep_where_not(rows: DataFrame, predicate: Column | str) -> DataFrame:
 def delete_where(spark: SparkSession, name: str, predicate: Column | str) -> None:
     """Delete rows of a collection by writing a new table and renaming it.
 
-    The old table stays as it is until the new one is complete.
+    The old table stays as it is until the new one is complete, and the new one has its
+    partitioning. The new table has a name of its own, so no other table is touched.
     """
-    fresh = f"{name}_kept"
-    keep_where_not(spark.table(name), predicate).write.mode("overwrite").saveAsTable(fresh)
+    fresh = f"{name}_kept_{uuid.uuid4().hex}"
+    by = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    writer = keep_where_not(spark.table(name), predicate).write.mode("errorifexists")
+    (writer.partitionBy(*by) if by else writer).saveAsTable(fresh)
     spark.sql(f"DROP TABLE {name}")
     spark.sql(f"ALTER TABLE {fresh} RENAME TO {name}")
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sahaf.functions import text as T
+from sahaf.functions import vectors as V
 from sahaf.sources.collection import SCHEMA, check_contract
 from sahaf.sources.files import ENVELOPE, convert_envelopes, with_file
 
@@ -50,7 +51,8 @@ def stream_embedding(
 ) -> StreamingQuery:
     """Embed new Markdown files and add them to the table at ``target``.
 
-    ``embed`` adds ``vec`` to ``(id, text)``. Every batch writes its own
+    ``embed`` adds ``vec`` to ``(id, text)``; it is brought to unit length, as by
+    :func:`sahaf.sources.collection.append`. Every batch writes its own
     ``batch_id`` partition and replaces it, so a batch that is run again after a
     failure leaves no second copy. Rows that break the contract go to
     ``<target>_rejected`` with the reason.
@@ -74,7 +76,8 @@ def stream_embedding(
         checked = check_contract(rows, dim, earlier)
         bad = checked.where("reason IS NOT NULL")
         bad.write.mode("overwrite").parquet(f"{target}_rejected/batch_id={batch_id}")
-        good = checked.where("reason IS NULL").drop("reason")
+        vec = V.to_float(V.normalize(F.col("vec")))
+        good = checked.where("reason IS NULL").select("id", "text", vec.alias("vec"))
         good.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
         rows.unpersist()
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from sahaf.operators.ivf import assign_cells, ivf_search, nearest_cells, read_ivf, train_centroids, write_ivf
 from sahaf.operators.lsh import approx_neighbors, fit_lsh, lsh_search
 from sahaf.operators.nearest import recall_at_k, score_moments, top_k
-from sahaf.operators.search import render_hits, search
-from sahaf.operators.reduce import bounded_vocabulary, pca_reduce, word2vec_documents
+from sahaf.operators.search import render_hits, search, with_texts
+from sahaf.operators.embed import embed_with
+from sahaf.operators.reduce import hashed_words, pca_reduce, word2vec_documents
 
 DIM = 8
 SMALL = {"broadcast_bytes": 1, "block_rows": 40}  # forces the block plan with many blocks
@@ -163,15 +164,52 @@ def test_pca_keeps_most_variance(spark):
     assert got.var(axis=0, ddof=1) == pytest.approx(top, abs=1e-6)
 
 
-def test_word2vec_and_bounded_vocabulary(spark):
+def test_word2vec_of_hashed_words(spark):
     docs = spark.createDataFrame([(1, "a b a c"), (2, "b a d e f"), (3, "a b g")], "doc_id int, text string")
     vectors = word2vec_documents(docs, size=6, partitions=1).collect()
     assert sorted(r.doc_id for r in vectors) == [1, 2, 3] and all(len(r.vec) == 6 for r in vectors)
-    words = docs.select("doc_id", F.split("text", " ").alias("words"))
-    got = {r.doc_id: r.words for r in bounded_vocabulary(words, 2, 2).collect()}
-    assert got[1][:3] == ["a", "b", "a"] and got[1][3].startswith("\x01")
+    words = docs.select("doc_id", hashed_words(F.split("text", " "), 4).alias("words"))
+    got = {r.doc_id: r.words for r in words.collect()}
+    assert got[1][0] == got[1][2] == got[2][1] == got[3][0]
     assert {i: len(w) for i, w in got.items()} == {1: 4, 2: 5, 3: 3}
-    assert len({w for ws in got.values() for w in ws}) <= 4
+    assert {w for ws in got.values() for w in ws} <= {"0", "1", "2", "3"}
+
+
+def test_centroids_of_all_rows_or_a_stated_share(spark):
+    vectors = spark.range(3000).selectExpr("id", "array(float(id % 4), float(id % 3)) AS vec")
+    assert train_centroids(vectors, nlist=2).count() == train_centroids(vectors, nlist=2, share=0.5).count() == 2
+
+
+def test_moments_pass_over_non_finite_vectors(spark):
+    corpus = spark.createDataFrame([(0, [1.0, 0.0]), (1, [float("nan"), 1.0]), (2, [3.0, 0.0])], "id long, vec array<double>")
+    asked = spark.createDataFrame([(7, [1.0, 1.0])], "query_id long, query_vec array<double>")
+    row = score_moments(corpus, asked).first()
+    assert (row.n, row["mean"], row["min"], row["max"]) == (2, 2.0, 1.0, 3.0)
+
+
+def test_hits_leave_the_texts_where_they_are(spark, monkeypatch):
+    hits = spark.createDataFrame([(1, 1, 5, 0.5)], "query_id long, rank int, id long, score double")
+    docs = spark.range(100).selectExpr("id", "concat('t', id) AS text")
+    sent = with_texts(hits, docs)
+    assert "BroadcastHashJoin" in sent._jdf.queryExecution().executedPlan().toString() and sent.first().text == "t5"
+    monkeypatch.setattr("sahaf.operators.search.MAX_SENT_HITS", 0)
+    assert with_texts(hits, docs).first().text == "t5"
+
+
+def test_failing_texts_have_their_error(spark):
+    def make():
+        def encode(texts):
+            if "bad" in texts:
+                raise ValueError("no")
+            return [[len(t), 0.5] for t in texts]
+
+        return encode
+
+    df = spark.createDataFrame([(1, "abc"), (2, "bad"), (3, "d")], "id long, text string").coalesce(1)
+    got = {r.id: (r.vec, r.error) for r in embed_with(df, make, error_col="error").collect()}
+    assert got == {1: ([3.0, 0.5], None), 2: (None, "ValueError: no"), 3: ([1.0, 0.5], None)}
+    with pytest.raises(Exception, match="no"):
+        embed_with(df, make).collect()
 
 
 def test_search_entry_point_and_rendering(spark, frames):

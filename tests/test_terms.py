@@ -201,8 +201,8 @@ def test_keywords_follow_the_formulas(spark):
 
 
 def test_corpus_keywords_take_the_least_score(spark):
-    rows = [(1, [("a b", 0.5), ("c d", 0.1)]), (2, [("a b", 1.0e-4)])]
-    df = spark.createDataFrame(rows, "doc_id bigint, keywords array<struct<keyword string, score double>>")
+    rows = [(1, "a b", 0.5), (1, "c d", 0.1), (2, "a b", 1.0e-4)]
+    df = spark.createDataFrame(rows, "doc_id bigint, keyword string, score double")
     assert [tuple(r) for r in corpus_keywords(df).collect()] == [("a b", 1.0e-4), ("c d", 0.1)]
 
 

@@ -112,6 +112,14 @@ def test_html_to_markdown(spark, html, expected):
         ("4721 sayılı Türk Medenî Kanununun 599 uncu maddesinde", [(4721, "Türk Medenî Kanunu", 599)]),
         ("4857 sayılı İş Kanununun 8 inci ve 37 nci maddelerinin", [(4857, "İş Kanunu", 8), (4857, "İş Kanunu", 37)]),
         ("no law here", []),
+        ("1475 sayılı Yasa’nın 17, 18 ve 19 uncu maddeleri", [(1475, "0", 17), (1475, "0", 18), (1475, "0", 19)]),
+        ("4857 sayılı İş Kanunu'nun 18. maddesi", [(4857, "İş Kanunu", 18)]),
+        ("4857 sayılı İş Kanununun 25/II maddesi", [(4857, "İş Kanunu", 25)]),
+        ("4857 sayılı İş Kanununun 25/II-e maddesi", [(4857, "İş Kanunu", 25)]),
+        ("4857 sayılı Kanunun geçici 6. maddesi", [(4857, "0", 6)]),
+        ("1475 sayılı İş Kanununun 8/3. fıkrası", [(1475, "İş Kanunu", 8)]),
+        ("1475 sayılı İş Kanununun 8-10 uncu maddeleri", [(1475, "İş Kanunu", n) for n in (8, 9, 10)]),
+        ("6100 sayılı HMK'nın 297. maddesi", [(6100, "HMK", 297)]),
     ],
 )
 def test_law_references(spark, text, expected):
