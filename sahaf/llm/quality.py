@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -207,9 +208,11 @@ def log_probability(shards, texts: pa.Array, langs: pa.Array) -> tuple[np.ndarra
     return total, n
 
 
-def scored(docs: DataFrame, shards) -> DataFrame:
-    """Adds n_words and perplexity, null for a text without words or a language without model."""
-    sent = docs.sparkSession.sparkContext.broadcast(shards)
+def scored(docs: DataFrame, sent: Broadcast) -> DataFrame:
+    """Adds n_words and perplexity, null for a text without words or a language without model.
+
+    ``sent`` holds the shards of the model.
+    """
     docs = docs.drop("n_words", "perplexity")
     names = docs.columns
     text, lang = names.index("text"), names.index("lang")
@@ -244,10 +247,11 @@ def classify(docs: DataFrame, trusted: DataFrame, high: float = HIGH) -> DataFra
     drawn = staged(drawn, "quality-trusted")
     train_ids, rest_ids = drawn.where("drawn").select("doc_id"), drawn.where("not drawn").select("doc_id")
     # About TRAINED ids for each language.
-    shards = sharded(train(docs.select("doc_id", "text", "lang").join(F.broadcast(train_ids), "doc_id", "left_semi")))
-    rest = scored(docs.select("doc_id", "text", "lang"), shards).select("doc_id", "lang", "perplexity").join(rest_ids, "doc_id", "left_semi")
+    model = train(docs.select("doc_id", "text", "lang").join(F.broadcast(train_ids), "doc_id", "left_semi"))
+    sent = docs.sparkSession.sparkContext.broadcast(sharded(model))
+    rest = scored(docs.select("doc_id", "text", "lang"), sent).select("doc_id", "lang", "perplexity").join(rest_ids, "doc_id", "left_semi")
     limits = rest.groupBy(lang.alias("_lang")).agg(F.percentile_approx("perplexity", high, 100_000).alias("limit"))
     limits = staged(limits, "quality-limits")
-    out = scored(docs.drop("limit", "keep"), shards).withColumn("_lang", lang)
+    out = scored(docs.drop("limit", "keep"), sent).withColumn("_lang", lang)
     out = out.join(limits, "_lang", "left").drop("_lang")
     return out.withColumn("keep", ~F.coalesce(F.col("perplexity") > F.col("limit"), F.lit(False)))
