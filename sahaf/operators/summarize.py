@@ -93,7 +93,9 @@ def pair_cosine(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
 
 
 def summary_report(docs: DataFrame, dim: int = 1024, sentences: int = 3, slots: int = 256) -> DataFrame:
-    """(doc_id, cos_summary, cos_other): every document against its summary and
+    """All documents of a slot share one of two control texts, at every size of the corpus.
+
+    (doc_id, cos_summary, cos_other): every document against its summary and
     against a document of another language.
     """
     counts = staged(term_counts(docs), "counts")

@@ -19,6 +19,7 @@ MAX_ID_BYTES = 100
 MAX_TEXT_BYTES = 65_535
 DIM = 1024
 
+# Columns of a collection.
 SCHEMA = StructType(
     [
         StructField("id", StringType(), False),
@@ -28,9 +29,10 @@ SCHEMA = StructType(
 )
 
 
-def create_collection(spark: SparkSession, name: str) -> None:
-    """Make an empty collection unless it exists."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} (id STRING, text STRING, vec ARRAY<FLOAT>) USING parquet")
+def create_collection(spark: SparkSession, name: str, more: str = "") -> None:
+    """Make an empty collection unless it exists; ``more`` declares columns of the caller ("lang STRING, year INT")."""
+    columns = "id STRING, text STRING, vec ARRAY<FLOAT>" + (f", {more}" if more else "")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
 
 
 def collection_exists(spark: SparkSession, name: str) -> bool:
@@ -49,10 +51,7 @@ def load_collection(spark: SparkSession, name: str) -> DataFrame:
 
 def read_segments(spark: SparkSession, paths: list[str]) -> DataFrame:
     """One frame over the files of several segments, matched by column name."""
-    out = spark.read.parquet(paths[0])
-    for path in paths[1:]:
-        out = out.unionByName(spark.read.parquet(path), allowMissingColumns=True)
-    return out
+    return spark.read.option("mergeSchema", True).parquet(*paths)
 
 
 def scan(source: DataFrame, predicate: Column | str | None = None, columns: list[str] | None = None) -> DataFrame:
@@ -97,15 +96,21 @@ def append(rows: DataFrame, name: str, dim: int = DIM, normalize: bool = True) -
     """Append good rows to a collection and return the others with their reason.
 
     Vectors are brought to unit length unless ``normalize`` is off. An empty frame
-    appends nothing.
+    appends nothing. Columns that the collection has and the rows lack become null; a
+    column that the collection lacks is an error, so nothing is dropped.
     """
     spark = rows.sparkSession
-    fresh = staged(rows.select("id", "text", "vec"), "append")
+    columns = spark.table(name).columns
+    if unknown := [c for c in rows.columns if c not in columns]:
+        raise ValueError(f"the collection has no column {', '.join(unknown)}")
+    fresh = staged(rows, "append")
     checked = check_contract(fresh, dim, spark.table(name))
     # Written before the insert: afterwards the good ids would count as existing.
     rejected = staged(checked.where("reason IS NOT NULL"), "rejected")
     vec = V.to_float(V.normalize(F.col("vec"))) if normalize else V.to_float(F.col("vec"))
-    checked.where("reason IS NULL").select("id", "text", vec.alias("vec")).write.mode("append").insertInto(name)
+    own = {c: F.col(c) if c in rows.columns else F.lit(None) for c in columns} | {"vec": vec}
+    good = checked.where("reason IS NULL").select(*[v.alias(c) for c, v in own.items()])
+    good.write.mode("append").insertInto(name)
     return rejected
 
 

@@ -168,3 +168,23 @@ def test_incremental_embedding(spark, tmp_path):
     (source / "3.markdown.md").write_text("other id")
     run()
     assert spark.read.parquet(target).count() == 5
+
+
+def test_callers_columns_are_kept(spark):
+    name = "with_columns"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    C.create_collection(spark, name, "lang STRING, year INT")
+    some = spark.createDataFrame([("a", "t", [3.0, 4.0], "tr"), (None, "u", [1.0, 0.0], "de")], "id string, text string, vec array<float>, lang string")
+    rejected = C.append(some, name, dim=2)
+    assert [(r.lang, r.reason) for r in rejected.collect()] == [("de", "id missing")]
+    got = spark.table(name).first()
+    assert (got.id, got.lang, got.year) == ("a", "tr", None) and got.vec == pytest.approx([0.6, 0.8])
+    with pytest.raises(ValueError, match="source"):
+        C.append(some.withColumn("source", F.lit("x")), name, dim=2)
+
+
+def test_segments_are_matched_by_name(spark, tmp_path):
+    spark.createDataFrame([(1, "a")], "id long, x string").write.parquet(str(tmp_path / "1"))
+    spark.createDataFrame([("b", 2)], "y string, id long").write.parquet(str(tmp_path / "2"))
+    out = C.read_segments(spark, [str(tmp_path / "1"), str(tmp_path / "2")])
+    assert {(r.id, r.x, r.y) for r in out.collect()} == {(1, "a", None), (2, None, "b")}
