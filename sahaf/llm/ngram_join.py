@@ -152,10 +152,21 @@ def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (token, node, meta)], names=["token", "node", "meta"])
 
 
+def needed(ma: np.ndarray, mb: np.ndarray, percent: int) -> np.ndarray:
+    """How many prefix shingles a pair must share."""
+    n, m = ma >> 3, mb >> 3
+    whole = -(-(n + m) * percent // (100 + percent))
+    return np.minimum(whole - least_overlap(n, percent) + (ma & 7), whole - least_overlap(m, percent) + (mb & 7))
+
+
 def all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of different components in each block, within the length limits, and how many tokens they share there."""
+    """Pairs of different components in each block, within the length limits, and how many tokens they share there.
+
+    ``total`` is how many tokens of a set are in any block. What a set has elsewhere bounds
+    how many more a pair can share; pairs that can't come to enough are not passed on.
+    """
     for rows in runs(batches, ["low", "x", "y"]):
-        c = {k: rows.column(k).to_numpy() for k in ("low", "x", "y", "token", "chunk", "node", "meta", "root")}
+        c = {k: rows.column(k).to_numpy() for k in ("low", "x", "y", "token", "chunk", "node", "meta", "root", "total")}
         changed = np.ones(len(rows), dtype=bool)
         changed[1:] = np.any([c[k][1:] != c[k][:-1] for k in ("low", "x", "y", "token")], axis=0)
         cuts = np.append(np.flatnonzero(changed), len(rows))
@@ -181,6 +192,15 @@ def all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(codes):
             p, q = codes // len(nodes), codes % len(nodes)
             meta = c["meta"][first]
+            # A table may hold several blocks of a set; counting them all as one keeps the bound safe
+            # only for a single block, so elsewhere is taken from the block where the set has fewest.
+            block = np.cumsum(np.append(True, np.any([c[k][1:] != c[k][:-1] for k in ("low", "x", "y")], axis=0)))
+            each, rows_there = np.unique(block * len(nodes) + place, return_counts=True)
+            here = np.full(len(nodes), np.iinfo(np.int64).max)
+            np.minimum.at(here, each % len(nodes), rows_there)
+            more = c["total"][first] - here
+            enough = counts + np.minimum(more[p], more[q]) >= needed(meta[p], meta[q], PERCENT)
+            p, q, counts = p[enough], q[enough], counts[enough]
             columns = [nodes[p], meta[p], nodes[q], meta[q], counts]
             yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["a", "ma", "b", "mb", "c"])
 
@@ -284,10 +304,11 @@ def similar_groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataF
             # tokens are counted before it is passed on; groups of many rows are cut by node.
             groups = tokens.groupBy("low").agg(F.ceil(F.sum("n") / CHUNK).cast("int").alias("chunks"))
             met = rows.join(tokens.select("token", "low").join(groups, "low"), "token")
+            met = met.join(met.groupBy("node").agg(F.count("*").alias("total")), "node")
             met = met.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
             met = met.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
             met = met.withColumn("x", F.least("chunk", "with")).withColumn("y", F.greatest("chunk", "with"))
-            met = met.select("low", "x", "y", "token", "chunk", "node", "meta", "root")
+            met = met.select("low", "x", "y", "token", "chunk", "node", "meta", "root", "total")
             met = met.repartition("low", "x", "y").sortWithinPartitions("low", "x", "y", "token")
             met = met.mapInArrow(all_pairs, "a long, ma long, b long, mb long, c long")
         pairs = candidates(met, percent)
