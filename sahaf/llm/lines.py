@@ -112,15 +112,15 @@ def verified(pairs: DataFrame, lines: DataFrame, firsts: DataFrame, ranks: Colum
     pairs = staged(pairs, "lines-pairs")
     needed = pairs.select(F.explode(F.array("later", "earlier")).alias("node")).distinct()
     needed = staged(needed.join(firsts, "node").select("node", "first"), "lines-needed")
-    slot = F.pmod("node", F.lit(1 << FILTER_BITS))
+    place = F.struct("z", "doc_id", "dkey", "no").alias("first")
+    slot = F.pmod(F.xxhash64("node", "first"), F.lit(1 << FILTER_BITS))
     words = needed.groupBy(F.shiftright(slot, 5).alias("i")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(31).cast("int"))).alias("w"))
     every = lines.sparkSession.range(1 << (FILTER_BITS - 5)).select(F.col("id").alias("i"))
     words = every.join(words, "i", "left").select("i", F.coalesce("w", F.lit(0)).alias("w"))
     table = staged(words.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "w"))), lambda p: p["w"]).alias("bits")), "lines-bits")
     word = F.get(table.scalar(), F.shiftright(slot, 5).cast("int"))
     held = F.call_function("shiftright", word, slot.bitwiseAND(31).cast("int")).bitwiseAND(1) == 1
-    place = F.struct("z", "doc_id", "dkey", "no").alias("first")
-    rows = lines.where(held).select("node", place, "line").join(needed, ["node", "first"], "left_semi")
+    rows = lines.select("node", place, "line").where(held).join(needed, ["node", "first"], "left_semi")
     sets = staged(rows.dropDuplicates(["node"]).select("node", tokens(F.col("line"), ranks).alias("tokens")), "lines-sets")
     both = pairs.join(sets.select(F.col("node").alias("later"), "tokens"), "later")
     both = both.join(sets.select(F.col("node").alias("earlier"), F.col("tokens").alias("others")), "earlier")
