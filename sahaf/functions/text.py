@@ -14,7 +14,8 @@ from sahaf.functions.wordlists import STOP_WORDS, SUFFIXES
 # Fixed patterns.
 NOT_ASCII_LETTER = r"[^a-zA-Z\s]"
 NOT_LETTER = r"[^\p{L}\s]"
-SENTENCE = r"([^.!?\n]+[.!?]*)"
+# A dot before a digit belongs to a date or number. The bound keeps Java from deep recursion.
+SENTENCE = r"([^.!?\n]+(?:\.\d[^.!?\n]*){0,100}[.!?]*)"
 TOKEN = r"(\p{L}+|\d+|[().?!,])"
 WORD = r"(\p{L}+|\d+)"
 CHUNK_BREAK = r"[().?!,]+"
@@ -44,7 +45,10 @@ def simple_tokens(text: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    """Sentences in order; they end after ``.``, ``!``, ``?`` or at a line break."""
+    """Sentences in order; they end after ``.``, ``!``, ``?`` or at a line break.
+
+    Dates and decimals stay whole; a dot after an ordinal or an abbreviation ends one.
+    """
     return F.filter(
         F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(1)), lambda s: F.trim(s) != ""
     )

@@ -65,7 +65,8 @@ def convert_errors(spark, folder):
 
 # --- words and sentences ----------------------------------------------------
 
-SENTENCES = f"list_filter(regexp_extract_all({{0}}, {quoted(T.SENTENCE)}, 1), lambda s: trim(s) <> '')"
+_PATTERN = quoted(T.SENTENCE).replace("{", "{{").replace("}", "}}")
+SENTENCES = f"list_filter(regexp_extract_all({{0}}, {_PATTERN}, 1), lambda s: trim(s) <> '')"
 WORDS = java_lower_words("{0}", T.NOT_LETTER).replace("{L}", "{{L}}")
 
 

@@ -24,6 +24,10 @@ def test_clean_and_words(spark):
 def test_sentences_and_tokens(spark):
     text = "One. Two!? \n\nThree (3) ends"
     assert apply(spark, T.sentences(t), text) == ["One.", " Two!?", "Three (3) ends"]
+    dated = "Filed 30.04.2008 for 1.250 lira. Dismissed."
+    assert apply(spark, T.sentences(t), dated) == ["Filed 30.04.2008 for 1.250 lira.", " Dismissed."]
+    many = "1." * 20_000 + "1"
+    assert "".join(apply(spark, T.sentences(t), many)) == many
     assert apply(spark, T.tokens(t), "a1 (b), c?") == ["a", "1", "(", "b", ")", ",", "c", "?"]
     assert apply(spark, T.word_chunks(t), "one two, three (four)") == [["one", "two"], ["three"], ["four"]]
     assert apply(spark, T.simple_tokens(t), "A b,C") == ["a", "b,c"]
