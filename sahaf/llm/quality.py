@@ -1,9 +1,14 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney trigram model of trusted text.
 
-The model is trained, per language, on a bounded hash sample of trusted documents; its
-counts, continuation counts, discounts and back-off weights are Spark aggregations. The
-tables are cut into shards by hash range, each of at most SHARD entries, and the n-grams
-of each block of documents are joined with the shards one after another.
+The model is trained, per language, on the share SHARE of all trusted documents, so its
+counts grow with them; counts, continuation counts, discounts and back-off weights are
+Spark aggregations. The log probability of a text is written as a sum over its n-grams:
+the language's floor for each word, and for each n-gram of the model what it adds to what
+the shorter ones give. So n-grams are looked up one by one: the FREQUENT entries that were
+counted most are sent to the tasks, all others are joined in Spark with the n-grams
+(document, key, counts) of the documents, and summed by document. Before that join, a
+table of bits of fixed size drops n-grams that are in no entry; it only saves rows.
+Values are multiples of 2^-30, so that sums don't depend on their order.
 
 A document is kept when its perplexity is at most a quantile of its language, taken over
 the trusted documents that were not trained on. There is no lower limit: documents that
@@ -23,19 +28,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sahaf.llm.words import _PLACE, blocks, mixed, span_hashes, words
 from sahaf.session import staged
 
-#: Trusted documents of a language that are trained on, about, and at most which share of them.
-TRAINED, MOST_SHARE = 250, 0.5
+#: Share of the trusted documents that are trained on; the others give the limits.
+SHARE = 0.5
 #: Quantile of the trusted perplexities up to which a document is kept.
 HIGH = 0.99
-#: Entries of a shard.
-SHARD = 1 << 20
+#: Entries of a shard; entries that are sent to the tasks; bits of the table before the join.
+SHARD, FREQUENT, FILTER_BITS = 1 << 20, 1 << 20, 27
+#: Values are multiples of 1 / UNIT.
+UNIT = float(1 << 30)
 #: Discounts where the counts of counts don't give any.
 DISCOUNTS = (0.5, 0.75, 0.9)
 
@@ -86,7 +92,7 @@ def training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def discounted(counts: DataFrame, context: list[str], own: list[str], keep: list[str]) -> tuple[DataFrame, DataFrame]:
     """Entries and contexts of one order from rows (lang, context.., own.., c).
 
-    Entries have ``a`` = (c - D(c)) / total of the context, contexts have ``g`` = the weight
+    Entries have ``a`` = (c - D(c)) / total of the context, and both have ``g`` = the weight
     that the discounts leave to the next lower order. D has one value for counts of one,
     two, and more, from how many entries of the language have counts 1 to 4.
     """
@@ -100,14 +106,28 @@ def discounted(counts: DataFrame, context: list[str], own: list[str], keep: list
     for k in (1, 2, 3):
         d = k - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}"))
         ds.append(F.coalesce(F.when(fine & (d > 0) & (d < k), d), F.lit(DISCOUNTS[k - 1])).alias(f"d{k}"))
-    # One row per language of the sample, of which there are at most as many as documents trained on.
-    with_d = counts.join(F.broadcast(n.select("lang", *ds)), "lang")
+    # One row per language: staged, so that Spark knows its size before it plans the join.
+    with_d = counts.join(staged(n.select("lang", *ds), "quality-discounts"), "lang")
     with_d = with_d.withColumn("d", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
     contexts = with_d.groupBy("lang", *context).agg(F.sum("c").alias("total"), F.sum("d").alias("left"), F.count("*").alias("kinds"))
     contexts = contexts.withColumn("g", F.col("left") / F.col("total"))
-    entries = with_d.join(contexts.select("lang", *context, "total"), ["lang", *context])
+    entries = with_d.join(contexts.select("lang", *context, "total", "g"), ["lang", *context])
     entries = entries.withColumn("a", (F.col("c") - F.col("d")) / F.col("total"))
-    return entries.select("lang", *own, *keep, "a"), contexts.select("lang", *context, "g", "kinds")
+    return entries.select("lang", *own, *keep, "a", "g"), contexts.select("lang", *context, "g", "kinds", "total")
+
+
+def orders(texts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
+    """Entries and contexts of orders 3, 2 and 1 from texts (text, lang); entries with their ``c``."""
+    schema = "lang long, w long, v long, vw long, uv long, uvw long"
+    rows = texts.select("text", "lang").mapInArrow(training_rows, schema)
+    three = staged(rows.groupBy("lang", "uvw", "uv", "vw", "v", "w").agg(F.count("*").alias("c")), "quality-counts")
+    two = staged(three.groupBy("lang", "vw", "v", "w").agg(F.count("*").alias("c")), "quality-counts")
+    one = staged(two.groupBy("lang", "w").agg(F.count("*").alias("c")), "quality-counts")
+    return [
+        discounted(three, ["uv"], ["uvw"], ["uv", "vw", "c"]),
+        discounted(two, ["v"], ["vw"], ["v", "w", "c"]),
+        discounted(one, [], ["w"], ["c"]),
+    ]
 
 
 def train(texts: DataFrame) -> DataFrame:
@@ -116,14 +136,7 @@ def train(texts: DataFrame) -> DataFrame:
     Kinds: 3 and 2 and 1 entries by uvw, vw, w; 13 and 12 back-off weights by uv, v; 0 the
     probability of any unseen word, by language.
     """
-    schema = "lang long, w long, v long, vw long, uv long, uvw long"
-    rows = texts.select("text", "lang").mapInArrow(training_rows, schema)
-    three = staged(rows.groupBy("lang", "uvw", "uv", "vw", "v", "w").agg(F.count("*").alias("c")), "quality-counts")
-    two = staged(three.groupBy("lang", "vw", "v", "w").agg(F.count("*").alias("c")), "quality-counts")
-    one = staged(two.groupBy("lang", "w").agg(F.count("*").alias("c")), "quality-counts")
-    a3, g3 = discounted(three, ["uv"], ["uvw"], [])
-    a2, g2 = discounted(two, ["v"], ["vw"], [])
-    a1, g1 = discounted(one, [], ["w"], [])
+    (a3, g3), (a2, g2), (a1, g1) = orders(texts)
 
     def table(df: DataFrame, kind: int, key: str, value) -> DataFrame:
         return df.select(F.lit(kind).alias("kind"), F.col(key).alias("key"), value.cast("double").alias("value"))
@@ -134,6 +147,32 @@ def train(texts: DataFrame) -> DataFrame:
     return staged(model, "quality-model")
 
 
+def summands(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The model as (key, own, back, weight) and the languages' floors (lang, floor), from texts (text, lang).
+
+    A text's log probability is the sum, over its words, of the floor of its language, of
+    ``own`` of w, vw and uvw, and of ``back`` of v and uv; a key without entry adds nothing.
+    ``weight`` is about how often a key was counted.
+    """
+    (e3, c3), (e2, c2), (e1, c1) = orders(texts)
+    floors = staged(c1.select("lang", (F.col("g") / (F.col("kinds") + 1)).alias("floor")), "quality-floors")
+    p1 = staged(e1.join(floors, "lang").select("w", "c", "floor", (F.col("a") + F.col("floor")).alias("p1")), "quality-words")
+    p2 = e2.join(p1.select("w", "p1"), "w").withColumn("p2", F.col("a") + F.col("g") * F.col("p1"))
+    p2 = staged(p2.select("vw", "c", "p1", "g", "p2"), "quality-pairs")
+    p3 = e3.join(p2.select("vw", "p2"), "vw").withColumn("p3", F.col("a") + F.col("g") * F.col("p2"))
+
+    def rows(df: DataFrame, key: str, own, back, weight: str) -> DataFrame:
+        own, back = (F.round(F.log(x) * UNIT) / UNIT if x is not None else F.lit(0.0) for x in (own, back))
+        return df.select(F.col(key).alias("key"), own.alias("own"), back.alias("back"), F.col(weight).cast("long").alias("weight"))
+
+    short = rows(p1, "w", F.col("p1") / F.col("floor"), None, "c")
+    short = short.union(rows(p2, "vw", F.col("p2") / (F.col("g") * F.col("p1")), None, "c"))
+    short = short.union(rows(c2, "v", None, F.col("g"), "total")).union(rows(c3, "uv", None, F.col("g"), "total"))
+    short = short.groupBy("key").agg(F.sum("own").alias("own"), F.sum("back").alias("back"), F.max("weight").alias("weight"))
+    model = short.union(rows(p3, "uvw", F.col("p3") / (F.col("g") * F.col("p2")), None, "c"))
+    return staged(model, "quality-model"), floors.select("lang", F.log("floor").alias("floor"))
+
+
 Shard = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
@@ -145,10 +184,7 @@ def shard(keys: np.ndarray, values: np.ndarray) -> Shard:
 
 
 def sharded(model: DataFrame) -> dict[int, list[Shard]]:
-    """Each kind's entries as shards by rising ranges of the key.
-
-    The model's size is bounded by the sample that it is trained on.
-    """
+    """Each kind's entries as shards by rising ranges of the key, on the driver: for a model of few texts."""
     rows = model.toArrow()
     kind, key = rows.column(0).to_numpy(), rows.column(1).to_numpy().view(np.uint64)
     value = rows.column(2).to_numpy()
@@ -208,50 +244,130 @@ def log_probability(shards, texts: pa.Array, langs: pa.Array) -> tuple[np.ndarra
     return total, n
 
 
-def scored(docs: DataFrame, sent: Broadcast) -> DataFrame:
-    """Adds n_words and perplexity, null for a text without words or a language without model.
+def sendable(model: DataFrame) -> tuple[Shard, np.ndarray, np.ndarray, DataFrame]:
+    """At most FREQUENT entries of the model as a shard of places, their values (own, back), the bits, and the other entries.
 
-    ``sent`` holds the shards of the model.
+    The bits are set for the leading FILTER_BITS bits of the keys of the other entries.
     """
-    docs = docs.drop("n_words", "perplexity")
-    names = docs.columns
-    text, lang = names.index("text"), names.index("lang")
+    # Eighths of a power of two: some hundred rows, whatever the input.
+    grade = F.floor(F.log2("weight") * 8)
+    least, total = 0, 0
+    for g, n in sorted(model.groupBy(grade.alias("g")).count().collect(), reverse=True):
+        total += n
+        if total > FREQUENT:
+            least = g + 1
+            break
+    rows = model.where(grade >= least).select("key", "own", "back").toArrow()
+    key = rows.column(0).to_numpy().view(np.uint64)
+    order = np.argsort(key)
+    values = np.stack([rows.column(c).to_numpy()[order] for c in (1, 2)])
+    rest = model.where(grade < least).select("key", "own", "back")
+    slot = F.shiftrightunsigned("key", 64 - FILTER_BITS)
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
+    found = rest.groupBy(F.shiftright(slot, 6).alias("i")).agg(F.bit_or(one).alias("w")).toArrow()
+    bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
+    bits[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
+    return shard(key[order], np.arange(len(order), dtype=np.float64)), values, bits, rest
+
+
+def near_rows(sent: Broadcast):
+    """Rows (doc_id, lang, dkey, n_words, own, near) of (text, lang, doc_id, dkey): own is the language's number, near what sent entries add."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, values, _ = sent.value
+        for batch in batches:
+            for a, b in blocks(batch.column(0)):
+                own = batch.slice(a, b - a)
+                keys, n = grams(own.column(0), own.column(1))
+                doc, near = np.repeat(np.arange(len(n)), n), np.zeros(len(n))
+                for name, kind in KINDS:
+                    at = join_counts([frequent], keys[name], -1.0).astype(np.int64)
+                    hit = at >= 0
+                    near += np.bincount(doc[hit], values[kind][at[hit]], len(n))
+                lang = pa.array(lang_hash(own.column(1)).view(np.int64))
+                columns = [own.column(2), own.column(1), own.column(3), pa.array(n), lang, pa.array(near)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "dkey", "n_words", "own", "near"])
+
+    return run
+
+
+def asked_rows(sent: Broadcast):
+    """Rows (dkey, key, own, back) of (text, lang, doc_id, dkey): how often a text asks for what of a key that was not sent."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, _, bits = sent.value
         for batch in batches:
-            for a, b in blocks(batch.column(text)):
+            for a, b in blocks(batch.column(0)):
                 own = batch.slice(a, b - a)
-                total, n = log_probability(sent.value, own.column(text), own.column(lang))
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    perplexity = np.exp(-total / n)
-                columns = [*own.columns, pa.array(n), pa.array(perplexity, mask=(n == 0) | np.isnan(perplexity))]
-                yield pa.RecordBatch.from_arrays(columns, names=[*names, "n_words", "perplexity"])
+                keys, n = grams(own.column(0), own.column(1))
+                doc = np.repeat(np.arange(len(n)), n)
+                parts = []
+                for name, kind in KINDS:
+                    slot = keys[name] >> np.uint64(64 - FILTER_BITS)
+                    maybe = np.flatnonzero((bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1))
+                    maybe = maybe[join_counts([frequent], keys[name][maybe], -1.0) < 0]
+                    parts.append((doc[maybe], keys[name][maybe], np.full(len(maybe), kind, np.int8)))
+                doc, key, kind = (np.concatenate(x) for x in zip(*parts, strict=True))
+                if not len(key):
+                    continue
+                order = np.lexsort((key, doc))
+                doc, key, kind = doc[order], key[order], kind[order]
+                first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])))
+                back = np.add.reduceat(kind, first, dtype=np.int32)
+                count = np.diff(np.append(first, len(key))).astype(np.int32)
+                columns = [own.column(3).take(pa.array(doc[first])), pa.array(key[first].view(np.int64)), pa.array(count - back), pa.array(back)]
+                yield pa.RecordBatch.from_arrays(columns, names=["dkey", "key", "own", "back"])
 
-    schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("perplexity", T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return run
+
+
+#: The keys of a word, and which value of an entry each takes: own (0) or back (1).
+KINDS = (("w", 0), ("v", 1), ("vw", 0), ("uv", 1), ("uvw", 0))
+
+
+def text_key() -> Column:
+    """A number of the text and its language; null differs from all others."""
+    return F.xxhash64(F.isnull("lang"), "lang", F.isnull("text"), "text")
+
+
+def scored(docs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, lang, dkey) of each document, and (dkey, n_words, perplexity) of each text_key, under the model of ``texts``.
+
+    The perplexity is null for a text without words or a language without model.
+    """
+    model, floors = summands(texts)
+    frequent, values, bits, rest = sendable(model)
+    sent = docs.sparkSession.sparkContext.broadcast((frequent, values, bits))
+    rows = docs.select("text", "lang", "doc_id", text_key().alias("dkey"))
+    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    schema = f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, dkey long, n_words long, own long, near double"
+    base = staged(rows.mapInArrow(near_rows(sent), schema), "quality-near")
+    asked = rows.mapInArrow(asked_rows(sent), "dkey long, key long, own int, back int")
+    entries = rest.select("key", F.col("own").alias("a"), F.col("back").alias("b"))
+    far = asked.join(entries, "key").groupBy("dkey").agg(F.sum(F.col("own") * F.col("a") + F.col("back") * F.col("b")).alias("far"))
+    # Copies ask for the same, so their sum is shared among them.
+    each = base.groupBy("dkey", "own").agg(F.count("*").alias("copies"), F.max("n_words").alias("n_words"), F.max("near").alias("near"))
+    each = each.join(far, "dkey", "left").join(floors.withColumnRenamed("lang", "own"), "own", "left")
+    total = F.col("near") + F.coalesce(F.col("far") / F.col("copies"), F.lit(0.0))
+    perplexity = F.when(F.col("n_words") > 0, F.exp(-F.col("floor") - total / F.col("n_words")))
+    return base.select("doc_id", "lang", "dkey"), staged(each.select("dkey", "n_words", perplexity.alias("perplexity")), "quality-scores")
 
 
 def classify(docs: DataFrame, trusted: DataFrame, high: float = HIGH) -> DataFrame:
     """Adds n_words, perplexity, limit and keep to documents (doc_id, text, lang, ..).
 
-    ``trusted`` has the ids (doc_id) of trusted documents. Documents are read to train,
-    to take the quantiles of the other trusted ones, and to score all; no text is moved.
+    ``trusted`` has the ids (doc_id) of trusted documents. Only texts that may be trained on
+    are moved, to meet the ids.
     """
-    ids = trusted.where("doc_id IS NOT NULL").select("doc_id").distinct()
-    known = docs.select("doc_id", "lang").join(ids, "doc_id")
-    lang = F.coalesce(F.concat(F.lit("+"), "lang"), F.lit("-"))
-    share = known.groupBy(lang.alias("_lang")).agg(F.least(F.lit(MOST_SHARE), TRAINED / F.count("*")).alias("share"))
-    share = staged(share, "quality-shares")
-    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
-    drawn = known.withColumn("_lang", lang).join(share, "_lang").select("doc_id", (place < F.col("share")).alias("drawn")).distinct()
-    drawn = staged(drawn, "quality-trusted")
-    train_ids, rest_ids = drawn.where("drawn").select("doc_id"), drawn.where("not drawn").select("doc_id")
-    # About TRAINED ids for each language.
-    model = train(docs.select("doc_id", "text", "lang").join(F.broadcast(train_ids), "doc_id", "left_semi"))
-    sent = docs.sparkSession.sparkContext.broadcast(sharded(model))
-    rest = scored(docs.select("doc_id", "text", "lang"), sent).select("doc_id", "lang", "perplexity").join(rest_ids, "doc_id", "left_semi")
-    limits = rest.groupBy(lang.alias("_lang")).agg(F.percentile_approx("perplexity", high, 100_000).alias("limit"))
+    ids = staged(trusted.where("doc_id IS NOT NULL").select("doc_id").distinct(), "quality-trusted")
+    drawn = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53) < SHARE
+    texts = docs.select("doc_id", "text", "lang").where(drawn).join(ids.where(drawn), "doc_id", "left_semi")
+    base, scores = scored(docs, texts)
+    lang = F.coalesce(F.concat(F.lit("+"), "lang"), F.lit("-")).alias("_lang")
+    rest = base.join(ids.where(~drawn), "doc_id", "left_semi").select(lang, "dkey").join(scores, "dkey")
+    limits = rest.groupBy("_lang").agg(F.percentile_approx("perplexity", high, 100_000).alias("limit"))
     limits = staged(limits, "quality-limits")
-    out = scored(docs.drop("limit", "keep"), sent).withColumn("_lang", lang)
-    out = out.join(limits, "_lang", "left").drop("_lang")
+    docs = docs.drop("n_words", "perplexity", "limit", "keep")
+    out = docs.select("*", text_key().alias("_dkey"), lang).join(scores.withColumnRenamed("dkey", "_dkey"), "_dkey")
+    out = out.join(limits, "_lang", "left").select(*docs.columns, "n_words", "perplexity", "limit")
     return out.withColumn("keep", ~F.coalesce(F.col("perplexity") > F.col("limit"), F.lit(False)))

@@ -273,6 +273,31 @@ def test_quality_keeps_clean_and_drops_noise(spark):
     assert quality.classify(docs, trusted.limit(0)).where("keep").count() == len(rows)
 
 
+@pytest.mark.parametrize("frequent", [1 << 20, 40, 0])
+def test_quality_trains_on_half_of_the_trusted_and_joins_all(spark, monkeypatch, frequent):
+    """All of a large trusted set that is drawn is trained on, and joined scores equal those of the whole model at hand."""
+    monkeypatch.setattr(quality, "FREQUENT", frequent)
+    rng = np.random.default_rng(8)
+    zipf = lambda n: " ".join(f"w{min(int(x), 300)}" for x in rng.zipf(1.3, n))
+    rows = [(i, zipf(int(rng.integers(5, 40))), ["en", "en", None][i % 3]) for i in range(1500)]
+    rows += [(5000 + i, rows[7][1], rows[7][2]) for i in range(9)] + [rows[4], (6000, None, "en"), (6001, " ", "en"), (6002, "no model", "xx")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    trusted = spark.createDataFrame([(i,) for i in range(1500)], "doc_id long")
+    seen = {}
+    first = quality.summands
+    monkeypatch.setattr(quality, "summands", lambda texts: seen.setdefault("made", (first(texts), seen.update(texts=texts)))[0])
+    out = quality.classify(docs, trusted).collect()
+    texts = seen["texts"].select("doc_id", "text", "lang")
+    assert 650 < len({r.doc_id for r in texts.collect()}) < 850
+    shards = quality.sharded(quality.train(texts))
+    assert len(out) == len(rows)
+    for r in out:
+        total, n = quality.log_probability(shards, pa.array([r.text], pa.string()), pa.array([r.lang], pa.string()))
+        assert r.n_words == n[0]
+        want = np.exp(-total[0] / n[0]) if n[0] else np.nan
+        assert r.perplexity is None if np.isnan(want) else r.perplexity == pytest.approx(want, rel=1e-7), r
+
+
 # 4: join
 
 
