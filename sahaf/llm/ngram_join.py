@@ -159,50 +159,54 @@ def needed(ma: np.ndarray, mb: np.ndarray, percent: int) -> np.ndarray:
     return np.minimum(whole - least_overlap(n, percent) + (ma & 7), whole - least_overlap(m, percent) + (mb & 7))
 
 
-def all_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def all_pairs(percent: int):
     """Pairs of different components in each block, within the length limits, and how many tokens they share there.
 
     ``total`` is how many tokens of a set are in any block. What a set has elsewhere bounds
     how many more a pair can share; pairs that can't come to enough are not passed on.
     """
-    for rows in runs(batches, ["low", "x", "y"]):
-        c = {k: rows.column(k).to_numpy() for k in ("low", "x", "y", "token", "chunk", "node", "meta", "root", "total")}
-        changed = np.ones(len(rows), dtype=bool)
-        changed[1:] = np.any([c[k][1:] != c[k][:-1] for k in ("low", "x", "y", "token")], axis=0)
-        cuts = np.append(np.flatnonzero(changed), len(rows))
-        nodes, first, place = np.unique(c["node"], return_index=True, return_inverse=True)
-        codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        # Runs of equal size are done together.
-        sizes = np.diff(cuts)
-        for s in np.unique(sizes[sizes > 1]).tolist():
-            starts = cuts[:-1][sizes == s]
-            i, j = np.triu_indices(s, 1)
-            step = max(1, 2_000_000 // len(i))
-            for k in range(0, len(starts), step):
-                own = starts[k : k + step]
-                p, q = (own[:, None] + i).ravel(), (own[:, None] + j).ravel()
-                ok = c["root"][p] != c["root"][q]
-                n, m = c["meta"][p] >> 3, c["meta"][q] >> 3
-                ok &= 100 * np.minimum(n, m) >= PERCENT * np.maximum(n, m)
-                ok &= (c["x"][p] == c["y"][p]) | (c["chunk"][p] != c["chunk"][q])
-                p, q = place[p[ok]], place[q[ok]]
-                new = np.minimum(p, q) * len(nodes) + np.maximum(p, q)
-                codes, at = np.unique(np.concatenate((codes, new)), return_inverse=True)
-                counts = np.bincount(at, np.concatenate((counts, np.ones(len(new), np.int64))), len(codes)).astype(np.int64)
-        if len(codes):
-            p, q = codes // len(nodes), codes % len(nodes)
-            meta = c["meta"][first]
-            # A table may hold several blocks of a set; counting them all as one keeps the bound safe
-            # only for a single block, so elsewhere is taken from the block where the set has fewest.
-            block = np.cumsum(np.append(True, np.any([c[k][1:] != c[k][:-1] for k in ("low", "x", "y")], axis=0)))
-            each, rows_there = np.unique(block * len(nodes) + place, return_counts=True)
-            here = np.full(len(nodes), np.iinfo(np.int64).max)
-            np.minimum.at(here, each % len(nodes), rows_there)
-            more = c["total"][first] - here
-            enough = counts + np.minimum(more[p], more[q]) >= needed(meta[p], meta[q], PERCENT)
-            p, q, counts = p[enough], q[enough], counts[enough]
-            columns = [nodes[p], meta[p], nodes[q], meta[q], counts]
-            yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["a", "ma", "b", "mb", "c"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in runs(batches, ["low", "x", "y"]):
+            c = {k: rows.column(k).to_numpy() for k in ("low", "x", "y", "token", "chunk", "node", "meta", "root", "total")}
+            changed = np.ones(len(rows), dtype=bool)
+            changed[1:] = np.any([c[k][1:] != c[k][:-1] for k in ("low", "x", "y", "token")], axis=0)
+            cuts = np.append(np.flatnonzero(changed), len(rows))
+            nodes, first, place = np.unique(c["node"], return_index=True, return_inverse=True)
+            codes, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            # Runs of equal size are done together.
+            sizes = np.diff(cuts)
+            for s in np.unique(sizes[sizes > 1]).tolist():
+                starts = cuts[:-1][sizes == s]
+                i, j = np.triu_indices(s, 1)
+                step = max(1, 2_000_000 // len(i))
+                for k in range(0, len(starts), step):
+                    own = starts[k : k + step]
+                    p, q = (own[:, None] + i).ravel(), (own[:, None] + j).ravel()
+                    ok = c["root"][p] != c["root"][q]
+                    n, m = c["meta"][p] >> 3, c["meta"][q] >> 3
+                    ok &= 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+                    ok &= (c["x"][p] == c["y"][p]) | (c["chunk"][p] != c["chunk"][q])
+                    p, q = place[p[ok]], place[q[ok]]
+                    new = np.minimum(p, q) * len(nodes) + np.maximum(p, q)
+                    codes, at = np.unique(np.concatenate((codes, new)), return_inverse=True)
+                    counts = np.bincount(at, np.concatenate((counts, np.ones(len(new), np.int64))), len(codes)).astype(np.int64)
+            if len(codes):
+                p, q = codes // len(nodes), codes % len(nodes)
+                meta = c["meta"][first]
+                # A table may hold several blocks of a set; counting them all as one keeps the bound safe
+                # only for a single block, so elsewhere is taken from the block where the set has fewest.
+                block = np.cumsum(np.append(True, np.any([c[k][1:] != c[k][:-1] for k in ("low", "x", "y")], axis=0)))
+                each, rows_there = np.unique(block * len(nodes) + place, return_counts=True)
+                here = np.full(len(nodes), np.iinfo(np.int64).max)
+                np.minimum.at(here, each % len(nodes), rows_there)
+                more = c["total"][first] - here
+                enough = counts + np.minimum(more[p], more[q]) >= needed(meta[p], meta[q], percent)
+                p, q, counts = p[enough], q[enough], counts[enough]
+                columns = [nodes[p], meta[p], nodes[q], meta[q], counts]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["a", "ma", "b", "mb", "c"])
+
+    return run
 
 
 def candidates(met: DataFrame, percent: int) -> DataFrame:
@@ -310,7 +314,7 @@ def similar_groups(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataF
             met = met.withColumn("x", F.least("chunk", "with")).withColumn("y", F.greatest("chunk", "with"))
             met = met.select("low", "x", "y", "token", "chunk", "node", "meta", "root", "total")
             met = met.repartition("low", "x", "y").sortWithinPartitions("low", "x", "y", "token")
-            met = met.mapInArrow(all_pairs, "a long, ma long, b long, mb long, c long")
+            met = met.mapInArrow(all_pairs(percent), "a long, ma long, b long, mb long, c long")
         pairs = candidates(met, percent)
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")

@@ -330,6 +330,30 @@ def test_ngram_join_split_runs(docs, corpus, monkeypatch):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in rows) == brute_groups(corpus)
 
 
+@pytest.mark.parametrize("percent", [60, 90])
+def test_ngram_join_other_similarities(spark, monkeypatch, percent):
+    """Texts and their beginnings, of lengths more than 20 % apart, in the round that makes all pairs."""
+    monkeypatch.setattr(ngram_join, "LEADER_ROUNDS", 0)
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(30):
+        w = prose(rng, 60).split()
+        rows += [(100 * i + j, " ".join(w[:n])) for j, n in enumerate((60, 58, 46, 40, 34))]
+    got = ngram_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_groups(rows, percent)
+
+
+@pytest.mark.parametrize("percent", [60, 70])
+def test_all_pairs_keep_their_own_length_limit(percent):
+    """Sets of 40 and 28 shingles that share all of the smaller may be 70 % similar."""
+    meta = {1: 8 * 40 + 1, 2: 8 * 28 + 1}
+    rows = [(0, 0, 0, t, 0, n, meta[n], n, 28) for t in range(28) for n in (1, 2)]
+    names = ["low", "x", "y", "token", "chunk", "node", "meta", "root", "total"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+    made = [r for b in ngram_join.all_pairs(percent)(iter([batch])) for r in b.to_pylist()]
+    assert [(r["a"], r["b"], r["c"]) for r in made] == [(1, 2, 28)]
+
+
 def test_prefix_length_grows_with_matches():
     cheap = np.zeros(60, dtype=np.int64)
     assert ngram_join.matches(cheap, 21, 100, 80) == 1
