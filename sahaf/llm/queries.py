@@ -4,7 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sahaf.llm import fingerprints, hosts, itq, lines, mixing, ngram_join, packing, quality, sharding, warc
+from sahaf.llm import (
+    fingerprints,
+    hosts,
+    itq,
+    lines,
+    mixing,
+    ngram_join,
+    packing,
+    prefix_trie,
+    quality,
+    resampling,
+    sharding,
+    token_counts,
+    warc,
+)
 from sahaf.llm.frames import table
 from sahaf.llm.registry import query
 
@@ -194,3 +208,80 @@ def op10_shards(spark, folder):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+#: SQL for the CRC-32 of a list of bytes, and for the table that it takes.
+CRC_TABLE = """SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]),
+    lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t"""
+
+
+def _sql_crc(text: str) -> str:
+    data = f"list_transform(range(strlen({text})), lambda i: ('0x' || substr(hex({text}), (2 * i + 1)::INT, 2))::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255)::INT + 1])), 4294967295)"
+
+
+OP11_SQL = rf"""WITH k AS MATERIALIZED ({CRC_TABLE}),
+  o AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS no,
+    struct_pack(r := coalesce(role, ''), x := coalesce(text, '')) AS v FROM conversations WHERE conv_id IS NOT NULL),
+  a AS MATERIALIZED (SELECT c, list(v ORDER BY no) AS own FROM o GROUP BY c),
+  h AS (SELECT a.*, {_sql_crc("a.c::VARCHAR")} % 4 AS h FROM a, k),
+  p AS MATERIALIZED (SELECT h.c, list_concat(coalesce(b.own[1:h.h::INT], []), h.own[h.h::INT + 1:]) AS path
+    FROM h LEFT JOIN a b ON b.c = h.c - h.c % 20),
+  m AS (SELECT c, unnest(range(len(path) + 1)) AS d, path FROM p),
+  n AS (SELECT path[1:d] AS node, d, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(CASE WHEN len(path) = d THEN c::VARCHAR END, ',' ORDER BY c), '') AS ended,
+    (count(*) - 1) * coalesce(len(list_filter(string_split_regex(any_value(path)[d].x, '[\x20\x09-\x0D]+'), lambda w: w <> '')), 0) AS saved
+    FROM m GROUP BY path[1:d], d),
+  c AS (SELECT node[1:d - 1] AS node, d - 1 AS d, count(*) AS n FROM n WHERE d > 0 GROUP BY ALL),
+  z AS MATERIALIZED (SELECT n.*, coalesce(c.n, 0) AS n_children FROM n LEFT JOIN c USING (node, d)),
+  u AS (SELECT node[1:i] AS node, i AS d, sum(saved) AS saved_tokens, count(*) FILTER (WHERE n_children = 0) AS n_leaves
+    FROM (SELECT node, saved, n_children, unnest(range(d + 1)) AS i FROM z) GROUP BY node[1:i], i)
+SELECT z.conv_id, z.d AS depth, q.conv_id AS parent_conv_id, z.n_convs, z.n_children, u.n_leaves::BIGINT AS n_leaves,
+  u.saved_tokens::BIGINT AS saved_tokens, sha256(z.ended) AS ends_sha256
+FROM z JOIN u USING (node, d) LEFT JOIN z q ON z.d > 0 AND q.d = z.d - 1 AND q.node = z.node[1:z.d - 1]"""
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def op11_prefix_trie(spark, folder):
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
+@query("op12_token_counts")
+def op12_token_counts(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return token_counts.counted(docs, vocabulary(), token_counts.LIMIT, keep=["doc_id"])
+
+
+def _sql_features(name: str, key: str, source: str) -> str:
+    """Features of each text, and how often each bucket occurs in all."""
+    words = (
+        "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+        r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+    )
+    pairs = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
+    return f"""{name}_w AS (SELECT {key} AS id, {words} AS w FROM {source}),
+  {name}_f AS MATERIALIZED (SELECT id, len(w) AS n_words, unnest(list_concat(w, {pairs})) AS f FROM {name}_w),
+  {name}_d AS (SELECT f, count(*) AS n FROM {name}_f GROUP BY f),
+  {name}_b AS MATERIALIZED (SELECT f, n, {_sql_crc("f")} % {resampling.BUCKETS} AS b FROM {name}_d, k),
+  {name}_n AS (SELECT b, sum(n) AS n FROM {name}_b GROUP BY b)"""
+
+
+OP13_SQL = f"""WITH k AS MATERIALIZED ({CRC_TABLE}),
+  {_sql_features("s", "doc_id", "documents")},
+  {_sql_features("t", "item_id", "benchmark")},
+  g AS (SELECT s_n.b, floor(1000 * ln(((coalesce(t_n.n, 0) + 1)::DOUBLE * ((SELECT sum(n) FROM s_n) + 10000)) /
+    ((s_n.n + 1)::DOUBLE * ((SELECT sum(n) FROM t_n) + 10000))))::BIGINT AS gain FROM s_n LEFT JOIN t_n USING (b)),
+  w AS (SELECT id, any_value(n_words) AS n_words, count(*) AS n_features, floor(sum(gain) / count(*))::BIGINT AS weight
+    FROM s_f JOIN s_b USING (f) JOIN g USING (b) GROUP BY id),
+  a AS (SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{resampling.SEED}:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE)))::BIGINT AS score FROM documents LEFT JOIN w ON id = doc_id),
+  r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM a WHERE n_words >= {resampling.LEAST_WORDS}
+    QUALIFY rank <= {resampling.PERCENT} * count(*) OVER () // 100)
+SELECT doc_id, n_features, weight, score, rank FROM a LEFT JOIN r USING (doc_id)"""
+
+
+@query("op13_resample", OP13_SQL)
+def op13_resample(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return resampling.resample(docs, table(spark, folder, "benchmark").select("text"))

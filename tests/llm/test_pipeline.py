@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the tes
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
-    for name in ("documents", "pages", "labels", "embeddings", "benchmark"):
+    for name in ("documents", "pages", "labels", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{FOLDER}/{name}.parquet'")
     return con
 
@@ -30,7 +30,7 @@ def test_query_equals_sql(spark, db, name):
 
 
 def test_every_query_is_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
 
 
 def test_stages(spark, tmp_path):
