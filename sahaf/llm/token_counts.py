@@ -60,8 +60,9 @@ def load(path: str):
 
     with open(path, encoding="utf-8") as file:
         parts = json.load(file)
-    found = [p["pattern"].get("Regex") for p in parts["pre_tokenizer"].get("pretokenizers", []) if p["type"] == "Split"]
-    kinds = [n["type"] for n in parts["normalizer"].get("normalizers", [])]
+    splits, normal = parts["pre_tokenizer"] or {}, parts["normalizer"] or {}
+    found = [p["pattern"].get("Regex") for p in splits.get("pretokenizers", []) if p["type"] == "Split"]
+    kinds = [n["type"] for n in normal.get("normalizers", [])]
     if found != [SPLIT] or kinds != ["NFC", "Replace", "Lowercase"]:
         raise ValueError(f"{path} does not split words as this counter does")
     return Tokenizer.from_file(path), [t["content"].encode() for t in parts["added_tokens"]]
