@@ -8,6 +8,8 @@ are folded like all other white space.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,13 +55,9 @@ TRAILING_RULES = [
     (r"(?i)<d[td]\b[^>]*>", "\n"),
     (r"</?[a-zA-Z][^<>]*>", ""),
 ]
-ENTITIES = [
-    ("&nbsp;", " "), ("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"),
-    ("&middot;", "·"), ("&bull;", "•"), ("&copy;", "©"), ("&reg;", "®"), ("&trade;", "™"),
-    ("&deg;", "°"), ("&sect;", "§"), ("&para;", "¶"), ("&euro;", "€"), ("&pound;", "£"),
-    ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&laquo;", "«"), ("&raquo;", "»"),
-    ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&times;", "×"),
-]
+#: Named entities and their characters, from Python's table; a no-break space becomes a blank, ``&amp;`` is left for last.
+ENTITIES = [(f"&{name};", " " if name == "nbsp" else chr(code)) for name, code in name2codepoint.items() if name != "amp"]
+ENTITIES.append(("&apos;", "'"))
 BLANK_RULES = [
     (r"[ \t\x{A0}]{2,}|[\t\x{A0}]", " "),
     (r" \n ?|\n ", "\n"),
@@ -131,6 +129,15 @@ def _numeric_entity(piece: Column, i: Column) -> Column:
     )
 
 
+def _named_entity(piece: Column, i: Column) -> Column:
+    """The piece after ``&`` with its name, up to a semicolon, as a character, by one lookup."""
+    name = F.regexp_extract(piece, r"^([a-zA-Z][a-zA-Z0-9]*;)", 1)
+    table = F.create_map(*[F.lit(x) for entity, char in ENTITIES for x in (entity[1:], char)])
+    char = F.when(name != "", F.element_at(table, name))
+    rest = F.substr(piece, F.length(name) + 1)
+    return F.when(i == 0, piece).when(char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
+
+
 def html_to_markdown(df: DataFrame, html_col: str = "html", out_col: str = "markdown") -> DataFrame:
     """Add the Markdown of an HTML column.
 
@@ -144,8 +151,9 @@ def html_to_markdown(df: DataFrame, html_col: str = "html", out_col: str = "mark
         F.array_join(F.transform("_rows", _table_row), "")
     )
     inline = apply_rules(tables, TRAILING_RULES)
-    for name, char in ENTITIES:
-        inline = F.replace(inline, F.lit(name), F.lit(char))
+    named = F.when(F.size("_names") == 1, F.get("_names", F.lit(0))).otherwise(
+        F.array_join(F.transform("_names", _named_entity), "")
+    )
     numbers = F.when(F.size("_numbers") == 1, F.get("_numbers", F.lit(0))).otherwise(
         F.array_join(F.transform("_numbers", _numeric_entity), "")
     )
@@ -154,7 +162,8 @@ def html_to_markdown(df: DataFrame, html_col: str = "html", out_col: str = "mark
         df.withColumn("_pieces", F.split(marked, "\x01", -1))
         .withColumn("_stacks", _stacks(F.col("_pieces")))
         .withColumn("_rows", F.split(lists, r"(?i)</tr\s*> *", -1))
-        .withColumn("_numbers", F.split(inline, "&#", -1))
+        .withColumn("_names", F.split(inline, "&", -1))
+        .withColumn("_numbers", F.split(named, "&#", -1))
         .withColumn(
             out_col,
             F.replace(
@@ -166,5 +175,5 @@ def html_to_markdown(df: DataFrame, html_col: str = "html", out_col: str = "mark
                 F.lit(" "),
             ),
         )
-        .drop("_pieces", "_stacks", "_rows", "_numbers")
+        .drop("_pieces", "_stacks", "_rows", "_names", "_numbers")
     )

@@ -14,8 +14,9 @@ from sahaf.functions.wordlists import STOP_WORDS, SUFFIXES
 # Fixed patterns.
 NOT_ASCII_LETTER = r"[^a-zA-Z\s]"
 NOT_LETTER = r"[^\p{L}\s]"
-# A dot before a digit belongs to a date or number. The bound keeps Java from deep recursion.
-SENTENCE = r"([^.!?\n]+(?:\.\d[^.!?\n]*){0,100}[.!?]*)"
+# A dot before a digit belongs to a date or number. Java repeats a possessive group without recursion, so any
+# number of dots is taken; the possessive sign changes no match, and engines without it can leave it out.
+SENTENCE = r"([^.!?\n]+(?:\.\d[^.!?\n]*)*+[.!?]*)"
 TOKEN = r"(\p{L}+|\d+|[().?!,])"
 WORD = r"(\p{L}+|\d+)"
 CHUNK_BREAK = r"[().?!,]+"

@@ -65,7 +65,7 @@ def convert_errors(spark, folder):
 
 # --- words and sentences ----------------------------------------------------
 
-_PATTERN = quoted(T.SENTENCE).replace("{", "{{").replace("}", "}}")
+_PATTERN = quoted(T.SENTENCE.replace("*+", "*")).replace("{", "{{").replace("}", "}}")
 SENTENCES = f"list_filter(regexp_extract_all({{0}}, {_PATTERN}, 1), lambda s: trim(s) <> '')"
 WORDS = java_lower_words("{0}", T.NOT_LETTER).replace("{L}", "{{L}}")
 
@@ -403,31 +403,33 @@ LAWS = [
     ("İş Kanununun", "İş Kanunu"), ("Türk Medenî Kanununun", "Türk Medenî Kanunu"), ("yasanın", "0"),
     ("önceki İş Yasasının", "İş Yasası"), ("Borçlar Kanununda", "Borçlar Kanunu"), ("HMK'nın", "HMK"),
     ("İş Kanunu'nun", "İş Kanunu"), ("Basın Yasası’nın", "Basın Yasası"),
+    ("Sosyal Sigortalar ve Genel Sağlık Sigortası Kanununun", "Sosyal Sigortalar ve Genel Sağlık Sigortası Kanunu"),
+    ("Kamu Görevlileri Sendikaları ve Toplu Sözleşme Kanunu'nun", "Kamu Görevlileri Sendikaları ve Toplu Sözleşme Kanunu"),
 ]
 FORMS = [
     (" üncü maddesinde", []), (" inci ve 7 nci maddelerinin", [7]), (". maddesi", []), ("nci maddenin", []),
     (" sayfasında", None), (", 18 ve 19 uncu maddeleri", [18, 19]), ("/II-e maddesi", []), ("/3. fıkrası", []),
-    (" ve 8-10 uncu maddeleri", [8, 9, 10]),
+    (" ve 8-10 uncu maddeleri", [8, 9, 10]), (" ve 1-150 nci maddeleri", list(range(1, 151))),
 ]
 
 
 def _stated_sql(number: str, law: str, article: str, form: str) -> str:
     """Rows that one injected reference states, from its parts and not from a pattern."""
     names = [x for _, x in LAWS]
-    more = ", ".join("NULL" if x is None else f"{x}::INT[]" for _, x in FORMS)
+    more = ", ".join("NULL" if x is None else f"range({x[0]}, {x[-1] + 1})::INT[]" if x else "[]::INT[]" for _, x in FORMS)
     own = f"([{more}])[{form}]"
     return f"""SELECT doc_id, ({number})::INT AS number, ({names})[{law}] AS law,
       unnest(CASE WHEN {own} IS NULL THEN [0] ELSE list_concat([({article})::INT], {own}) END) AS article FROM documents"""
 
 
-@query(
-    "citations",
-    _stated_sql("1000 + doc_id % 9000", "doc_id % 8 + 1", "doc_id % 400 + 1", "doc_id // 5 % 9 + 1")
+STATED = (
+    _stated_sql("1000 + doc_id % 9000", f"doc_id % {len(LAWS)} + 1", "doc_id % 400 + 1", f"doc_id // 5 % {len(FORMS)} + 1")
     + " UNION ALL "
-    + _stated_sql("100 + doc_id % 900", "doc_id // 3 % 8 + 1", "doc_id % 90 + 1", "doc_id // 7 % 9 + 1"),
+    + _stated_sql("100 + doc_id % 900", f"doc_id // 3 % {len(LAWS)} + 1", "doc_id % 90 + 1", f"doc_id // 7 % {len(FORMS)} + 1")
 )
-def citations(spark, folder):
-    """Law references in the documents, each given two in the wording of court texts."""
+
+
+def references(spark, folder):
     pick = lambda entries, i: F.get(F.array(*[F.lit(x) for x, _ in entries]), (i % len(entries)).cast("int"))
     i = F.col("doc_id")
     legal = F.concat(
@@ -437,3 +439,22 @@ def citations(spark, folder):
     )
     found = documents(spark, folder).select("doc_id", F.explode(C.law_references(legal)).alias("r"))
     return found.select("doc_id", "r.*")
+
+
+@query("citations", STATED)
+def citations(spark, folder):
+    """Law references in the documents, each given two in the wording of court texts."""
+    return references(spark, folder)
+
+
+@query(
+    "citations_named",
+    f"""WITH r AS ({STATED}),
+    v AS (SELECT number, law, count(*) AS n FROM r WHERE law <> '0' GROUP BY ALL),
+    u AS (SELECT number, law AS usual FROM v QUALIFY row_number() OVER (PARTITION BY number ORDER BY n DESC, law) = 1)
+    SELECT doc_id, number, CASE WHEN law = '0' AND usual IS NOT NULL THEN usual ELSE law END AS law, article,
+      law = '0' AND usual IS NOT NULL AS filled FROM r LEFT JOIN u USING (number)""",
+)
+def citations_named(spark, folder):
+    """The same, bare laws named as most references of their number name them."""
+    return C.fill_names(references(spark, folder))

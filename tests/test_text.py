@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sahaf.functions import text as T
-from sahaf.functions.citations import law_references
+from sahaf.functions.citations import fill_names, law_references
 from sahaf.functions.html import html_to_markdown
 
 
@@ -100,6 +100,7 @@ def markdown(spark, html):
         ("a < b > c", "a < b > c"),
         ("<li>loose</li>", "* loose"),
         ("<pre>code</pre>", "```\ncode\n```"),
+        ("&uuml;&ccedil;&eacute; &nosuch; a&b &amp;uuml; &#231;&", "üçé &nosuch; a&b &uuml; ç&"),
     ],
 )
 def test_html_to_markdown(spark, html, expected):
@@ -124,7 +125,27 @@ def test_html_to_markdown(spark, html, expected):
         ("1475 sayılı İş Kanununun 8/3. fıkrası", [(1475, "İş Kanunu", 8)]),
         ("1475 sayılı İş Kanununun 8-10 uncu maddeleri", [(1475, "İş Kanunu", n) for n in (8, 9, 10)]),
         ("6100 sayılı HMK'nın 297. maddesi", [(6100, "HMK", 297)]),
+        (
+            "5510 sayılı Sosyal Sigortalar ve Genel Sağlık Sigortası Kanununun 15. maddesi",
+            [(5510, "Sosyal Sigortalar ve Genel Sağlık Sigortası Kanunu", 15)],
+        ),
+        ("4857 sayılı İş Kanununun 1-150 nci maddeleri", [(4857, "İş Kanunu", n) for n in range(1, 151)]),
+        ("4857 sayılı " + "kelime " * 20_000, []),
     ],
 )
 def test_law_references(spark, text, expected):
     assert [tuple(r) for r in apply(spark, law_references(t), text)] == expected
+
+
+def test_bare_laws_take_the_usual_name(spark):
+    rows = [(1, 4857, "İş Kanunu"), (2, 4857, "0"), (3, 4857, "Is Kanunu"), (4, 4857, "İş Kanunu"), (5, 1, "0"), (6, 0, "0")]
+    rows += [(7, 6100, "B"), (8, 6100, "A"), (9, 6100, "0")]
+    got = fill_names(spark.createDataFrame(rows, "doc_id int, number int, law string"))
+    want = {2: "İş Kanunu", 3: "Is Kanunu", 5: "0", 6: "0", 9: "A"}
+    assert {r.doc_id: r.law for r in got.collect() if r.doc_id in want} == want
+    assert {r.doc_id for r in got.where("filled").collect()} == {2, 9}
+
+
+def test_a_sentence_may_hold_any_number_of_decimals(spark):
+    text = "Sums: " + " ".join(f"{i}.5" for i in range(5_000)) + ". End."
+    assert len(apply(spark, T.sentences(t), text)) == 2
