@@ -5,6 +5,7 @@ All functions take and return DataFrames, so steps compose with ``df.transform``
 
 from sahaf.functions.html import html_to_markdown
 from sahaf.operators.embed import embed_documents, embed_texts, embed_with
+from sahaf.operators.index import add_segment, index_search, publish
 from sahaf.operators.ivf import ivf_search, read_ivf, train_centroids, write_ivf
 from sahaf.operators.keywords import corpus_keywords, extract_keywords
 from sahaf.operators.lsh import fit_lsh, lsh_search
@@ -12,13 +13,16 @@ from sahaf.operators.nearest import recall_at_k, top_k
 from sahaf.operators.search import extract_law_refs, render_hits, search
 from sahaf.operators.summarize import summarize, summary_report
 from sahaf.operators.terms import tfidf, tfidf_search
+from sahaf.operators.token_vectors import cooccurrence, fit_token_vectors, ppmi, token_vectors
 from sahaf.session import get_session
 from sahaf.sources.collection import append, create_collection, delete_where
 from sahaf.sources.files import convert_envelopes, read_envelopes, read_markdown
 
 __all__ = [
+    "add_segment",
     "append",
     "convert_envelopes",
+    "cooccurrence",
     "corpus_keywords",
     "create_collection",
     "delete_where",
@@ -28,10 +32,14 @@ __all__ = [
     "extract_keywords",
     "extract_law_refs",
     "fit_lsh",
+    "fit_token_vectors",
     "get_session",
     "html_to_markdown",
+    "index_search",
     "ivf_search",
     "lsh_search",
+    "ppmi",
+    "publish",
     "read_envelopes",
     "read_ivf",
     "read_markdown",
@@ -42,6 +50,7 @@ __all__ = [
     "summary_report",
     "tfidf",
     "tfidf_search",
+    "token_vectors",
     "top_k",
     "train_centroids",
     "write_ivf",

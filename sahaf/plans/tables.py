@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sahaf.plans.registry import query, table
+from sahaf.session import scratch_dir
+from sahaf.sources import versioned
 from sahaf.sources.collection import check_contract, keep_where_not, scan
 from sahaf.sources.files import with_embeddings, without_embeddings
 from sahaf.sources.rowjson import pack_rows, unpack_rows
@@ -62,6 +66,33 @@ def delete_where(spark, folder):
     return kept.select("id", "lang", F.length("text").cast("bigint").alias("n"))
 
 
+GONE = "lang = 'fr' OR length(text) < 100"
+
+
+@query(
+    "snapshot_scan",
+    COLLECTION
+    + f""", copies AS (SELECT id || '-copy' AS id, text, lang FROM emb WHERE lang = 'de')
+    SELECT id, lang, len(text) AS n, 2 AS version FROM emb UNION ALL
+    SELECT id, lang, len(text) AS n, 3 AS version FROM emb WHERE NOT coalesce({GONE}, false) UNION ALL
+    SELECT id, lang, len(text) AS n, 4 AS version FROM emb WHERE NOT coalesce({GONE}, false) UNION ALL
+    SELECT id, lang, len(text) AS n, 4 AS version FROM copies""",
+)
+def snapshot_scan(spark, folder):
+    """A versioned collection after an append, a delete and another append: the rows of each version."""
+    place = f"{scratch_dir(spark)}/collection-{uuid.uuid4().hex}"
+    rows = collection(spark, folder)
+    versioned.create(spark, place, "lang STRING")
+    versioned.append(rows, place, 64)
+    versioned.delete_where(spark, place, GONE)
+    versioned.append(rows.where("lang = 'de'").withColumn("id", F.concat("id", F.lit("-copy"))), place, 64)
+    shown = [
+        versioned.scan(spark, place, n).select("id", "lang", F.length("text").cast("long").alias("n"), F.lit(n).alias("version"))
+        for n in (2, 3, 4)
+    ]
+    return shown[0].union(shown[1]).union(shown[2])
+
+
 @query(
     "contract_quarantine",
     """WITH raw AS (SELECT

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from sahaf.functions import citations as C
@@ -9,6 +11,7 @@ from sahaf.functions import html as H
 from sahaf.functions import text as T
 from sahaf.functions.wordlists import STOP_WORDS
 from sahaf.operators.embed import embed_documents, embed_texts
+from sahaf.operators.index import add_segment, index_search, publish
 from sahaf.operators.keywords import corpus_keywords, extract_keywords
 from sahaf.operators.nearest import top_k
 from sahaf.operators.reduce import word2vec_documents
@@ -16,7 +19,7 @@ from sahaf.operators.search import with_texts
 from sahaf.operators.summarize import summarize, summary_report
 from sahaf.operators.terms import fit_hashed_tfidf, fit_terms, ngram_counts, term_counts, tfidf, tfidf_search
 from sahaf.plans.registry import java_lower_words, query, quoted, replace_all, table
-from sahaf.session import staged
+from sahaf.session import scratch_dir, staged
 from sahaf.sources.files import convert_envelopes
 
 DIM = 64
@@ -189,9 +192,7 @@ def tfidf_weights(spark, folder):
     return tfidf(documents(spark, folder)).withColumn("weight", F.round("weight", 6))
 
 
-@query(
-    "tfidf_search",
-    f"""WITH {COUNTS}, {ASKED},
+TFIDF_SEARCH = f"""WITH {COUNTS}, {ASKED},
     dl AS (SELECT doc_id, sqrt(sum(weight * weight)) AS len FROM weights GROUP BY doc_id),
     ql AS (SELECT query_id, sqrt(sum(weight * weight)) AS len FROM asked_weights GROUP BY query_id),
     products AS (SELECT query_id, doc_id, sum(a.weight * w.weight) AS s
@@ -199,8 +200,10 @@ def tfidf_weights(spark, folder):
     scored AS (SELECT query_id, doc_id, round(s / dl.len / ql.len, 10) AS score
       FROM products JOIN dl USING (doc_id) JOIN ql USING (query_id) WHERE s > 0),
     ranked AS (SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id))::INT AS rank FROM scored)
-    SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10""",
-)
+    SELECT query_id, rank, doc_id, round(score, 6) AS score FROM ranked WHERE rank <= 10"""
+
+
+@query("tfidf_search", TFIDF_SEARCH)
 def tfidf_search_topk(spark, folder):
     """Benchmark items as search texts over all documents."""
     asked = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
@@ -209,6 +212,20 @@ def tfidf_search_topk(spark, folder):
     )
 
 
+@query("index_search", TFIDF_SEARCH)
+def index_search_topk(spark, folder):
+    """The same hits from an index of two segments."""
+    place = f"{scratch_dir(spark)}/index-{uuid.uuid4().hex}"
+    docs = documents(spark, folder).select("doc_id", "text")
+    first = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0  # xxhash64 gives a null id a number, too
+    add_segment(docs.where(first), place)
+    add_segment(docs.where(~first), place)
+    publish(spark, place)
+    asked = table(spark, folder, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    found = index_search(spark, place, asked, 10)
+    return found.select("query_id", "rank", F.col("id").alias("doc_id"), F.round("score", 6).alias("score"))
+
+
 @query("tfidf_hashed")
 def tfidf_hashed(spark, folder):
     """Hashed TF-IDF vectors of 10,000 components: how many are set, and their length."""
