@@ -7,7 +7,9 @@ lower bound of its host's posterior rate of bad pages is over a limit.
 
 Nulls: a null url, or one without ``://``, has an empty host and path, and the host's
 reputation is that of the empty host. A null outcome is no outcome. Repeated pages count
-each time. An empty table gives no rows.
+each time. An empty table gives no rows. Very long urls are read whole. Ties between rules
+are settled in ``rule_of``. Columns of the names that are added are replaced, all others
+are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -15,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sahaf.session import staged
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Suffixes of two labels under which names are registered; any other suffix is the last label. Fixed values.
 TWO_LABELS = [
@@ -50,14 +54,29 @@ def rule_of(rules: list[Rule], host: Column, path: Column) -> tuple[Column, Colu
     return text, verdict
 
 
-def suffix(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(TWO_LABELS), two).otherwise(F.substring_index(host, ".", -1))
+#: User information and a port, which name no host; hosts that are addresses.
+USER, PORT, ADDRESS = r"^.*@", r":[0-9]*$", r"^(\[.*|[0-9]+(\.[0-9]+){3})$"
+
+
+def name_of(host: Column) -> Column:
+    """The host without user information and port."""
+    return F.regexp_replace(F.regexp_replace(host, USER, ""), PORT, "")
+
+
+def suffix(host: Column, two_labels: list[str] = TWO_LABELS) -> Column:
+    """The suffix under which a host's name is registered; an address is its own."""
+    name = name_of(host)
+    two = F.substring_index(name, ".", -2)
+    named = F.when(two.isin(two_labels), two).otherwise(F.substring_index(name, ".", -1))
+    return F.when(name.rlike(ADDRESS), name).otherwise(named)
 
 
-def domain(host: Column) -> Column:
-    two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(TWO_LABELS), F.substring_index(host, ".", -3)).otherwise(two)
+def domain(host: Column, two_labels: list[str] = TWO_LABELS) -> Column:
+    """The registered domain: one label more than the suffix; an address is its own."""
+    name = name_of(host)
+    two = F.substring_index(name, ".", -2)
+    named = F.when(two.isin(two_labels), F.substring_index(name, ".", -3)).otherwise(two)
+    return F.when(name.rlike(ADDRESS), name).otherwise(named)
 
 
 def shrunk(own: DataFrame, key: str, above: DataFrame, parent: str) -> DataFrame:
@@ -86,10 +105,11 @@ def shrunk(own: DataFrame, key: str, above: DataFrame, parent: str) -> DataFrame
     return level.withColumn("mean", mean).withColumnRenamed("_m", "prior")
 
 
-def reputation(pages: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
+def reputation(pages: DataFrame, deviations: float = DEVIATIONS, two_labels: list[str] = TWO_LABELS) -> DataFrame:
     """(host, labelled, bad_pages, posterior, bound) from rows (host, bad): 1, 0 or null where not labelled."""
     counts = pages.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    counts = counts.withColumn("domain", domain(F.col("host"))).withColumn("suffix", suffix(F.col("host")))
+    counts = counts.withColumn("domain", domain(F.col("host"), two_labels)).withColumn("suffix", suffix(F.col("host"), two_labels))
+    counts = staged(counts, "host-counts")
     domains = counts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     # Half a page of each outcome keeps the root's mean inside (0, 1).
@@ -107,16 +127,21 @@ def reputation(pages: DataFrame, deviations: float = DEVIATIONS) -> DataFrame:
 
 
 def judge(
-    pages: DataFrame, outcomes: DataFrame, rules: list[Rule], deviations: float = DEVIATIONS, max_bad: float = MAX_BAD
-) -> DataFrame:
+    pages: DataFrame, outcomes: DataFrame, rules: list[Rule], deviations: float = DEVIATIONS, max_bad: float = MAX_BAD,
+    two_labels: list[str] = TWO_LABELS,
+) -> DataFrame:
     """Adds host, path, rule, verdict and the host's reputation to pages (page_id, url).
 
     ``outcomes`` is (page_id, bad): a page with several outcomes takes its worst. The
     pages meet their host's row in a join that Spark splits where one host has very many.
     """
     known = outcomes.where("page_id IS NOT NULL").groupBy("page_id").agg(F.max("bad").cast("long").alias("bad"))
-    named = with_host(pages)
-    scored = reputation(named.select("page_id", "host").join(known, "page_id", "left"), deviations)
+    row = F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("row")
+    named = with_host(pages.select("page_id", "url", row))
+    scored = reputation(named.select("page_id", "host").join(known, "page_id", "left"), deviations, two_labels)
     rule, verdict = rule_of(rules, F.col("host"), F.col("path"))
     own = F.when(F.col("bound") > max_bad, "block").otherwise("allow")
-    return named.join(scored, "host").withColumn("rule", rule).withColumn("verdict", F.coalesce(verdict, own))
+    added = {"host": F.col("host"), "path": F.col("path"), "rule": rule, "verdict": F.coalesce(verdict, own)}
+    added |= {c: F.col(c) for c in ("labelled", "bad_pages", "posterior", "bound")}
+    kept = [F.col(f"row.`{c}`").alias(c) for c in pages.columns if c not in added]
+    return named.join(scored, "host").select(*kept, *[v.alias(c) for c, v in added.items()])

@@ -6,10 +6,11 @@ substrings; vectors of a class that agree in a substring meet in a bucket of its
 and are compared there by cosine in double precision. A pair counts in the first table
 where it meets. Buckets that are too large are split into blocks of pairs of chunks.
 
-Only vectors of the same, not null, label are compared. Vectors that are null, empty,
-zero, hold a null or non-finite number, or have another length than ``dim`` link with
-nothing. Equal vectors of a label are one node with a weight; rows of one vec_id are one
-node as well. An empty table gives no rows.
+Only vectors of the same, not null, label and the same length are compared; each length
+has a model of its own. Vectors that are null, empty, zero, or hold a null or non-finite
+number link with nothing. Equal vectors of a label are one node with a weight; rows of one
+vec_id are one node as well. A pair at the threshold itself links. Very long vectors are
+compared whole. Other columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ from sahaf.session import staged
 SAMPLE = 8_192
 #: Wanted vectors of a class in a bucket, least and most bits of a substring, rows of a chunk.
 BUCKET, LEAST_BITS, MOST_BITS, CHUNK = 32, 8, 20, 256
-#: Wanted chance that a pair at the threshold meets in some table.
-RECALL = 0.985
+#: Wanted chance that a pair at the threshold meets in some table, and most rotations that are learned for it.
+RECALL, MOST_ROTATIONS = 0.985, 64
 MIN_COSINE = 0.93
 
 
@@ -78,14 +79,35 @@ def fit(sample: np.ndarray, rotations: int, steps: int = 40, seed: int = 7) -> l
     return out
 
 
-def layout(largest: int, width: int, min_cosine: float) -> tuple[int, int]:
-    """Bits of a substring and number of tables: enough that a pair at the threshold meets with chance RECALL.
+def at_threshold(sample: np.ndarray, min_cosine: float, pairs: int = 4_000, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of exactly that cosine: sampled vectors, and partners of them in random directions."""
+    rng = np.random.default_rng(seed)
+    x = unit(sample)[rng.integers(0, len(sample), pairs)]
+    if x.shape[1] < 2:
+        return x, x
+    away = rng.standard_normal(x.shape)
+    away = unit(away - (away * x).sum(axis=1, keepdims=True) * x)
+    return x, min_cosine * x + math.sqrt(1 - min_cosine**2) * away
+
+
+def layout(largest: int, min_cosine: float, sample: np.ndarray) -> tuple[int, int, list[tuple[np.ndarray, np.ndarray]]]:
+    """Bits of a substring, number of tables, and the codes: enough that a pair at the threshold meets with chance RECALL.
 
-    Signs of such a pair differ with chance arccos(threshold) / pi.
+    The chance is measured on pairs made at the threshold: codes are centred, so vectors with
+    a large common mean differ in more signs than the angle between them tells.
     """
+    width = min(64, sample.shape[1])
     bits = min(max(LEAST_BITS, math.ceil(math.log2(max(largest, 1) / BUCKET + 1))), MOST_BITS, width)
-    same = (1 - math.acos(min_cosine) / math.pi) ** bits
-    return bits, math.ceil(math.log(1 - RECALL) / math.log(1 - same)) if same < 1 else 1
+    per, (x, y) = width // bits, at_threshold(sample, min_cosine)
+    rotations = 1
+    while True:
+        model = fit(sample, rotations)
+        met = keys_of(x, model, bits, per * rotations) == keys_of(y, model, bits, per * rotations)
+        reached = np.maximum.accumulate(met, axis=1).mean(axis=0)
+        enough = np.flatnonzero(reached >= RECALL)
+        if len(enough) or rotations >= MOST_ROTATIONS:
+            return bits, int(enough[0]) + 1 if len(enough) else per * rotations, model
+        rotations = min(2 * rotations, MOST_ROTATIONS)
 
 
 def keys_of(vectors: np.ndarray, model: list[tuple[np.ndarray, np.ndarray]], bits: int, tables: int) -> np.ndarray:
@@ -161,25 +183,42 @@ def compare(min_cosine: float):
 
 
 def near_duplicates(rows: DataFrame, min_cosine: float = MIN_COSINE, dim: int | None = None) -> DataFrame:
-    """(vec_id, n_links, component_id, kept) of rows (vec_id, embedding, label)."""
+    """(vec_id, n_links, component_id, kept) of rows (vec_id, embedding, label); ``dim`` leaves out vectors of other lengths."""
     rows = rows.select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    lengths = [dim]
     if dim is None:
-        sizes = rows.where("size(embedding) > 0").groupBy(F.size("embedding").alias("d")).count()
-        found = sizes.orderBy(F.desc("count"), "d").first()
-        dim = found[0] if found else 1
+        # One number for each length that occurs.
+        lengths = sorted(r[0] for r in rows.where("size(embedding) > 0").select(F.size("embedding")).distinct().collect())
+    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    found = [x for x in (of_length(rows, n, min_cosine) for n in lengths) if x is not None]
+    if not found:
+        return alone
+    known = found[0]
+    for other in found[1:]:
+        known = known.union(other)
+    # Equal vectors are many rows of one node: this join is split where one vector has very many.
+    out = rows.join(known, ["label", "embedding"], "left")
+    component = F.coalesce("component_id", "vec_id")
+    return out.select(
+        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
+    )
+
+
+def of_length(rows: DataFrame, dim: int, min_cosine: float) -> DataFrame | None:
+    """(label, embedding, n_links, component_id) of the different vectors of one length; None where there are none."""
     good = rows.where(usable(F.col("embedding"), dim) & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
     groups = good.groupBy("label", "embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("weight"))
     nodes = staged(groups, "itq-nodes")
     stats = nodes.groupBy("label").count().agg(F.sum("count"), F.max("count")).first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not stats[0]:
-        return alone
+        return None
     share = min(1.0, SAMPLE / stats[0])
     drawn = F.pmod(F.xxhash64("label", "embedding"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
     sample = nodes.where(drawn).select("embedding").limit(2 * SAMPLE).toArrow().column(0).combine_chunks()
     sample = sample.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
-    bits, tables = layout(stats[1], min(64, dim), min_cosine)
-    model = fit(spread_out(sample), math.ceil(tables / (min(64, dim) // bits)))
+    sample = spread_out(sample)
+    bits, tables, model = layout(stats[1], min_cosine, sample)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,14 +250,7 @@ def near_duplicates(rows: DataFrame, min_cosine: float = MIN_COSINE, dim: int |
 
     roots = components(found.select(F.col("node").alias("a"), F.col("to").alias("b")), "itq-components")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    known = nodes.join(links, "node", "left").join(roots, "node", "left").select(
+    return nodes.join(links, "node", "left").join(roots, "node", "left").select(
         "label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
         F.coalesce("root", "node").alias("component_id"),
     )
-    # Equal vectors are many rows of one node: this join is split where one vector has very many.
-    out = rows.join(known, ["label", "embedding"], "left")
-    component = F.coalesce("component_id", "vec_id")
-    return out.select(
-        "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
-        F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
-    )

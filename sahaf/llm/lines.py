@@ -10,7 +10,8 @@ similar. Equal lines are one node with its first occurrence.
 
 DataFrame functions only. Nulls: a null text stays null; a null id comes last. Blank
 lines are kept. Rows with equal id and text are one document: each gets the same result.
-An empty table gives no rows.
+Very long lines are compared whole. Lines of equal rank are ordered by their place. Other
+columns are kept, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -178,11 +179,14 @@ def without_repeats(docs: DataFrame, percent: int = PERCENT, removed: str | None
     ``n_chars``, where there is one, is that of the new text. ``removed`` names a column to
     add with the number of lines that a document lost.
     """
-    nos = repeated_lines(docs.select("doc_id", "text"), percent).withColumnRenamed("nos", "_nos")
-    joined = docs.withColumn("_dkey", document_key()).join(nos.withColumnRenamed("dkey", "_dkey"), "_dkey", "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_nos", i))
-    out = joined.withColumn("text", F.when(F.col("_nos").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_nos").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    lost = [F.coalesce(F.size("_nos"), F.lit(0)).cast("long").alias(removed)] if removed else []
-    return out.select(*docs.columns, *lost)
+    nos = repeated_lines(docs.select("doc_id", "text"), percent)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    joined = docs.select(document_key().alias("dkey"), "text", row).join(nos, "dkey", "left")
+    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("nos", i))
+    out = joined.withColumn("text", F.when(F.col("nos").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
+    own = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
+    if "n_chars" in own:
+        own["n_chars"] = F.when(F.col("nos").isNull(), own["n_chars"]).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
+    if removed:
+        own[removed] = F.coalesce(F.size("nos"), F.lit(0)).cast("long")
+    return out.select(*[v.alias(c) for c, v in own.items()])

@@ -60,13 +60,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.clear()
 
     def clear(self) -> None:
         self.keys = np.zeros(0, dtype=np.uint64)
         self.begin = np.zeros(0, dtype=np.int64)
         self.count = np.zeros(0, dtype=np.int64)
-        self.flat = np.zeros(0, dtype=np.uint16)
+        self.flat = np.zeros(0, dtype=self.kind)
 
     def learn(self, keys: np.ndarray, fragments: list[str]) -> None:
         begin, count, ids = [], [], []
@@ -79,7 +80,7 @@ class Encoder:
             cut = np.searchsorted(at, starts)
             begin.append(base + cut)
             count.append(np.diff(np.append(cut, len(found.ids))))
-            ids.append(np.array(found.ids, dtype=np.uint16))
+            ids.append(np.array(found.ids, dtype=self.kind))
             base += len(found.ids)
         merged = np.concatenate((self.keys, keys))
         order = np.argsort(merged, kind="stable")

@@ -17,8 +17,9 @@ were trained on, and their copies, have the lowest perplexities.
 Words are runs of bytes other than blanks, with A to Z lowered. Nulls: a null text, like
 one without words, has no perplexity and is kept; a null language is a language of its
 own. A language without trusted documents has no limits: its documents are kept. Repeated
-rows get a row each. An empty table gives no rows. Columns of the names that are added
-are replaced, all others are kept.
+rows get a row each. Very long texts are scored whole. Entries that were counted equally
+often are sent or joined together, which changes no score. An empty table gives no rows.
+Columns of the names that are added are replaced, all others are kept, whatever their names.
 """
 
 from __future__ import annotations
@@ -367,7 +368,8 @@ def classify(docs: DataFrame, trusted: DataFrame, high: float = HIGH) -> DataFra
     rest = base.join(ids.where(~drawn), "doc_id", "left_semi").select(lang, "dkey").join(scores, "dkey")
     limits = rest.groupBy("_lang").agg(F.percentile_approx("perplexity", high, 100_000).alias("limit"))
     limits = staged(limits, "quality-limits")
-    docs = docs.drop("n_words", "perplexity", "limit", "keep")
-    out = docs.select("*", text_key().alias("_dkey"), lang).join(scores.withColumnRenamed("dkey", "_dkey"), "_dkey")
-    out = out.join(limits, "_lang", "left").select(*docs.columns, "n_words", "perplexity", "limit")
-    return out.withColumn("keep", ~F.coalesce(F.col("perplexity") > F.col("limit"), F.lit(False)))
+    kept = [c for c in docs.columns if c not in ("n_words", "perplexity", "limit", "keep")]
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
+    out = docs.select(row, text_key().alias("dkey"), lang).join(scores, "dkey").join(limits, "_lang", "left")
+    keep = ~F.coalesce(F.col("perplexity") > F.col("limit"), F.lit(False))
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in kept], "n_words", "perplexity", "limit", keep.alias("keep"))

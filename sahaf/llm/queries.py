@@ -142,8 +142,10 @@ def _sql_suffix(host: str, below: int) -> str:
     """SQL for the last labels of a host: those of its suffix and ``below`` more."""
     listed = ", ".join(f"'{x}'" for x in hosts.TWO_LABELS)
     last = "array_to_string(string_split({h}, '.')[-{n}:], '.')".format
-    two = last(h=host, n=2)
-    return f"CASE WHEN {two} IN ({listed}) THEN {last(h=host, n=2 + below)} ELSE {last(h=host, n=1 + below)} END"
+    name = f"regexp_replace(regexp_replace({host}, '{hosts.USER}', ''), '{hosts.PORT}', '')"
+    two = last(h=name, n=2)
+    named = f"WHEN {two} IN ({listed}) THEN {last(h=name, n=2 + below)} ELSE {last(h=name, n=1 + below)} END"
+    return f"CASE WHEN regexp_matches({name}, '{hosts.ADDRESS}') THEN {name} {named}"
 
 
 def _sql_rules() -> tuple[str, str]:
