@@ -20,7 +20,8 @@ STAGES = [
     ("best-fit packing", pack),
 ]
 
-#: SQL can't state a trained language model, hash orders or packing: tests hold each stage against brute force.
+#: SQL can't state a trained language model, hash orders or packing. Tests hold each stage's operator against brute
+#: force, and the stages against a plain version on a small fixture.
 ORACLE_SQL = None
 
 
