@@ -21,6 +21,7 @@ from sahaf.operators.terms import fit_hashed_tfidf, fit_terms, ngram_counts, ter
 from sahaf.plans.registry import java_lower_words, query, quoted, replace_all, table
 from sahaf.session import scratch_dir, staged
 from sahaf.sources.files import convert_envelopes
+from sahaf.streaming.terms import terms, update_terms
 
 DIM = 64
 
@@ -212,6 +213,17 @@ def tfidf_search_topk(spark, folder):
     )
 
 
+@query("stream_terms", f"WITH {COUNTS} SELECT term, count(*) AS df, round(any_value(idf), 9) AS idf FROM counts JOIN idf USING (term) GROUP BY term")
+def stream_terms(spark, folder):
+    """Frequencies of all documents from three batches, the second of which comes twice."""
+    place = f"{scratch_dir(spark)}/terms-{uuid.uuid4().hex}"
+    docs = documents(spark, folder).select("doc_id", "text")
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(3))
+    for batch in (0, 1, 1, 2):
+        update_terms(docs.where(part == batch), place, batch)
+    return terms(spark, place).table.select("term", "df", F.round("idf", 9).alias("idf"))
+
+
 @query("index_search", TFIDF_SEARCH)
 def index_search_topk(spark, folder):
     """The same hits from an index of two segments."""
