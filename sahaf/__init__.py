@@ -8,8 +8,10 @@ from sahaf.operators.embed import embed_documents, embed_texts, embed_with
 from sahaf.operators.index import add_segment, index_search, publish
 from sahaf.operators.ivf import ivf_search, read_ivf, train_centroids, write_ivf
 from sahaf.operators.keywords import corpus_keywords, extract_keywords
+from sahaf.operators.kmeans import assign_by_tree, centroid_tree, fit_cells, split_cells
 from sahaf.operators.lsh import fit_lsh, lsh_search
 from sahaf.operators.nearest import recall_at_k, top_k
+from sahaf.operators.probing import fit_probing, probe_search, scored_share
 from sahaf.operators.search import extract_law_refs, render_hits, search
 from sahaf.operators.summarize import summarize, summary_report
 from sahaf.operators.terms import tfidf, tfidf_search
@@ -21,6 +23,8 @@ from sahaf.sources.files import convert_envelopes, read_envelopes, read_markdown
 __all__ = [
     "add_segment",
     "append",
+    "assign_by_tree",
+    "centroid_tree",
     "convert_envelopes",
     "cooccurrence",
     "corpus_keywords",
@@ -31,7 +35,9 @@ __all__ = [
     "embed_with",
     "extract_keywords",
     "extract_law_refs",
+    "fit_cells",
     "fit_lsh",
+    "fit_probing",
     "fit_token_vectors",
     "get_session",
     "html_to_markdown",
@@ -39,13 +45,16 @@ __all__ = [
     "ivf_search",
     "lsh_search",
     "ppmi",
+    "probe_search",
     "publish",
     "read_envelopes",
     "read_ivf",
     "read_markdown",
     "recall_at_k",
     "render_hits",
+    "scored_share",
     "search",
+    "split_cells",
     "summarize",
     "summary_report",
     "tfidf",

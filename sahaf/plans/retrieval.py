@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sahaf.functions import text as T
 from sahaf.functions import vectors as V
-from sahaf.operators.ivf import assign_cells, ivf_search, train_centroids
+from sahaf.operators.ivf import assign_cells, ivf_search
 from sahaf.operators.lsh import fit_lsh, lsh_search
 from sahaf.operators.nearest import recall_at_k, score_moments, top_k
 from sahaf.operators.pooling import mean_pool
@@ -209,17 +209,6 @@ def ann_recall(spark, folder):
     return recall_at_k(found, top_k(vectors, asked, K, "ip")).select("query_id", F.round("recall", 6).alias("recall"))
 
 
-@query("ivf_build")
-def ivf_build(spark, folder):
-    """K-means cells and how many vectors each holds."""
-    vectors = corpus(spark, folder)
-    centroids = train_centroids(vectors.select("id", "vec"), nlist=16)
-    sizes = assign_cells(vectors, centroids).groupBy("cell").agg(F.count(F.lit(1)).alias("vectors"))
-    return centroids.join(sizes, "cell", "left").select(
-        "cell", F.coalesce("vectors", F.lit(0)).alias("vectors"), F.size("centroid").alias("dim")
-    )
-
-
 @query("lsh_search")
 def lsh_search_topk(spark, folder):
     vectors = corpus(spark, folder)
