@@ -5,6 +5,7 @@ All functions take and return DataFrames, so steps compose with ``df.transform``
 
 from sahaf.functions.html import html_to_markdown
 from sahaf.operators.embed import embed_documents, embed_texts, embed_with
+from sahaf.operators.graph import graph_summaries
 from sahaf.operators.index import add_segment, index_search, publish
 from sahaf.operators.ivf import ivf_search, read_ivf, train_centroids, write_ivf
 from sahaf.operators.keywords import corpus_keywords, extract_keywords
@@ -40,6 +41,7 @@ __all__ = [
     "fit_probing",
     "fit_token_vectors",
     "get_session",
+    "graph_summaries",
     "html_to_markdown",
     "index_search",
     "ivf_search",

@@ -2,8 +2,8 @@
 
 Covers headings, paragraphs, links, images, bold, italic, code, rules, nested
 ordered and unordered lists, and pipe tables. A page need not be well formed: tags
-without a partner are dropped and their text is kept. Line breaks inside ``pre``
-are folded like all other white space.
+without a partner are dropped and their text is kept. Text inside ``pre`` keeps its line
+breaks, blanks and marks; an ordered list counts its items, from ``start`` where it is given.
 """
 
 from __future__ import annotations
@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 # Fixed values. Each rule is (pattern, replacement), applied in this order.
 # \x02 stands for one column of list indentation until blanks have been squeezed.
-LEADING_RULES = [
+DROP_RULES = [
     (r"(?s)<!--.*?-->", ""),
     (r"(?is)<script\b[^>]*>.*?</script\s*>", ""),
     (r"(?is)<style\b[^>]*>.*?</style\s*>", ""),
     (r"(?is)<head\b[^>]*>.*?</head\s*>", ""),
     (r"(?is)<!doctype[^>]*>", ""),
+]
+INLINE_RULES = [
     (r"[ \t\r\n\f]{2,}|[\t\r\n\f]", " "),
     (r"([*_])", r"\\$1"),
     (r"(?i)</?(?:font|span|u|small|big|abbr|time|label)\b[^>]*>", ""),
@@ -44,6 +46,7 @@ LEADING_RULES = [
     (r"(?i)<br\b[^>]*>", "\n"),
     (r"(?i)<hr\b[^>]*>", "\n\n---\n\n"),
 ]
+LEADING_RULES = [*DROP_RULES, *INLINE_RULES]
 ITEM = r"(?i)<li\b[^>]*> *"
 ROW_RULES = [
     (r"(?i)<tr\b[^>]*> *", "\n|"),
@@ -64,6 +67,9 @@ BLANK_RULES = [
     (r"\n{3,}", "\n\n"),
 ]
 BULLETS = "*+-"
+#: What stands for line breaks, blanks, tabs and marks of ``pre`` until all rules were applied.
+KEPT, STANDS = "\n \t*_", "\x03\x04\x05\x06\x07"
+PRE = r"(?is)^(<pre\b[^>]*>)(?:\r?\n)?(.*?)(?:\r?\n)?(</pre\s*>.*|$)"
 
 
 def apply_rules(text: Column, rules: list[tuple[str, str]]) -> Column:
@@ -72,39 +78,62 @@ def apply_rules(text: Column, rules: list[tuple[str, str]]) -> Column:
     return text
 
 
+def _set_aside(piece: Column, i: Column) -> Column:
+    """A piece that begins with ``pre``, with signs for the blanks and marks inside it."""
+    body = F.translate(F.replace(F.regexp_extract(piece, PRE, 2), F.lit("\r")), KEPT, STANDS)
+    whole = F.concat(F.regexp_extract(piece, PRE, 1), body, F.regexp_extract(piece, PRE, 3))
+    return F.when((i == 0) | ~piece.rlike(PRE), piece).otherwise(whole)
+
+
 def _stacks(pieces: Column) -> Column:
-    """Open lists after each piece, as a string of ``u`` and ``o`` per piece."""
+    """For each piece the open lists, as a string of ``u`` and ``o``, and how many items the last one had before it.
+
+    The first entry is the state before all pieces.
+    """
 
     def step(state, piece):
+        before = F.element_at(state, -1)
         head = F.lower(F.substring(piece, 1, 3))
-        open_lists = F.element_at(state, -1)
-        after = (
-            F.when(head == "<ul", F.concat(open_lists, F.lit("u")))
-            .when(head == "<ol", F.concat(open_lists, F.lit("o")))
-            .when(
-                head == "</u",
-                open_lists.substr(F.lit(1), F.greatest(F.length(open_lists) - 1, F.lit(0))),
-            )
-            .when(
-                head == "</o",
-                open_lists.substr(F.lit(1), F.greatest(F.length(open_lists) - 1, F.lit(0))),
-            )
-            .otherwise(open_lists)
+        less = F.greatest(F.length(before["lists"]) - 1, F.lit(0))
+        lists = (
+            F.when(head == "<ul", F.concat(before["lists"], F.lit("u")))
+            .when(head == "<ol", F.concat(before["lists"], F.lit("o")))
+            .when(head.isin("</u", "</o"), before["lists"].substr(F.lit(1), less))
+            .otherwise(before["lists"])
         )
-        return F.concat(state, F.array(after))
+        given = F.regexp_extract(piece, r"""(?i)^<ol\b[^>]*?\bstart=["']?(\d{1,9})""", 1)
+        begin = F.when(given == "", F.lit(0)).otherwise(given.cast("int") - 1)
+        counts = (
+            F.when(head.isin("<ul", "<ol"), F.concat(before["counts"], F.array(begin)))
+            .when(head.isin("</u", "</o"), F.slice(before["counts"], F.lit(1), less))
+            .otherwise(before["counts"])
+        )
+        items = F.size(F.split(piece, ITEM, -1)) - 1
+
+        def after(c):
+            had = F.coalesce(F.get(c, F.size(c) - 1), F.lit(0))
+            held = F.slice(c, F.lit(1), F.greatest(F.size(c) - 1, F.lit(0)))
+            grown = F.when(F.size(c) > 0, F.concat(held, F.array(had + items))).otherwise(c)
+            return F.struct(lists.alias("lists"), had.alias("had"), grown.alias("counts"))
+
+        return F.concat(state, F.transform(F.array(counts), after))
 
-    return F.aggregate(pieces, F.array(F.lit("")), step)
+    none = F.struct(F.lit("").alias("lists"), F.lit(0).alias("had"), F.array().cast("array<int>").alias("counts"))
+    return F.aggregate(pieces, F.array(none), step)
 
 
-def _list_piece(piece: Column, stack: Column) -> Column:
+def _list_piece(piece: Column, state: Column) -> Column:
     """Items of one piece with the mark and indentation of their depth."""
+    stack = state["lists"]
     depth = F.length(stack)
     bullet = F.substring(F.lit(BULLETS), F.pmod(F.greatest(depth - 1, F.lit(0)), F.lit(3)) + 1, F.lit(1))
-    mark = F.when(stack.endswith("o"), F.lit("1.")).otherwise(bullet)
-    indent = F.repeat(F.lit("\x02\x02"), F.greatest(depth - 1, F.lit(0)))
+    indent = F.concat(F.lit("\n"), F.repeat(F.lit("\x02\x02"), F.greatest(depth - 1, F.lit(0))))
     nested = (depth > 1) | ((depth == 1) & piece.startswith("</"))
     text = F.when(nested, F.regexp_replace(piece, r"(?i)^</?[ou]l\b[^>]*> *", "")).otherwise(piece)
-    return F.regexp_replace(text, F.lit(ITEM), F.concat(F.lit("\n"), indent, mark, F.lit(" ")))
+    number = lambda i: F.concat(indent, (state["had"] + i).cast("string"), F.lit(". "))
+    numbered = F.transform(F.split(text, ITEM, -1), lambda x, i: F.when(i == 0, x).otherwise(F.concat(number(i), x)))
+    marked = F.regexp_replace(text, F.lit(ITEM), F.concat(indent, bullet, F.lit(" ")))
+    return F.when(stack.endswith("o"), F.array_join(numbered, "")).otherwise(marked)
 
 
 def _table_row(row: Column) -> Column:
@@ -141,9 +170,11 @@ def _named_entity(piece: Column, i: Column) -> Column:
 def html_to_markdown(df: DataFrame, html_col: str = "html", out_col: str = "markdown") -> DataFrame:
     """Add the Markdown of an HTML column.
 
-    The steps are separate columns so that each is computed once per row.
+    The steps are separate columns so that each is computed once per row. The blank before
+    the page leaves no piece that begins with ``pre`` as the first; it is trimmed at the end.
     """
-    text = apply_rules(F.col(html_col), LEADING_RULES)
+    whole = F.when(F.size("_pre") == 1, F.get("_pre", F.lit(0))).otherwise(F.array_join(F.transform("_pre", _set_aside), ""))
+    text = apply_rules(whole, INLINE_RULES)
     lists = F.array_join(
         F.transform("_pieces", lambda piece, i: _list_piece(piece, F.get("_stacks", i + 1))), ""
     )
@@ -158,22 +189,18 @@ def html_to_markdown(df: DataFrame, html_col: str = "html", out_col: str = "mark
         F.array_join(F.transform("_numbers", _numeric_entity), "")
     )
     marked = F.regexp_replace(text, r"(?i)(</?[ou]l\b)", "\x01$1")
+    final = F.replace(
+        F.btrim(apply_rules(F.replace(numbers, F.lit("&amp;"), F.lit("&")), BLANK_RULES), F.lit(" \n")),
+        F.lit("\x02"),
+        F.lit(" "),
+    )
     return (
-        df.withColumn("_pieces", F.split(marked, "\x01", -1))
+        df.withColumn("_pre", F.split(F.concat(F.lit(" "), apply_rules(F.col(html_col), DROP_RULES)), r"(?i)(?=<pre\b)", -1))
+        .withColumn("_pieces", F.split(marked, "\x01", -1))
         .withColumn("_stacks", _stacks(F.col("_pieces")))
         .withColumn("_rows", F.split(lists, r"(?i)</tr\s*> *", -1))
         .withColumn("_names", F.split(inline, "&", -1))
         .withColumn("_numbers", F.split(named, "&#", -1))
-        .withColumn(
-            out_col,
-            F.replace(
-                F.btrim(
-                    apply_rules(F.replace(numbers, F.lit("&amp;"), F.lit("&")), BLANK_RULES),
-                    F.lit(" \n"),
-                ),
-                F.lit("\x02"),
-                F.lit(" "),
-            ),
-        )
-        .drop("_pieces", "_stacks", "_rows", "_names", "_numbers")
+        .withColumn(out_col, F.when(F.size("_pre") == 1, final).otherwise(F.translate(final, STANDS, KEPT)))
+        .drop("_pre", "_pieces", "_stacks", "_rows", "_names", "_numbers")
     )

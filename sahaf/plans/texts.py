@@ -11,6 +11,7 @@ from sahaf.functions import html as H
 from sahaf.functions import text as T
 from sahaf.functions.wordlists import STOP_WORDS
 from sahaf.operators.embed import embed_documents, embed_texts
+from sahaf.operators.graph import DAMPING, REDUNDANCY, STEPS, graph_summaries
 from sahaf.operators.index import add_segment, index_search, publish
 from sahaf.operators.keywords import corpus_keywords, extract_keywords
 from sahaf.operators.nearest import top_k
@@ -324,6 +325,47 @@ def extractive_summary(spark, folder):
     return summarize(documents(spark, folder))
 
 
+def graph_sql() -> str:
+    """CTEs ending in ``graph_picks(doc_id, sent)``, from ``places`` and ``sidf``."""
+    by = "OVER (PARTITION BY doc_id, {})".format
+    parts = [
+        "gv AS (SELECT doc_id, sent, term, count(*) * any_value(idf) AS v FROM places JOIN sidf USING (term)"
+        " WHERE idf > 0 GROUP BY doc_id, sent, term)",
+        f"gx AS (SELECT *, v / sqrt(sum(v * v) {by('sent')}) AS x FROM gv)",
+        f"gd AS (SELECT *, sum(x) {by('term')} AS across FROM gx)",
+        f"g0 AS MATERIALIZED (SELECT doc_id, sent, term, x, sum(x * across) {by('sent')} AS degree, 1.0::DOUBLE AS rank FROM gd)",
+    ]
+    for k in range(STEPS):
+        parts += [
+            f"ga{k} AS (SELECT *, sum(x * rank / degree) {by('term')} AS across FROM g{k})",
+            f"g{k + 1} AS MATERIALIZED (SELECT doc_id, sent, term, x, degree,"
+            f" {1 - DAMPING} + {DAMPING} * sum(x * across) {by('sent')} AS rank FROM ga{k})",
+        ]
+    parts.append(f"m0 AS (SELECT doc_id, sent, term, x, rank, 0.0::DOUBLE AS near, false AS taken FROM g{STEPS})")
+    for k in range(3):
+        parts += [
+            f"mw{k} AS (SELECT *, min(CASE WHEN NOT taken THEN {{'w': -round(rank * (1 - {REDUNDANCY} * near), 10), 's': sent}} END)"
+            f" OVER (PARTITION BY doc_id) AS best FROM m{k})",
+            f"mp{k} AS (SELECT *, coalesce(max(CASE WHEN sent = best.s THEN x END) {by('term')}, 0) AS across FROM mw{k})",
+            f"m{k + 1} AS MATERIALIZED (SELECT doc_id, sent, term, x, rank, greatest(near, sum(x * across) {by('sent')}) AS near,"
+            f" taken OR coalesce(sent = best.s, false) AS taken FROM mp{k})",
+        ]
+    parts.append("graph_picks AS (SELECT DISTINCT doc_id, sent FROM m3 WHERE taken)")
+    return ",\n".join(parts)
+
+
+@query(
+    "graph_summary",
+    f"""WITH {SUMMARY}, {graph_sql()}
+    SELECT d.doc_id, coalesce(string_agg(trim(sentence), ' ' ORDER BY p.sent), '') AS summary
+    FROM documents d LEFT JOIN graph_picks p USING (doc_id)
+    LEFT JOIN sents s ON s.doc_id = p.doc_id AND s.sent = p.sent GROUP BY d.doc_id""",
+)
+def graph_summary(spark, folder):
+    """Summaries from the graph of each document's sentences."""
+    return graph_summaries(documents(spark, folder))
+
+
 @query(
     "pair_cosine",
     f"""WITH {COUNTS}, {embedded_sql("embedded", "documents", "weights")}, {SUMMARY},

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sahaf.operators.embed import embed_documents, embed_texts, embed_with
 from sahaf.operators.keywords import as_annotations, corpus_keywords, extract_keywords
 from sahaf.operators.skew import join_frequent_first
+from sahaf.operators.graph import graph_summaries, sentence_entries, sentence_ranks
 from sahaf.operators.summarize import control_pairs, pair_cosine, summarize, summary_report
 from sahaf.operators.terms import fit_hashed_tfidf, fit_terms, term_counts, tfidf, tfidf_search
 
@@ -136,6 +137,35 @@ def test_summary(docs):
     assert full[1] == TEXTS[1][1]
 
 
+def test_graph_ranks_and_picks_equal_numpy(spark):
+    """Rank by the whole similarity matrix, then picks by worth."""
+    rng = np.random.default_rng(4)
+    sentences = [" ".join(f"w{'abcdefgh'[i]}" for i in rng.integers(0, 8, 6)) for _ in range(9)]
+    sentences[5] = sentences[2]
+    rows = [(1, ". ".join(sentences) + "."), (2, "wa wb."), (3, "wc other."), (4, None), (5, "...")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    entries = sentence_entries(docs)
+    found = entries.where("doc_id = 1").toPandas()
+    x = found.pivot(index="sent", columns="term", values="x").fillna(0.0).to_numpy()
+    assert x.shape[0] == 9 and np.allclose((x * x).sum(axis=1), 1.0)
+    similar = x @ x.T
+    rank = np.ones(9)
+    for _ in range(4):
+        rank = 0.15 + 0.85 * (similar @ (rank / similar.sum(axis=1)))
+    ranked = sentence_ranks(entries, 4).where("doc_id = 1").groupBy("sent").agg({"rank": "max"}).orderBy("sent").collect()
+    assert np.allclose([r[1] for r in ranked], rank)
+    near, picks = np.zeros(9), []
+    for _ in range(3):
+        worth = np.round(rank * (1 - 0.5 * near), 10)
+        worth[picks] = -1
+        picks.append(int(worth.argmax()))
+        near = np.maximum(near, similar[picks[-1]])
+    got = {r.doc_id: r.summary for r in graph_summaries(docs, 3, 4).collect()}
+    assert got[1] == " ".join(sentences[i] + "." for i in sorted(picks))
+    assert {got[4], got[5]} == {""} and got[2] == "wa wb." and got[3] == "wc other."
+    assert graph_summaries(docs.limit(0)).count() == 0
+
+
 def test_control_pairs_differ_in_language(spark, docs):
     lang = {i: l for i, (l, _) in TEXTS.items()}
     for slots in (1, 4, 64):

@@ -87,7 +87,12 @@ def markdown(spark, html):
         ("<b><font size=2>9. Hukuk Dairesi</font></b><br>\n<b>x</b>", "**9. Hukuk Dairesi**\n**x**"),
         ("a<script>var t='</p>';</script><!-- c -->b", "ab"),
         ("<ul><li>a</li><li>b<ul><li>c</li></ul></li></ul>", "* a\n* b\n  + c"),
-        ("<ol><li>a</li><li>b</li></ol>", "1. a\n1. b"),
+        ("<ol><li>a</li><li>b</li></ol>", "1. a\n2. b"),
+        ("<ol><li>a<ul><li>x</li></ul></li><li>b</li></ol>", "1. a\n  + x\n2. b"),
+        ("<ol><li>a<ol><li>x</li><li>y</li></ol></li><li>b</li></ol><ol start=\"7\"><li>c</li></ol>", "1. a\n  1. x\n  2. y\n2. b\n\n7. c"),
+        ("<pre>\nif a_b:\n    x  *= 2\n</pre> <p>a  b</p><pre class='k'><code>y\n\n\n\nz</code></pre>", "```\nif a_b:\n    x  *= 2\n```\n\na b\n\n```\ny\n\n\n\nz\n```"),
+        ("a<pre b", "a<pre b"),
+        ("<!-- <pre> -->a\nb<pre>c\nd", "a b\n\n```\nc\nd"),
         ('<a href="/u">text</a> <img src="s.png" alt="pic">', "[text](/u) ![pic](s.png)"),
         ("<i>it</i> <code>c</code><hr>x", "*it* `c`\n\n---\n\nx"),
         ("a_b * c", "a\\_b \\* c"),
