@@ -8,7 +8,8 @@ similar they can be. Lines that remain are compared by their whole sets. A line
 removed when an earlier line, of the same document or of one with a smaller id, is as
 similar. Equal lines are one node with its first occurrence.
 
-DataFrame functions only. Nulls: a null text stays null; a null id comes last. Blank
+Words are cut and hashed in Arrow batches, all else is joins and groupings. A task lists a
+line that it has just listed only once, so copies of a line don't fill a shuffle. Nulls: a null text stays null; a null id comes last. Blank
 lines are kept. Rows with equal id and text are one document: each gets the same result.
 Very long lines are compared whole. Lines of equal rank are ordered by their place. Other
 columns are kept, whatever their names. An empty table gives no rows.
@@ -16,38 +17,25 @@ columns are kept, whatever their names. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sahaf.llm.frames import parts
+from sahaf.llm.words import blocks, shingles
 from sahaf.session import staged
 
-K, PERCENT = 5, 80
+PERCENT = 80
 #: Counters of token frequency, as bits; bits of the table by which lines are passed over; rows of a task.
 COUNTER_BITS, FILTER_BITS, TASK_ROWS = 16, 22, 1_000_000
-_UNUSUAL = r"[\t\x0B\x0C\r]|  |^ | $"
-
-
-def line_words(line: Column) -> Column:
-    """The words of a line; lines of words with one blank between them, the most, are cut at blanks."""
-    low = F.lower(line)
-    careful = F.array_remove(F.split(low, r"[\x20\x09-\x0D]+"), "")
-    return F.when(line.rlike(_UNUSUAL), careful).otherwise(F.split(low, " ", -1))
-
-
-def shingle_hashes(line: Column) -> Column:
-    """64-bit hashes of the shingles of a line that is not blank, in order."""
-
-    def five(h: Column) -> Column:
-        later = [lambda i, j=j: F.get(h, i + j) for j in range(1, K)]
-        made = F.transform(h, lambda x, i: F.xxhash64(x, *[f(i) for f in later]))
-        return F.slice(made, 1, F.greatest(F.size(h) - (K - 1), F.lit(1)))
-
-    def of_words(w: Column) -> Column:
-        return F.transform(F.array(F.transform(w, lambda x: F.xxhash64(x))), five)[0]
-
-    # An array made inside array() is evaluated once and bound to the lambda's variable.
-    return F.transform(F.array(line_words(line)), of_words)[0]
+#: Lines that a task remembers, so as not to list them again.
+SEEN = 1 << 20
+_COUNTER, _LOW_BITS = np.uint64(64 - COUNTER_BITS), np.uint64(63 - COUNTER_BITS)
+_LOW = np.uint64((1 << (63 - COUNTER_BITS)) - 1)
 
 
 def document_key() -> Column:
@@ -61,41 +49,92 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.withColumn("node", F.xxhash64("line"))
 
 
-def rarity(lines: DataFrame) -> Column:
-    """A constant array: for each counter, its place by how many tokens it counts.
-
-    It has as many numbers as there are counters, whatever the input, and comes to the
-    driver as one text.
+def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (z, doc_id, dkey, no, node, null, null) of lines (.., line), and (.., counter, n) of the task's counters."""
+    counts = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    names = ["z", "doc_id", "dkey", "no", "node", "counter", "n"]
+    schema = None
+    for batch in batches:
+        for a, b in blocks(batch.column(5)):
+            h, _ = shingles(batch.column(5).slice(a, b - a))
+            counts += np.bincount((h >> _COUNTER).astype(np.int64), minlength=len(counts))
+        none = [pa.nulls(batch.num_rows, kind) for kind in (pa.int32(), pa.int64())]
+        out = pa.RecordBatch.from_arrays([*batch.columns[:5], *none], names=names)
+        schema = out.schema
+        yield out
+    used = np.flatnonzero(counts)
+    if len(used):
+        empty = [pa.nulls(len(used), schema.field(i).type) for i in range(5)]
+        yield pa.RecordBatch.from_arrays([*empty, pa.array(used.astype(np.int32)), pa.array(counts[used])], names=names)
+
+
+def occurrences_and_rarity(lines: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """(z, doc_id, dkey, no, node) of every line, and each counter's place by how many tokens it counts, in one pass.
+
+    There are as many numbers as counters, whatever the input.
     """
-    # The words side by side with those that follow, so that rows are hashed in compiled code.
-    w = lines.select(line_words(F.col("line")).alias("w"))
-    n = F.greatest(F.size("w") - (K - 1), F.lit(1))
-    beside = F.arrays_zip(*[F.slice("w", F.lit(j + 1), n).alias(f"w{j}") for j in range(K)])
-    made = w.select(F.inline(beside))
-    h = F.xxhash64(*[F.xxhash64(f"w{j}") if j == 0 else F.when(F.col(f"w{j}").isNotNull(), F.xxhash64(f"w{j}")) for j in range(K)])
-    counter = F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int").alias("counter")
-    counts = made.groupBy(counter).count()
-    every = lines.sparkSession.range(1 << COUNTER_BITS).select(F.col("id").cast("int").alias("counter"))
-    counts = every.join(counts, "counter", "left").select("counter", F.coalesce("count", F.lit(0)).alias("n"))
-    ranked = counts.select("counter", F.row_number().over(Window.orderBy("n", "counter")).alias("rank"))
-    pairs = F.sort_array(F.collect_list(F.struct("counter", (F.col("rank") - 1).alias("rank"))))
-    text = ranked.agg(F.array_join(F.transform(pairs, lambda p: p["rank"].cast("string")), ",")).first()[0]
-    return F.split(F.lit(text), ",").cast("array<bigint>")
-
+    kind = lines.schema["doc_id"].dataType.simpleString()
+    rows = lines.select("z", "doc_id", "dkey", "no", "node", F.lower("line").alias("line"))
+    both = staged(rows.mapInArrow(counted, f"z boolean, doc_id {kind}, dkey long, no int, node long, counter int, n long"), "lines-all")
+    sums = both.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
+    counts[sums.column("counter").to_numpy()] = sums.column("n").to_numpy()
+    ranks = np.empty(len(counts), dtype=np.uint64)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
+    return both.where("counter IS NULL").drop("counter", "n"), lines.sparkSession.sparkContext.broadcast(ranks)
 
-def tokens(line: Column, ranks: Column) -> Column:
-    """The distinct tokens of a line, rarest first: rank of the counter, then the other bits of the hash."""
-    low = (1 << (63 - COUNTER_BITS)) - 1
 
-    def token(h: Column) -> Column:
-        rank = F.get(ranks, F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int"))
-        return F.shiftleft(rank, 63 - COUNTER_BITS).bitwiseOR(h.bitwiseAND(F.lit(low)))
+def tokens(lines: pa.Array, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct tokens of each line in turn, rarest first, and the len + 1 offsets.
 
-    return F.sort_array(F.array_distinct(F.transform(shingle_hashes(line), token)))
-
-
-def least_overlap(n: Column, percent: int) -> Column:
-    return F.ceil(n * percent / 100)
+    A token is the rank of its counter, then the other bits of the hash.
+    """
+    h, at = shingles(lines)
+    out = ((ranks[(h >> _COUNTER).astype(np.int64)] << _LOW_BITS) | (h & _LOW)).view(np.int64)
+    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        if b - a > 1:
+            out[a:b].sort()
+    return out, at
+
+
+def prefix_rows(ranks: Broadcast, percent: int):
+    """Rows (token, node, n, at) of the prefixes of lines (node, line); a line that the task remembers is passed over."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        order = ranks.value
+        # No node is the complement of its own place, so nothing is remembered at first.
+        seen = ~np.arange(SEEN, dtype=np.int64)
+        for batch in batches:
+            for a, b in blocks(batch.column(1)):
+                node, first = np.unique(batch.column(0).slice(a, b - a).to_numpy(), return_index=True)
+                place = node & (SEEN - 1)
+                new = seen[place] != node
+                node, first = node[new], first[new]
+                seen[place[new]] = node
+                token, at = tokens(batch.column(1).slice(a, b - a).take(pa.array(first)), order)
+                n = np.diff(at)
+                short = n + (-n * percent // 100) + 1
+                begin = np.cumsum(short) - short
+                inside = np.arange(short.sum()) - np.repeat(begin, short)
+                columns = [token[np.repeat(at[:-1], short) + inside], np.repeat(node, short), np.repeat(n, short), inside]
+                kinds = [np.int64, np.int64, np.int32, np.int32]
+                arrays = [pa.array(c.astype(k)) for c, k in zip(columns, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["token", "node", "n", "at"])
+
+    return run
+
+
+def set_rows(ranks: Broadcast):
+    """Rows (node, tokens) of lines (node, line)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in blocks(batch.column(1)):
+                token, at = tokens(batch.column(1).slice(a, b - a), ranks.value)
+                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(token))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["node", "tokens"])
+
+    return run
 
 
 def may_match(n: Column, at: Column, m: Column, bt: Column, percent: int) -> Column:
@@ -104,7 +143,7 @@ def may_match(n: Column, at: Column, m: Column, bt: Column, percent: int) -> Col
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * rest >= percent * (n + m))
 
 
-def verified(pairs: DataFrame, lines: DataFrame, firsts: DataFrame, ranks: Column, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, lines: DataFrame, firsts: DataFrame, ranks: Broadcast, percent: int) -> DataFrame:
     """The pairs (later, earlier) that are as similar, by their whole sets of tokens.
 
     Lines are tokenised again where a bit of a table of fixed size says they may be
@@ -121,8 +160,8 @@ def verified(pairs: DataFrame, lines: DataFrame, firsts: DataFrame, ranks: Colum
     table = staged(words.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "w"))), lambda p: p["w"]).alias("bits")), "lines-bits")
     word = F.get(table.scalar(), F.shiftright(slot, 5).cast("int"))
     held = F.call_function("shiftright", word, slot.bitwiseAND(31).cast("int")).bitwiseAND(1) == 1
-    rows = lines.select("node", place, "line").where(held).join(needed, ["node", "first"], "left_semi")
-    sets = staged(rows.dropDuplicates(["node"]).select("node", tokens(F.col("line"), ranks).alias("tokens")), "lines-sets")
+    rows = lines.select("node", place, "line").where(held).join(needed, ["node", "first"], "left_semi").dropDuplicates(["node"])
+    sets = staged(rows.select("node", F.lower("line").alias("line")).mapInArrow(set_rows(ranks), "node long, tokens array<long>"), "lines-sets")
     both = pairs.join(sets.select(F.col("node").alias("later"), "tokens"), "later")
     both = both.join(sets.select(F.col("node").alias("earlier"), F.col("tokens").alias("others")), "earlier")
     inter = F.size(F.array_intersect("tokens", "others"))
@@ -135,14 +174,9 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     lines = lines_of(docs)
     place = F.struct("z", "doc_id", "dkey", "no")
-    occurrences = staged(lines.select("z", "doc_id", "dkey", "no", "node"), "lines-all")
+    occurrences, ranks = occurrences_and_rarity(lines)
     firsts = staged(occurrences.groupBy("node").agg(F.min(place).alias("first")), "lines-firsts")
-    ranks = rarity(lines)
-    # Projected apart from its use, so that the array is made once a line.
-    listed = lines.select("node", F.transform(F.array(tokens(F.col("line"), ranks)), lambda t: F.struct(t.alias("t"), F.size(t).alias("n")))[0].alias("s"))
-    n = F.col("s.n")
-    prefix = F.slice(F.col("s.t"), F.lit(1), (n - least_overlap(n, percent) + 1).cast("int"))
-    postings = listed.select("node", n.alias("n"), F.posexplode(prefix).alias("at", "token"))
+    postings = lines.select("node", F.lower("line").alias("line")).mapInArrow(prefix_rows(ranks, percent), "token long, node long, n int, at int")
     rows = occurrences.count() * 16
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts(rows, TASK_ROWS))
     same = Window.partitionBy("token")
@@ -181,9 +215,9 @@ def without_repeats(docs: DataFrame, percent: int = PERCENT, removed: str | None
     """
     nos = repeated_lines(docs.select("doc_id", "text"), percent)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    joined = docs.select(document_key().alias("dkey"), "text", row).join(nos, "dkey", "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("nos", i))
-    out = joined.withColumn("text", F.when(F.col("nos").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")))
+    joined = docs.select(document_key().alias("dkey"), row).join(nos, "dkey", "left")
+    kept = F.filter(F.split("row.text", "\n"), lambda x, i: ~F.array_contains("nos", i))
+    out = joined.withColumn("text", F.when(F.col("nos").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n")))
     own = {c: F.col(f"row.`{c}`") for c in docs.columns} | {"text": F.col("text")}
     if "n_chars" in own:
         own["n_chars"] = F.when(F.col("nos").isNull(), own["n_chars"]).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))
