@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sahaf.llm.stages import line_dedup, mix, ngram_join, pack, quality  # noqa: E402
-from sahaf.session import staged  # noqa: E402
+from sahaf.session import STAGED, release, staged  # noqa: E402
 
 STAGES = [
     ("quality classifier", quality),
@@ -29,5 +29,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages, from the documents of ``sf_dir`` to packed pieces."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
+        before = len(STAGED)
         docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        release(spark, since=before, last=1)
     return STAGES[-1][1](spark, docs, sf_dir)

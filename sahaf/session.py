@@ -10,6 +10,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 STAGED: list[str] = []
+#: Spark's setting that removes the shuffle files of a query when it ends.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def get_session(app: str = "sahaf", master: str | None = None, **conf: str) -> SparkSession:
@@ -58,19 +60,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     lost. The files stay until ``release`` is called: frames made from them are lazy,
     so only the caller knows when the last one has been read.
     """
-    path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     STAGED.append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # What the write shuffled is read by no other job, so it need not stay on the disks.
+    before = spark.conf.get(CLEAN_SHUFFLES, "false")
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_SHUFFLES, before)
+    return spark.read.parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete every staged table of this process; returns how many there were.
+def release(spark: SparkSession, since: int = 0, last: int = 0) -> int:
+    """Delete the staged tables of this process; returns how many there were.
 
-    Frames that read staged tables can't be evaluated afterwards.
+    The first ``since`` tables, in the order in which they were staged, stay, and so do the
+    last ``last``. Frames that read a deleted table can't be evaluated afterwards.
     """
-    count = len(STAGED)
-    while STAGED:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(STAGED.pop())
+    used_up = STAGED[since : len(STAGED) - last]
+    del STAGED[since : len(STAGED) - last]
+    for name in used_up:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    return count
+    return len(used_up)
