@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sahaf.llm.words import _PLACE, blocks, mixed, span_hashes, words
-from sahaf.session import staged
+from sahaf.session import STAGED, release, staged
 
 #: Share of the trusted documents that are trained on; the others give the limits.
 SHARE = 0.5
@@ -155,6 +155,7 @@ def summands(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``own`` of w, vw and uvw, and of ``back`` of v and uv; a key without entry adds nothing.
     ``weight`` is about how often a key was counted.
     """
+    before = len(STAGED)
     (e3, c3), (e2, c2), (e1, c1) = orders(texts)
     floors = staged(c1.select("lang", (F.col("g") / (F.col("kinds") + 1)).alias("floor")), "quality-floors")
     p1 = staged(e1.join(floors, "lang").select("w", "c", "floor", (F.col("a") + F.col("floor")).alias("p1")), "quality-words")
@@ -171,7 +172,11 @@ def summands(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     short = short.union(rows(c2, "v", None, F.col("g"), "total")).union(rows(c3, "uv", None, F.col("g"), "total"))
     short = short.groupBy("key").agg(F.sum("own").alias("own"), F.sum("back").alias("back"), F.max("weight").alias("weight"))
     model = short.union(rows(p3, "uvw", F.col("p3") / (F.col("g") * F.col("p2")), None, "c"))
-    return staged(model, "quality-model"), floors.select("lang", F.log("floor").alias("floor"))
+    model = staged(model, "quality-model")
+    floors = staged(floors.select("lang", F.log("floor").alias("floor")), "quality-floors")
+    # The counts are used up: the model and the floors are all that is read from here on.
+    release(texts.sparkSession, since=before, last=2)
+    return model, floors
 
 
 Shard = tuple[np.ndarray, np.ndarray, np.ndarray]
@@ -336,6 +341,7 @@ def scored(docs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     The perplexity is null for a text without words or a language without model.
     """
+    before = len(STAGED)
     model, floors = summands(texts)
     frequent, values, bits, rest = sendable(model)
     sent = docs.sparkSession.sparkContext.broadcast((frequent, values, bits))
@@ -351,7 +357,10 @@ def scored(docs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     each = each.join(far, "dkey", "left").join(floors.withColumnRenamed("lang", "own"), "own", "left")
     total = F.col("near") + F.coalesce(F.col("far") / F.col("copies"), F.lit(0.0))
     perplexity = F.when(F.col("n_words") > 0, F.exp(-F.col("floor") - total / F.col("n_words")))
-    return base.select("doc_id", "lang", "dkey"), staged(each.select("dkey", "n_words", perplexity.alias("perplexity")), "quality-scores")
+    scores = staged(each.select("dkey", "n_words", perplexity.alias("perplexity")), "quality-scores")
+    base = staged(base.select("doc_id", "lang", "dkey"), "quality-base")
+    release(docs.sparkSession, since=before, last=2)
+    return base, scores
 
 
 def classify(docs: DataFrame, trusted: DataFrame, high: float = HIGH) -> DataFrame:
