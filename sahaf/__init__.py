@@ -14,6 +14,7 @@ from sahaf.operators.lsh import fit_lsh, lsh_search
 from sahaf.operators.nearest import recall_at_k, top_k
 from sahaf.operators.probing import fit_probing, probe_search, scored_share
 from sahaf.operators.search import extract_law_refs, render_hits, search
+from sahaf.operators.sentence_ends import learned_sentences
 from sahaf.operators.summarize import summarize, summary_report
 from sahaf.operators.terms import tfidf, tfidf_search
 from sahaf.operators.token_vectors import cooccurrence, fit_token_vectors, ppmi, token_vectors
@@ -45,6 +46,7 @@ __all__ = [
     "html_to_markdown",
     "index_search",
     "ivf_search",
+    "learned_sentences",
     "lsh_search",
     "ppmi",
     "probe_search",
