@@ -15,6 +15,7 @@ from sahaf.operators.nearest import recall_at_k, top_k
 from sahaf.operators.probing import fit_probing, probe_search, scored_share
 from sahaf.operators.search import extract_law_refs, render_hits, search
 from sahaf.operators.sentence_ends import learned_sentences
+from sahaf.operators.stemming import stem_tokens, stem_words
 from sahaf.operators.summarize import summarize, summary_report
 from sahaf.operators.terms import tfidf, tfidf_search
 from sahaf.operators.token_vectors import cooccurrence, fit_token_vectors, ppmi, token_vectors
@@ -59,6 +60,8 @@ __all__ = [
     "scored_share",
     "search",
     "split_cells",
+    "stem_tokens",
+    "stem_words",
     "summarize",
     "summary_report",
     "tfidf",

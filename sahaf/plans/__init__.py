@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sahaf.plans import cells, retrieval, sentence_ends, tables, texts, token_level  # noqa: F401  (they register queries)
+from sahaf.plans import cells, retrieval, sentence_ends, stemming, tables, texts, token_level  # noqa: F401  (they register queries)
 from sahaf.plans.registry import QUERIES, SQL
 
 
