@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -23,13 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sahaf.functions import text as T
-from sahaf.operators.skew import join_frequent_first
-from sahaf.session import staged
+from sahaf.operators.skew import MAX_HOT_KEY_BYTES, join_frequent_first
+from sahaf.session import STAGED, release, staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Words on either side that count as near; columns beyond the wanted ones; passes over the matrix that sharpen the range.
 WINDOW, OVERSAMPLE, PASSES = 2, 16, 2
+#: Terms whose rows are sent to all tasks; entries, and rows, that a task works on at a time.
+HOT, CELLS, ROWS = 16_384, 50_000, 8_192
 
 
 def token_rows(docs: DataFrame, mode: str = "unicode") -> DataFrame:
@@ -81,15 +84,119 @@ def signs(term, columns: int):
     return F.array(*[(1 - 2 * bit(k)).cast("double") for k in range(columns)])
 
 
-def _times(weights: DataFrame, rows: DataFrame) -> DataFrame:
-    """(term, vec) of the matrix (term, context, weight) times rows (term, vec, n)."""
-    met = join_frequent_first(weights, rows.withColumnRenamed("term", "context"), "context", "n")
-    return _summed(met)
+def neighbours(weights: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A symmetric matrix (term, context, weight) as one row per term, written once for all products.
+
+    Returns (term, n), the entries of each term; (place, term), the ``hot`` terms with the most; and
+    (term, near, far). ``near`` lists the places and weights of a term's hot neighbours. ``far`` lists
+    its other neighbours and their weights, for terms that are not hot: what a hot term gets
+    from another is in the other's ``near``. So no list is longer than ``hot``, or than the
+    entries of the first term that isn't hot.
+    """
+    sizes = staged(weights.groupBy("term").agg(F.count("*").alias("n")), "degrees")
+    short = F.octet_length("term") <= MAX_HOT_KEY_BYTES
+    most = sizes.where(short).orderBy(F.desc("n"), "term").limit(hot)
+    places = staged(most.agg(F.array_sort(F.collect_list("term")).alias("t")).select(F.posexplode("t").alias("place", "term")), "hot-terms")
+    mine = F.broadcast(places.select("term", F.lit(True).alias("is_hot")))
+    other = F.broadcast(places.withColumnRenamed("term", "context"))
+    met = weights.join(other, "context", "left").join(mine, "term", "left").where("place IS NOT NULL OR is_hot IS NULL")
+    lists = met.groupBy("term").agg(
+        F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "weight"))).alias("near"),
+        F.collect_list(F.when(F.col("place").isNull(), F.struct("context", "weight"))).alias("far"),
+        F.first("is_hot").alias("is_hot"),
+    )
+    return sizes, places, staged(lists, "neighbours")
+
+
+def _pieces(ends: np.ndarray) -> list[int]:
+    """Row numbers at which to cut so that a piece has about CELLS entries, or one row."""
+    cuts = np.searchsorted(ends, np.arange(CELLS, ends[-1], CELLS)) if len(ends) else []
+    return sorted({0, len(ends) - 1, *map(int, cuts)})
+
+
+def _vectors(values: np.ndarray) -> pa.ListArray:
+    ends = np.arange(0, values.size + 1, values.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
+
+
+def _times(lists: DataFrame, places: DataFrame, rows: DataFrame, turn: np.ndarray) -> DataFrame:
+    """(term, vec) of the matrix times rows (term, vec), each first times the small matrix ``turn``.
+
+    The rows of the hot terms are sent to all tasks, ``HOT`` of them at most. Every other row meets
+    the one row of its neighbours, gives its share to hot ones in a block that each task sums, and
+    makes a row for each neighbour that isn't hot.
+    """
+    wide, columns = turn.shape
+    sent = places.join(rows, "term").select("place", "vec").toArrow()
+    names = places.orderBy("place").select("term").toArrow().column("term").combine_chunks().cast(pa.string())
+    block = np.zeros((len(names), wide))
+    if sent.num_rows:
+        block[sent.column("place").to_numpy()] = sent.column("vec").combine_chunks().flatten().to_numpy().reshape(-1, wide)
+    shared = lists.sparkSession.sparkContext.broadcast((block @ turn, names))
+    schema = pa.schema([("term", pa.string()), ("vec", pa.list_(pa.float64()))])
+
+    def made(terms, values):
+        return pa.RecordBatch.from_arrays([terms.cast(pa.string()), _vectors(values)], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot, names = shared.value
+        given = np.zeros_like(hot)
+        for batch in batches:
+            for at, stop in (lambda c: zip(c, c[1:]))(_pieces(np.cumsum([0, *_lengths(batch.column("near"))]))):
+                part = batch.slice(at, stop - at)
+                x = part.column("vec").flatten().to_numpy().reshape(-1, wide) @ turn
+                near, sizes = part.column("near").flatten(), _lengths(part.column("near"))
+                place, weight = near.field("place").to_numpy(), near.field("weight").to_numpy()
+                full = sizes > 0
+                own = np.zeros((len(part), columns))
+                if full.any():
+                    own[full] = np.add.reduceat(hot[place] * weight[:, None], (np.cumsum(sizes) - sizes)[full])
+                yield made(part.column("term"), own)
+                # What rows of terms that aren't hot give to hot ones: summed by place.
+                rare = np.repeat(part.column("is_hot").is_null().to_numpy(zero_copy_only=False), sizes)
+                if rare.any():
+                    row = np.repeat(np.arange(len(part)), sizes)[rare]
+                    order = np.argsort(place[rare], kind="stable")
+                    to, first = np.unique(place[rare][order], return_index=True)
+                    given[to] += np.add.reduceat(x[row[order]] * weight[rare][order][:, None], first)
+                far, row = part.column("far").flatten(), np.repeat(np.arange(len(part)), _lengths(part.column("far")))
+                for k in range(0, len(far), ROWS):
+                    piece = far.slice(k, ROWS)
+                    yield made(piece.field("context"), x[row[k : k + ROWS]] * piece.field("weight").to_numpy()[:, None])
+        reached = np.flatnonzero(given.any(axis=1))
+        for k in range(0, len(reached), ROWS):
+            yield made(names.take(pa.array(reached[k : k + ROWS])), given[reached[k : k + ROWS]])
+
+    met = lists.join(rows.select("term", "vec"), "term").select("term", "near", "far", "is_hot", "vec")
+    shares = met.mapInArrow(run, "term string, vec array<double>")
+    return shares.repartition("term").sortWithinPartitions("term").mapInArrow(_runs_summed(columns), "term string, vec array<double>")
+
+
+def _runs_summed(columns: int):
+    """Sums the vectors of rows (term, vec) that come sorted by term; one sum is held between batches."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, held = None, np.zeros((1, columns))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            runs = pc.run_end_encode(batch.column(0), run_end_type=pa.int32())
+            terms, starts = runs.values, np.concatenate([[0], runs.run_ends.to_numpy()[:-1]])
+            sums = np.add.reduceat(batch.column(1).flatten().to_numpy().reshape(-1, columns), starts)
+            if name == terms[0].as_py():
+                sums[0] += held[0]
+            elif name is not None:
+                yield pa.RecordBatch.from_arrays([pa.array([name], terms.type), _vectors(held)], names=["term", "vec"])
+            name, held = terms[-1].as_py(), sums[-1:]
+            yield pa.RecordBatch.from_arrays([terms.slice(0, len(terms) - 1), _vectors(sums[:-1])], names=["term", "vec"])
+        if name is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()), _vectors(held)], names=["term", "vec"])
+
+    return run
 
 
-def _summed(met: DataFrame) -> DataFrame:
-    total = Summarizer.metrics("sum").summary(array_to_vector("vec"), F.col("weight"))["sum"]
-    return met.groupBy("term").agg(total.alias("v"), F.count("*").alias("n")).select("term", vector_to_array("v").alias("vec"), "n")
+def _lengths(lists: pa.ListArray) -> np.ndarray:
+    return np.diff(lists.offsets.to_numpy())
 
 
 def _gram(rows: DataFrame, left: str, right: str, columns: int) -> np.ndarray:
@@ -111,47 +218,49 @@ def _gram(rows: DataFrame, left: str, right: str, columns: int) -> np.ndarray:
 
 
 def _mapped(rows: DataFrame, matrix: np.ndarray) -> DataFrame:
-    """(term, vec, n) with every vector times a small matrix."""
+    """(term, vec) with every vector times a small matrix."""
     wide = matrix.shape[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = batch.column(1).flatten().to_numpy().reshape(-1, wide) @ matrix
-            ends = np.arange(0, made.size + 1, made.shape[1], dtype=np.int32)
-            vec = pa.ListArray.from_arrays(pa.array(ends), pa.array(made.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), vec, batch.column(2)], names=["term", "vec", "n"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), _vectors(made)], names=["term", "vec"])
 
-    return rows.select("term", "vec", "n").mapInArrow(run, "term string, vec array<double>, n long")
+    return rows.select("term", "vec").mapInArrow(run, "term string, vec array<double>")
 
 
-def _orthonormal(rows: DataFrame, columns: int) -> DataFrame:
-    """The rows times the matrix that makes their columns orthonormal; columns without length become 0."""
+def _orthonormal(rows: DataFrame, columns: int) -> np.ndarray:
+    """The matrix that makes the rows' columns orthonormal; columns without length become 0."""
     values, axes = np.linalg.eigh(_gram(rows, "vec", "vec", columns))
     good = values > max(values[-1], 0.0) * 1e-12
-    scale = np.where(good, 1 / np.sqrt(np.where(good, values, 1.0)), 0.0)
-    return staged(_mapped(rows, axes * scale), "range")
+    return axes * np.where(good, 1 / np.sqrt(np.where(good, values, 1.0)), 0.0)
 
 
-def fit_token_vectors(weights: DataFrame, dim: int = 64) -> DataFrame:
+def fit_token_vectors(weights: DataFrame, dim: int = 64, hot: int = HOT) -> DataFrame:
     """(term, vec, n): a vector for each term of a symmetric matrix (term, context, weight), no weight below 0.
 
     The vectors times each other give about the matrix: they are its ``dim`` leading
     eigenvectors by size, each times the root of its eigenvalue's size. ``n`` is the number
-    of entries of a term. ``weights`` is read ``PASSES + 2`` times: pass a written table.
+    of entries of a term. ``weights`` is read twice: pass a written table. It is written
+    once as a list of neighbours for each term, which is read ``PASSES + 2`` times.
     """
-    columns = dim + OVERSAMPLE
-    rows = staged(_summed(weights.withColumn("vec", signs(F.col("context"), columns))), "range")
+    spark, columns = weights.sparkSession, dim + OVERSAMPLE
+    sizes, places, lists = neighbours(weights, hot)
+    before = len(STAGED)
+    rows = sizes.select("term", signs(F.col("term"), columns).alias("vec"))
+    rows = staged(_times(lists, places, rows, np.eye(columns)), "range")
     for _ in range(PASSES):
-        rows = staged(_times(weights, _orthonormal(rows, columns)), "range")
-    base = _orthonormal(rows, columns)
-    image = _times(weights, base).select("term", F.col("vec").alias("image"))
-    small = _gram(base.join(image, "term"), "vec", "image", columns)
+        rows = staged(_times(lists, places, rows, _orthonormal(rows, columns)), "range")
+        release(spark, since=before, last=1)
+    turn = _orthonormal(rows, columns)
+    image = _times(lists, places, rows, turn).withColumnRenamed("vec", "image")
+    small = turn.T @ _gram(rows.join(image, "term"), "vec", "image", columns)
     values, axes = np.linalg.eigh((small + small.T) / 2)
     first = np.argsort(-np.abs(values))[:dim]
     axes, values = axes[:, first], values[first]
     # An eigenvector's sign is free: the largest entry of each is made positive.
     axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(len(first))])
-    return _mapped(base, axes * np.sqrt(np.abs(values)))
+    return _mapped(rows, turn @ (axes * np.sqrt(np.abs(values)))).join(sizes, "term")
 
 
 def token_vectors(docs: DataFrame, vectors: DataFrame, mode: str = "unicode") -> DataFrame:

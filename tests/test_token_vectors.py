@@ -73,6 +73,29 @@ def test_the_subspace_equals_numpy(spark):
     assert np.linalg.norm(found @ found.T - want @ want.T) < 1e-3 * np.linalg.norm(want @ want.T)
 
 
+@pytest.mark.parametrize("hot", [0, 7, 60])
+def test_products_take_one_row_a_term_whatever_is_hot(spark, monkeypatch, hot):
+    m, weights = random_matrix(spark, np.random.default_rng(2), 60, 4)
+    monkeypatch.setattr(V, "CELLS", 50)
+    monkeypatch.setattr(V, "ROWS", 9)
+    _, places, lists = V.neighbours(weights, hot)
+    assert places.count() == hot and lists.count() == 60
+    assert lists.selectExpr("max(size(near))").first()[0] == hot
+    assert lists.where("is_hot AND size(far) > 0").count() == 0
+    rng = np.random.default_rng(3)
+    x, turn = rng.random((60, 6)), rng.random((6, 4))
+    rows = spark.createDataFrame([(f"t{i}", x[i].tolist()) for i in range(60)], "term string, vec array<double>")
+    got = {r.term: r.vec for r in V._times(lists, places, rows, turn).collect()}
+    assert np.allclose([got[f"t{i}"] for i in range(60)], m @ x @ turn)
+    found = {r.term: (r.vec, r.n) for r in V.fit_token_vectors(weights, 4, hot).collect()}
+    vecs = np.array([found[f"t{i}"][0] for i in range(60)])
+    values, axes = np.linalg.eigh(m)
+    first = np.argsort(-np.abs(values))[:4]
+    want = axes[:, first] * np.sqrt(np.abs(values[first]))
+    assert np.linalg.norm(vecs @ vecs.T - want @ want.T) < 1e-3 * np.linalg.norm(want @ want.T)
+    assert {n for _, n in found.values()} == {60}
+
+
 def test_fewer_terms_than_columns(spark):
     m, weights = random_matrix(spark, np.random.default_rng(1), 6, 2)
     got = {r.term: r.vec for r in V.fit_token_vectors(weights, 8).collect()}
