@@ -240,3 +240,20 @@ def test_annotations_round_trip(docs):
     found = extract_keywords(docs)
     flat = as_annotations(found).select("doc_id", F.posexplode("keywords").alias("i", "k"))
     assert flat.count() == found.count()
+
+
+def test_graph_summaries_write_nothing_and_take_any_batches(spark):
+    from sahaf.session import STAGED
+
+    text = "The {0} cat sat on a mat. A {0} dog ran over the mat. Rain fell on {0} hills. The dog and the {0} cat slept."
+    docs = spark.createDataFrame([(i, text.format(w)) for i, w in enumerate(["red", "blue", "old", "new", "wet"])] + [(5, None), (0, "One more red line.")], "doc_id long, text string")
+    before = len(STAGED)
+    whole = sorted((r.doc_id, r.summary) for r in graph_summaries(docs).collect())
+    ranks = {(r.doc_id, r.sent): r["rank"] for r in sentence_ranks(sentence_entries(docs)).collect()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert sorted((r.doc_id, r.summary) for r in graph_summaries(docs).collect()) == whole
+        assert all(abs(ranks[r.doc_id, r.sent] - r["rank"]) < 1e-12 for r in sentence_ranks(sentence_entries(docs)).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(STAGED) == before and len(whole) == 7 and all(s for i, s in whole if i < 5)
