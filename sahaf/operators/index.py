@@ -42,7 +42,7 @@ def add_segment(docs: DataFrame, folder: str, mode: str = "unicode") -> None:
     Rows without ``doc_id`` count as documents but are never found, as in ``tfidf_search``.
     """
     name = uuid.uuid4().hex
-    term_counts(docs, mode).write.parquet(f"{folder}/segments/{name}/counts")
+    term_counts(docs, mode, move_texts=True).write.parquet(f"{folder}/segments/{name}/counts")
     docs.agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{folder}/segments/{name}/size")
 
 

@@ -257,3 +257,19 @@ def test_graph_summaries_write_nothing_and_take_any_batches(spark):
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert len(STAGED) == before and len(whole) == 7 and all(s for i, s in whole if i < 5)
+
+
+def test_texts_move_in_parts_of_bounded_size(spark, monkeypatch):
+    import sahaf.operators.terms as terms_module
+
+    rows = [(i % 40, f"Word{'x' * (i % 7)} and word {i % 9}, and so on. " * 5) for i in range(80)] + [(None, "none"), (3, None), (4, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(r.doc_id, r.term): r.tf for r in terms_module.term_counts(docs).collect()}
+    grams = sorted(map(tuple, terms_module.ngram_counts(docs).collect()), key=str)
+    monkeypatch.setattr(terms_module, "PART_BYTES", 500)
+    assert terms_module.by_document(docs).rdd.getNumPartitions() > 20
+    moved = terms_module.term_counts(docs, move_texts=True)
+    assert {(r.doc_id, r.term): r.tf for r in moved.collect()} == want
+    assert sorted(map(tuple, terms_module.ngram_counts(docs).collect()), key=str) == grams
+    plan = moved._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
