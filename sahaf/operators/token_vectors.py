@@ -3,7 +3,7 @@
 Counts of words that stand near each other become positive pointwise mutual information;
 the leading part of that sparse symmetric matrix is found by a randomised range finder.
 The matrix and all tables of one row per term stay distributed. The driver sees Gram
-matrices of ``dim + OVERSAMPLE`` rows and columns, whatever the vocabulary.
+matrices of ``dim + OVERSAMPLE`` rows and columns and the rows of ``HOT`` terms, whatever the vocabulary.
 
 Documents come as ``doc_id, text``. A null text has no tokens. Rows without ``doc_id``
 have tokens and count like others.
