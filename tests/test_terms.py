@@ -273,3 +273,18 @@ def test_texts_move_in_parts_of_bounded_size(spark, monkeypatch):
     assert sorted(map(tuple, terms_module.ngram_counts(docs).collect()), key=str) == grams
     plan = moved._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert plan.count("Exchange") == 1 and "REPARTITION_BY_NUM" in plan
+
+
+def test_summaries_move_texts_and_sums_not_the_places_of_terms(spark, monkeypatch):
+    """Whatever number of terms is sent, the summaries are the same; nothing is dealt anew by document after the weights."""
+    from sahaf.operators import summarize as S
+
+    rows = [(i % 7 if i else None, f"kedi uyur kedi w{i}x{chr(97 + i)}. köpek koşar hızlı! kuş {chr(98 + i % 5)}uçar kedi.\nson satır") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    out = S.summarize(docs, 2)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" not in plan, plan
+    want = sorted((r.doc_id is None, r.doc_id or 0, r.summary) for r in out.collect())
+    assert len(want) == 20
+    monkeypatch.setattr(S, "SENT_TERMS", 2)
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.summary) for r in S.summarize(docs, 2).collect()) == want
