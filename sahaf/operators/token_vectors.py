@@ -20,11 +20,12 @@ import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sahaf.functions import text as T
 from sahaf.operators.skew import MAX_HOT_KEY_BYTES, join_frequent_first
+from sahaf.operators.terms import SENT_TERMS
 from sahaf.session import STAGED, release, staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -33,6 +34,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WINDOW, OVERSAMPLE, PASSES = 2, 16, 2
 #: Terms whose rows are sent to all tasks; entries, and rows, that a task works on at a time.
 HOT, CELLS, ROWS = 16_384, 50_000, 8_192
+#: Words whose pairs a task combines at a time.
+PAIR_WORDS = 1 << 20
 
 
 def token_rows(docs: DataFrame, mode: str = "unicode") -> DataFrame:
@@ -41,6 +44,61 @@ def token_rows(docs: DataFrame, mode: str = "unicode") -> DataFrame:
     return numbered.select("doc_id", "sent", F.posexplode(T.words(F.col("sentence"), mode)).alias("pos", "token"))
 
 
+def pair_counts(docs: DataFrame, window: int = WINDOW, mode: str = "unicode") -> DataFrame:
+    """(a, b, n), a <= b: how often two words stand at most ``window`` words apart in a sentence.
+
+    Pairs are made and first combined in Arrow batches, PAIR_WORDS words at a time, and
+    shuffled once; a word beside its own like counts once.
+    """
+    sents = docs.select(F.explode(T.sentences(F.col("text"))).alias("s"))
+    lines = sents.select(T.clean(F.col("s"), mode).alias("line"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for part in (batch.slice(k, ROWS) for k in range(0, batch.num_rows, ROWS)):
+                held.append(pc.ascii_split_whitespace(part.column(0).cast(pa.large_string())))
+                size += len(held[-1].values)
+                if size >= PAIR_WORDS:
+                    yield _combined(held, window)
+                    held, size = [], 0
+        if held:
+            yield _combined(held, window)
+
+    return lines.mapInArrow(run, "a string, b string, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
+
+
+def _combined(held: list[pa.Array], window: int) -> pa.RecordBatch:
+    """Rows (a, b, n) of the pairs in lists of words."""
+    widths = np.concatenate([np.diff(x.offsets.to_numpy()) for x in held])
+    flat = pa.concat_arrays([x.flatten() for x in held])
+    solid = pc.greater(pc.binary_length(flat), 0)  # blanks at an end of a sentence leave empty words
+    sent = np.repeat(np.arange(len(widths)), widths)[solid.to_numpy(zero_copy_only=False)]
+    coded = flat.filter(solid).dictionary_encode()
+    # Words by their place in binary order, so that the lesser place is the lesser word.
+    order = pc.array_sort_indices(coded.dictionary.cast(pa.large_binary())).to_numpy()
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    word = place[coded.indices.to_numpy()]
+    full = coded.dictionary.take(pa.array(order))
+    keys = []
+    for by in range(1, window + 1):
+        same = sent[by:] == sent[:-by]
+        x, y = word[:-by][same], word[by:][same]
+        keys.append(np.minimum(x, y) * len(order) + np.maximum(x, y))
+    key, n = np.unique(np.concatenate(keys), return_counts=True)
+    names = [full.take(pa.array(i)).cast(pa.string()) for i in np.divmod(key, max(len(order), 1))]
+    return pa.RecordBatch.from_arrays([*names, pa.array(n.astype(np.int64))], names=["a", "b", "n"])
+
+
+def both_orders(pairs: DataFrame, value: str, like: Column | None = None) -> DataFrame:
+    """(term, context, ``value``) from rows (a, b, ``value``): each pair in both orders, ``like`` for a word with itself."""
+    mine = F.struct(F.col("a").alias("term"), F.col("b").alias("context"), value)
+    other = F.struct(F.col("b").alias("term"), F.col("a").alias("context"), value)
+    alone = mine if like is None else F.struct(F.col("a").alias("term"), F.col("b").alias("context"), like.alias(value))
+    return pairs.select(F.inline(F.when(F.col("a") == F.col("b"), F.array(alone)).otherwise(F.array(mine, other))))
+
+
 def cooccurrence(docs: DataFrame, window: int = WINDOW, mode: str = "unicode") -> DataFrame:
     """(term, context, n): how often two words stand at most ``window`` words apart in a sentence.
 
@@ -48,33 +106,50 @@ def cooccurrence(docs: DataFrame, window: int = WINDOW, mode: str = "unicode") -
     twice. Pairs are made inside a sentence's row and shuffled once, in one order only, after
     they were combined in the task.
     """
-    words = docs.select(F.explode(T.sentences(F.col("text"))).alias("s")).select(T.words(F.col("s"), mode).alias("w"))
+    return in_both_orders(pair_counts(docs, window, mode))
 
-    def apart(by: int):
-        both = F.arrays_zip(F.slice("w", F.lit(1), F.greatest(F.size("w") - by, F.lit(0))).alias("a"), F.slice("w", by + 1, 1 << 30).alias("b"))
-        return F.transform(both, lambda p: F.struct(F.least(p["a"], p["b"]).alias("a"), F.greatest(p["a"], p["b"]).alias("b")))
 
-    pairs = words.select(F.explode(F.concat(*[apart(by) for by in range(1, window + 1)])).alias("p"))
-    counts = pairs.groupBy("p.a", "p.b").agg(F.count("*").alias("n"))
-    orders = F.when(F.col("a") == F.col("b"), F.array(F.struct(F.col("a").alias("term"), F.col("b").alias("context"), (2 * F.col("n")).alias("n")))).otherwise(
-        F.array(F.struct(F.col("a").alias("term"), F.col("b").alias("context"), "n"), F.struct(F.col("b").alias("term"), F.col("a").alias("context"), "n"))
-    )
-    return counts.select(F.inline(orders))
+def in_both_orders(pairs: DataFrame) -> DataFrame:
+    """(term, context, n) from :func:`pair_counts`."""
+    return both_orders(pairs, "n", 2 * F.col("n"))
 
 
-def ppmi(counts: DataFrame) -> DataFrame:
+def ppmi(counts: DataFrame, digits: int | None = None) -> DataFrame:
     """(term, context, weight): ln(n * total / (n of the term * n of the context)), where it is over 0.
 
-    ``counts`` is read several times: pass a written table. Rows of the most frequent
-    terms are not moved to meet their sums.
+    ``counts`` is that of :func:`cooccurrence`, so symmetric: a pair is weighed, and rounded to
+    ``digits``, in one order. It is read several times: pass a written table.
     """
     sums = staged(counts.groupBy("term").agg(F.sum("n").alias("term_n")), "term-sums")
     total = sums.agg(F.sum("term_n")).scalar()
-    joined = join_frequent_first(counts, sums, "term", "term_n")
-    others = sums.select(F.col("term").alias("context"), F.col("term_n").alias("context_n"))
-    joined = join_frequent_first(joined, others, "context", "context_n")
+    joined = with_sums(counts.where("term <= context"), sums)
     weight = F.log(F.col("n") * total.cast("double") / (F.col("term_n").cast("double") * F.col("context_n")))
-    return joined.select("term", "context", weight.alias("weight")).where("weight > 0")
+    weighed = joined.select(F.col("term").alias("a"), F.col("context").alias("b"), weight.alias("weight")).where("weight > 0")
+    if digits is not None:
+        weighed = weighed.withColumn("weight", F.round("weight", digits))
+    return both_orders(weighed, "weight")
+
+
+def with_sums(pairs: DataFrame, sums: DataFrame, hot: int = SENT_TERMS) -> DataFrame:
+    """(term, context, n, term_n, context_n) from pairs (term, context, n) and sums (term, term_n).
+
+    The sums of the ``hot`` most frequent terms are sent to the pairs; only pairs with another
+    term are moved to its sum. Of those, the ones that know the sum are dealt evenly.
+    """
+    short = F.octet_length("term") <= MAX_HOT_KEY_BYTES
+    most = sums.where(short).orderBy(F.desc("term_n"), "term").limit(hot)
+    met = pairs
+    for side in ("term", "context"):
+        met = met.join(F.broadcast(most.select(F.col("term").alias(side), F.col("term_n").alias(f"{side}_n"))), side, "left")
+    columns = ["term", "context", "n", "term_n", "context_n"]
+    rest = met.where("term_n IS NULL OR context_n IS NULL")
+    for side in ("term", "context"):
+        # No term begins with this sign.
+        even = F.concat(F.lit("\0"), F.pmod(F.xxhash64("term", "context"), F.lit(1 << 16)).cast("string"))
+        known = sums.select(F.col("term").alias("_key"), F.col("term_n").alias("_n"))
+        rest = rest.withColumn("_key", F.when(F.col(f"{side}_n").isNull(), F.col(side)).otherwise(even)).join(known, "_key", "left")
+        rest = rest.withColumn(f"{side}_n", F.coalesce(f"{side}_n", "_n")).select(*columns)
+    return met.where("term_n IS NOT NULL AND context_n IS NOT NULL").select(*columns).union(rest)
 
 
 def signs(term, columns: int):

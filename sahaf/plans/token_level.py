@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sahaf.operators.pooling import mean_pool
-from sahaf.operators.token_vectors import WINDOW, cooccurrence, fit_token_vectors, ppmi, token_vectors
+from sahaf.operators.token_vectors import WINDOW, cooccurrence, fit_token_vectors, in_both_orders, pair_counts, ppmi, token_vectors
 from sahaf.plans.registry import query
 from sahaf.plans.texts import SENTENCES, documents, words_sql
 from sahaf.session import staged
@@ -21,7 +21,8 @@ near AS (SELECT term, context, count(*) AS n FROM (SELECT p.a AS term, p.b AS co
 
 
 def counted(spark, folder):
-    return staged(cooccurrence(documents(spark, folder).select("text")), "near")
+    """What ``cooccurrence`` gives, written in one order only."""
+    return in_both_orders(staged(pair_counts(documents(spark, folder).select("text")), "near"))
 
 
 @query("cooccurrence", f"WITH {NEAR} SELECT term, context, n FROM near")
@@ -37,8 +38,7 @@ def cooccurrences(spark, folder):
     WHERE ln(n * (SELECT sum(s) FROM sums)::DOUBLE / (a.s::DOUBLE * b.s)) > 0""",
 )
 def ppmi_weights(spark, folder):
-    weights = ppmi(counted(spark, folder))
-    return weights.select("term", "context", F.round("weight", 9).alias("weight"))
+    return ppmi(counted(spark, folder), 9)
 
 
 def fitted(spark, folder):

@@ -137,3 +137,29 @@ def test_empty_corpus(spark, docs):
     assert V.cooccurrence(none).count() == 0 and V.token_rows(none).count() == 0
     model = spark.createDataFrame([], "term string, vec array<double>, n long")
     assert V.token_vectors(docs.where("doc_id = 4"), model).collect()[0].vec is None
+
+
+def test_pairs_are_weighed_once_whatever_is_combined_or_sent(spark, monkeypatch):
+    texts = ["  a b 1 a c. b a ! \t", "c c\tc d. a", None, "", "12 . 3", "ı ÇA b d d a. zz a b"] * 3
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    want = Counter()
+    for sent in (s for t in texts for s in re.split(r"[.!?\n]", t or "")):
+        w = re.sub(r"[^\w\s]|\d|_", "", sent).lower().split()
+        for by in range(1, V.WINDOW + 1):
+            for x, y in zip(w, w[by:]):
+                want[x, y] += 1
+                want[y, x] += 1
+    total, sums = sum(want.values()), Counter()
+    for (x, _), n in want.items():
+        sums[x] += n
+    weights = {k: math.log(n * total / (sums[k[0]] * sums[k[1]])) for k, n in want.items()}
+    weights = {k: round(w, 6) for k, w in weights.items() if w > 0}
+    for size, hot in ((1 << 20, 1 << 16), (3, 2)):
+        monkeypatch.setattr(V, "PAIR_WORDS", size)
+        monkeypatch.setattr(V.with_sums, "__defaults__", (hot,))
+        pairs = V.pair_counts(docs).collect()
+        assert all(r.a <= r.b for r in pairs) and len(pairs) == len({(r.a, r.b) for r in pairs})
+        counts = V.cooccurrence(docs)
+        assert {(r.term, r.context): r.n for r in counts.collect()} == want
+        got = V.ppmi(counts, 6).collect()
+        assert len(got) == len(weights) and {(r.term, r.context): r.weight for r in got} == pytest.approx(weights, abs=2e-6)
