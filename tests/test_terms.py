@@ -288,3 +288,14 @@ def test_summaries_move_texts_and_sums_not_the_places_of_terms(spark, monkeypatc
     assert len(want) == 20
     monkeypatch.setattr(S, "SENT_TERMS", 2)
     assert sorted((r.doc_id is None, r.doc_id or 0, r.summary) for r in S.summarize(docs, 2).collect()) == want
+
+
+def test_keyword_tokens_follow_the_text_in_partitions(docs, monkeypatch):
+    """A task's tokens don't grow with the corpus; the keywords are the same."""
+    from sahaf.operators import keywords, terms
+
+    few = sorted(map(tuple, extract_keywords(docs, threshold=1e9).collect()))
+    monkeypatch.setattr(terms, "PART_BYTES", 8)
+    size = sum(len(t) for _, t in TEXTS.values())
+    assert keywords.keyword_tokens(docs).rdd.getNumPartitions() == -(-size // 8)
+    assert sorted(map(tuple, extract_keywords(docs, threshold=1e9).collect())) == few
