@@ -6,10 +6,16 @@ Spark aggregations. The log probability of a text is written as a sum over its n
 the language's floor for each word, and for each n-gram of the model what it adds to what
 the shorter ones give. So n-grams are looked up one by one: the FREQUENT entries that were
 counted most are sent to the tasks, all others are joined in Spark with the n-grams
-(document, key, counts) of the documents, and summed by document. Before that join, a
+(document, key, count) of the documents, and summed by document. Before that join, a
 table of bits of fixed size drops n-grams that are in no entry; it only saves rows.
 Values are multiples of 2^-30, so that sums don't depend on their order.
 
+All of this is done for one of SLICES parts after another, so that what is shuffled and
+written for a part is gone before the next. A part has the trigrams with a middle word of
+its own: their contexts, the pairs that they end in and the contexts of these are whole
+there. Only counts of words, and how many entries have which count, go over all parts.
+Kept between the parts are the trigram and pair counts and a sum of each text.
+
 A document is kept when its perplexity is at most a quantile of its language, taken over
 the trusted documents that were not trained on. There is no lower limit: documents that
 were trained on, and their copies, have the lowest perplexities.
@@ -25,21 +31,24 @@ Columns of the names that are added are replaced, all others are kept, whatever
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sahaf.llm.words import _PLACE, blocks, mixed, span_hashes, words
-from sahaf.session import STAGED, release, staged
+from sahaf.llm.words import blocks, mixed, span_hashes, words
+from sahaf.session import STAGED, drop, release, staged
 
 #: Share of the trusted documents that are trained on; the others give the limits.
 SHARE = 0.5
 #: Quantile of the trusted perplexities up to which a document is kept.
 HIGH = 0.99
-#: Entries of a shard; entries that are sent to the tasks; bits of the table before the join.
+#: Parts that are counted, weighed and joined one after another.
+SLICES = 6
+#: Entries of a shard; entries of a part that are sent to the tasks; bits of the table before the join.
 SHARD, FREQUENT, FILTER_BITS = 1 << 20, 1 << 20, 27
 #: Values are multiples of 1 / UNIT.
 UNIT = float(1 << 30)
@@ -58,8 +67,26 @@ def lang_hash(langs: pa.Array) -> np.ndarray:
     return own[at]
 
 
-def grams(texts: pa.Array, langs: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Keys of every word and its contexts: w, v, vw, uv, uvw; and words per text.
+def hashed(*columns: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of long columns."""
+    one, two, three, four, five = (np.uint64(x) for x in _XX)
+    out = np.full(len(columns[0]), 42, dtype=np.uint64)
+    for c in columns:
+        k = c * two
+        out = (out + five + np.uint64(8)) ^ ((k << np.uint64(31) | k >> np.uint64(33)) * one)
+        out = (out << np.uint64(27) | out >> np.uint64(37)) * one + four
+        out = (out ^ (out >> np.uint64(33))) * two
+        out = (out ^ (out >> np.uint64(29))) * three
+        out ^= out >> np.uint64(32)
+    return out
+
+
+#: The primes of xxHash.
+_XX = (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)
+
+
+def places(texts: pa.Array, langs: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Every word w and the words v and u before it, as numbers that differ by language; and words per text.
 
     Each text begins with two signs of its beginning, so each word has a full context.
     """
@@ -73,110 +100,182 @@ def grams(texts: pa.Array, langs: pa.Array) -> tuple[dict[str, np.ndarray], np.n
     padded[begin], padded[begin + 1] = _START[0], _START[1]
     padded[place] = h
     padded = mixed(padded ^ np.repeat(own, n + 2))
-    u, v, w = padded[place - 2], padded[place - 1], padded[place]
-    vw, uv = mixed(v * _PLACE[10] + w * _PLACE[11]), mixed(u * _PLACE[10] + v * _PLACE[11])
-    uvw = mixed(u * _PLACE[12] + v * _PLACE[13] + w * _PLACE[14])
-    return {"w": w, "v": v, "vw": vw, "uv": uv, "uvw": uvw}, n
+    return padded[place - 2], padded[place - 1], padded[place], n
 
 
-def training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, w, v, vw, uv, uvw) of texts (text, lang); lang as its number."""
-    for batch in batches:
-        for a, b in blocks(batch.column(0)):
-            langs = batch.column(1).slice(a, b - a)
-            keys, n = grams(batch.column(0).slice(a, b - a), langs)
-            lang = np.repeat(lang_hash(langs), n)
-            columns = [pa.array(x.view(np.int64)) for x in (lang, *keys.values())]
-            yield pa.RecordBatch.from_arrays(columns, names=["lang", *keys])
+def grams(texts: pa.Array, langs: pa.Array) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """Keys of every word and its contexts: w, v, vw, uv, uvw; and words per text."""
+    u, v, w, n = places(texts, langs)
+    uv = hashed(u, v)
+    return {"w": w, "v": v, "vw": hashed(v, w), "uv": uv, "uvw": hashed(uv, w)}, n
 
 
-def discounted(counts: DataFrame, context: list[str], own: list[str], keep: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Entries and contexts of one order from rows (lang, context.., own.., c).
+def part_of(h: np.ndarray) -> np.ndarray:
+    """The part of each word's number."""
+    return (h >> np.uint64(32)) % np.uint64(SLICES)
 
-    Entries have ``a`` = (c - D(c)) / total of the context, and both have ``g`` = the weight
-    that the discounts leave to the next lower order. D has one value for counts of one,
-    two, and more, from how many entries of the language have counts 1 to 4.
-    """
-    def times(k: int):
-        return F.sum(F.when(F.col("c") == k, 1).otherwise(0)).cast("double")
 
-    n = counts.groupBy("lang").agg(*[times(k).alias(f"n{k}") for k in (1, 2, 3, 4)])
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+def training_rows(part: int):
+    """Rows (lang, u, v, w) of texts (text, lang) with v of the part; lang as its number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in blocks(batch.column(0)):
+                langs = batch.column(1).slice(a, b - a)
+                u, v, w, n = places(batch.column(0).slice(a, b - a), langs)
+                own = part_of(v) == part
+                lang = np.repeat(lang_hash(langs), n)
+                columns = [pa.array(x[own].view(np.int64)) for x in (lang, u, v, w)]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "u", "v", "w"])
+
+    return run
+
+
+def discounts(counts: DataFrame) -> DataFrame:
+    """(lang, d1, d2, d3): what is taken from counts of one, two, and more, from rows (lang, .., c).
+
+    That depends on how many entries of the language have counts 1 to 4.
+    """
+    n = counts.groupBy("lang").agg(*[F.sum(F.when(F.col("c") == k, 1).otherwise(0)).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)])
+    y = F.try_divide("n1", F.col("n1") + 2 * F.col("n2"))
     fine = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col("n3") > 0) & (F.col("n4") > 0)
     ds = []
     for k in (1, 2, 3):
         d = k - (k + 1) * y * F.try_divide(F.col(f"n{k + 1}"), F.col(f"n{k}"))
         ds.append(F.coalesce(F.when(fine & (d > 0) & (d < k), d), F.lit(DISCOUNTS[k - 1])).alias(f"d{k}"))
     # One row per language: staged, so that Spark knows its size before it plans the join.
-    with_d = counts.join(staged(n.select("lang", *ds), "quality-discounts"), "lang")
-    with_d = with_d.withColumn("d", F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3")))
-    contexts = with_d.groupBy("lang", *context).agg(F.sum("c").alias("total"), F.sum("d").alias("left"), F.count("*").alias("kinds"))
-    contexts = contexts.withColumn("g", F.col("left") / F.col("total"))
-    entries = with_d.join(contexts.select("lang", *context, "total", "g"), ["lang", *context])
-    entries = entries.withColumn("a", (F.col("c") - F.col("d")) / F.col("total"))
-    return entries.select("lang", *own, *keep, "a", "g"), contexts.select("lang", *context, "g", "kinds", "total")
-
-
-def orders(texts: DataFrame) -> list[tuple[DataFrame, DataFrame]]:
-    """Entries and contexts of orders 3, 2 and 1 from texts (text, lang); entries with their ``c``."""
-    schema = "lang long, w long, v long, vw long, uv long, uvw long"
-    rows = texts.select("text", "lang").mapInArrow(training_rows, schema)
-    three = staged(rows.groupBy("lang", "uvw", "uv", "vw", "v", "w").agg(F.count("*").alias("c")), "quality-counts")
-    two = staged(three.groupBy("lang", "vw", "v", "w").agg(F.count("*").alias("c")), "quality-counts")
-    one = staged(two.groupBy("lang", "w").agg(F.count("*").alias("c")), "quality-counts")
-    return [
-        discounted(three, ["uv"], ["uvw"], ["uv", "vw", "c"]),
-        discounted(two, ["v"], ["vw"], ["v", "w", "c"]),
-        discounted(one, [], ["w"], ["c"]),
-    ]
+    return staged(n.select("lang", *ds), "quality-discounts")
 
 
-def train(texts: DataFrame) -> DataFrame:
-    """The model as (kind, key, value) from texts (text, lang).
+def sums() -> dict[str, Column]:
+    """Of the entries of a context: the total of their counts, and how many have a count of one, two, and more."""
+    many = {"k1": F.col("c") == 1, "k2": F.col("c") == 2, "k3": F.col("c") > 2}
+    return {"total": F.sum("c"), **{k: F.sum(F.when(x, 1).otherwise(0)) for k, x in many.items()}}
 
-    Kinds: 3 and 2 and 1 entries by uvw, vw, w; 13 and 12 back-off weights by uv, v; 0 the
-    probability of any unseen word, by language.
+
+def share() -> Column:
+    """What an entry has of its context's total, after the discount."""
+    d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
+    return (F.col("c") - d) / F.col("total")
+
+
+def weight() -> Column:
+    """What the discounts of a context leave to the next lower order."""
+    return (F.col("d1") * F.col("k1") + F.col("d2") * F.col("k2") + F.col("d3") * F.col("k3")) / F.col("total")
+
+
+def counted(texts: DataFrame) -> tuple[list[DataFrame], list[DataFrame], DataFrame, list[str]]:
+    """Counts of trigrams (lang, u, v, w, c) and pairs (lang, v, w, c) by part, of words (lang, w, c), and the tables' names.
+
+    The parts' tables are named in the order trigrams, pairs of each part.
     """
-    (a3, g3), (a2, g2), (a1, g1) = orders(texts)
+    rows = staged(texts.select("text", "lang"), "quality-texts")
+    own = STAGED[-1]
+    threes, twos, names = [], [], []
+    for part in range(SLICES):
+        some = rows.mapInArrow(training_rows(part), "lang long, u long, v long, w long")
+        # Words recur, so a dictionary of them takes a third of the space.
+        threes.append(staged(some.groupBy("lang", "u", "v", "w").agg(F.count("*").alias("c")), "quality-trigrams", **WORDS))
+        names.append(STAGED[-1])
+        twos.append(staged(threes[-1].groupBy("lang", "v", "w").agg(F.count("*").alias("c")), "quality-pairs", **WORDS))
+        names.append(STAGED[-1])
+    drop(rows.sparkSession, [own])
+    one = staged(reduce(DataFrame.union, twos).groupBy("lang", "w").agg(F.count("*").alias("c")), "quality-words")
+    return threes, twos, one, names
+
+
+#: A Parquet dictionary of a million words.
+WORDS = {"parquet.dictionary.page.size": str(8 << 20)}
+
+
+def word_shares(one: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(lang, floor), the probability of any unseen word, and (lang, w, c, a), from counts of words."""
+    ds = discounts(one)
+    langs = one.groupBy("lang").agg(*[x.alias(k) for k, x in sums().items()])
+    langs = staged(langs.join(ds, "lang").withColumn("floor", weight() / (F.col("k1") + F.col("k2") + F.col("k3") + 1)), "quality-floors")
+    return langs.select("lang", "floor"), one.join(langs.drop("k1", "k2", "k3"), "lang").select("lang", "w", "c", share().alias("a"), "floor")
+
 
-    def table(df: DataFrame, kind: int, key: str, value) -> DataFrame:
-        return df.select(F.lit(kind).alias("kind"), F.col(key).alias("key"), value.cast("double").alias("value"))
+def pair_contexts(two: DataFrame, ds: DataFrame) -> DataFrame:
+    """(lang, v, total, g) and the discounts, from counts of pairs."""
+    contexts = two.groupBy("lang", "v").agg(*[x.alias(k) for k, x in sums().items()]).join(ds, "lang")
+    return contexts.withColumn("g", weight()).drop("k1", "k2", "k3")
 
-    floor = F.col("g") / (F.col("kinds") + 1)
-    model = table(a3, 3, "uvw", F.col("a")).union(table(a2, 2, "vw", F.col("a"))).union(table(a1, 1, "w", F.col("a")))
-    model = model.union(table(g3, 13, "uv", F.col("g"))).union(table(g2, 12, "v", F.col("g"))).union(table(g1, 0, "lang", floor))
-    return staged(model, "quality-model")
 
+def pair_shares(two: DataFrame, ds: DataFrame) -> DataFrame:
+    """(v, w, c, a, g) from counts of pairs."""
+    return two.join(pair_contexts(two, ds), ["lang", "v"]).select("v", "w", "c", share().alias("a"), "g")
 
-def summands(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The model as (key, own, back, weight) and the languages' floors (lang, floor), from texts (text, lang).
 
-    A text's log probability is the sum, over its words, of the floor of its language, of
-    ``own`` of w, vw and uvw, and of ``back`` of v and uv; a key without entry adds nothing.
-    ``weight`` is about how often a key was counted.
+def trigram_sums(three: DataFrame) -> DataFrame:
+    """Adds the sums of its context to each count of a trigram, and whether it is the context's first."""
+    same = Window.partitionBy("lang", "u", "v")
+    return three.select("*", *[x.over(same).alias(k) for k, x in sums().items()], (F.min("w").over(same) == F.col("w")).alias("first"))
+
+
+def train(texts: DataFrame) -> DataFrame:
+    """The model as (kind, key, value) from texts (text, lang).
+
+    Kinds: 3 and 2 and 1 entries by uvw, vw, w; 13 and 12 back-off weights by uv, v; 0 the
+    probability of any unseen word, by language.
+    """
+    threes, twos, one, _ = counted(texts)
+    three, two = reduce(DataFrame.union, threes), reduce(DataFrame.union, twos)
+    ds3, ds2 = discounts(three), discounts(two)
+    floors, p1 = word_shares(one)
+    e3 = trigram_sums(three).join(ds3, "lang").select("*", share().alias("a"), weight().alias("g"))
+
+    def table(df: DataFrame, kind: int, key: Column, value: str) -> DataFrame:
+        return df.select(F.lit(kind).alias("kind"), key.alias("key"), F.col(value).cast("double").alias("value"))
+
+    uv = F.xxhash64("u", "v")
+    model = table(e3, 3, F.xxhash64(uv, "w"), "a").union(table(e3.where("first"), 13, uv, "g"))
+    model = model.union(table(pair_shares(two, ds2), 2, F.xxhash64("v", "w"), "a"))
+    model = model.union(table(pair_contexts(two, ds2), 12, F.col("v"), "g"))
+    return staged(model.union(table(p1, 1, F.col("w"), "a")).union(table(floors, 0, F.col("lang"), "floor")), "quality-model")
+
+
+def summands(texts: DataFrame) -> tuple[Iterator[DataFrame], DataFrame]:
+    """The model's parts in turn, each as (key, value, weight), and the languages' floors (lang, floor), from texts (text, lang).
+
+    A text's log probability is the sum, over its words, of the floor of its language and of
+    the values of five keys: w, vw, uvw, and the complements of v and uv, which are back-off
+    weights; a key without entry adds nothing. Entries of w and v are in the part of that word,
+    all others in that of the trigram's middle word. ``weight`` is about how often a key was
+    counted. A part is deleted when the next is asked for.
     """
-    before = len(STAGED)
-    (e3, c3), (e2, c2), (e1, c1) = orders(texts)
-    floors = staged(c1.select("lang", (F.col("g") / (F.col("kinds") + 1)).alias("floor")), "quality-floors")
-    p1 = staged(e1.join(floors, "lang").select("w", "c", "floor", (F.col("a") + F.col("floor")).alias("p1")), "quality-words")
-    p2 = e2.join(p1.select("w", "p1"), "w").withColumn("p2", F.col("a") + F.col("g") * F.col("p1"))
-    p2 = staged(p2.select("vw", "c", "p1", "g", "p2"), "quality-pairs")
-    p3 = e3.join(p2.select("vw", "p2"), "vw").withColumn("p3", F.col("a") + F.col("g") * F.col("p2"))
-
-    def rows(df: DataFrame, key: str, own, back, weight: str) -> DataFrame:
-        own, back = (F.round(F.log(x) * UNIT) / UNIT if x is not None else F.lit(0.0) for x in (own, back))
-        return df.select(F.col(key).alias("key"), own.alias("own"), back.alias("back"), F.col(weight).cast("long").alias("weight"))
-
-    short = rows(p1, "w", F.col("p1") / F.col("floor"), None, "c")
-    short = short.union(rows(p2, "vw", F.col("p2") / (F.col("g") * F.col("p1")), None, "c"))
-    short = short.union(rows(c2, "v", None, F.col("g"), "total")).union(rows(c3, "uv", None, F.col("g"), "total"))
-    short = short.groupBy("key").agg(F.sum("own").alias("own"), F.sum("back").alias("back"), F.max("weight").alias("weight"))
-    model = short.union(rows(p3, "uvw", F.col("p3") / (F.col("g") * F.col("p2")), None, "c"))
-    model = staged(model, "quality-model")
-    floors = staged(floors.select("lang", F.log("floor").alias("floor")), "quality-floors")
-    # The counts are used up: the model and the floors are all that is read from here on.
-    release(texts.sparkSession, since=before, last=2)
-    return model, floors
+    spark = texts.sparkSession
+    threes, twos, one, names = counted(texts)
+    ds3, ds2 = discounts(reduce(DataFrame.union, threes)), discounts(reduce(DataFrame.union, twos))
+    floors, p1 = word_shares(one)
+    p1 = staged(p1.select("w", "c", "floor", (F.col("a") + F.col("floor")).alias("p1")), "quality-words")
+
+    def rows(df: DataFrame, key: Column, value: Column, weight: str) -> DataFrame:
+        return df.select(key.alias("key"), (F.round(F.log(value) * UNIT) / UNIT).alias("value"), F.col(weight).cast("long").alias("weight"))
+
+    def parts() -> Iterator[DataFrame]:
+        for part in range(SLICES):
+            p2 = pair_shares(twos[part], ds2).join(p1.select("w", "p1"), "w").withColumn("p2", F.col("a") + F.col("g") * F.col("p1"))
+            ratio = F.col("p2") / (F.col("g") * F.col("p1"))
+            p2 = staged(p2.select("v", "w", "c", "p2", ratio.alias("ratio")), "quality-pairs", **WORDS)
+            used = [STAGED[-1], *names[2 * part : 2 * part + 2]]
+            p3 = trigram_sums(threes[part]).join(p2.select("v", "w", "p2"), ["v", "w"]).join(ds3, "lang").withColumn("g", weight())
+            p3 = p3.withColumn("p3", share() + F.col("g") * F.col("p2"))
+            uv = F.xxhash64("u", "v")
+            entry = F.struct(F.xxhash64(uv, "w").alias("key"), (F.col("p3") / (F.col("g") * F.col("p2"))).alias("value"), F.col("c").alias("weight"))
+            context = F.struct(F.bitwise_not(uv).alias("key"), F.col("g").alias("value"), F.col("total").alias("weight"))
+            p3 = p3.select(F.inline(F.when(F.col("first"), F.array(entry, context)).otherwise(F.array(entry))))
+            model = rows(p3, F.col("key"), F.col("value"), "weight")
+            model = model.union(rows(p2, F.xxhash64("v", "w"), F.col("ratio"), "c"))
+            model = model.union(rows(pair_contexts(twos[part], ds2), F.bitwise_not("v"), F.col("g"), "total"))
+            own = p1.where(F.shiftrightunsigned("w", 32) % SLICES == part)
+            model = staged(model.union(rows(own, F.col("w"), F.col("p1") / F.col("floor"), "c")), "quality-model")
+            name = STAGED[-1]
+            drop(spark, used)
+            yield model
+            drop(spark, [name])
+
+    return parts(), staged(floors.select("lang", F.log("floor").alias("floor")), "quality-floors")
 
 
 Shard = tuple[np.ndarray, np.ndarray, np.ndarray]
@@ -251,7 +350,7 @@ def log_probability(shards, texts: pa.Array, langs: pa.Array) -> tuple[np.ndarra
 
 
 def sendable(model: DataFrame) -> tuple[Shard, np.ndarray, np.ndarray, DataFrame]:
-    """At most FREQUENT entries of the model as a shard of places, their values (own, back), the bits, and the other entries.
+    """At most FREQUENT entries of the model as a shard of places, their values, the bits, and the other entries.
 
     The bits are set for the leading FILTER_BITS bits of the keys of the other entries.
     """
@@ -263,104 +362,91 @@ def sendable(model: DataFrame) -> tuple[Shard, np.ndarray, np.ndarray, DataFrame
         if total > FREQUENT:
             least = g + 1
             break
-    rows = model.where(grade >= least).select("key", "own", "back").toArrow()
+    rows = model.where(grade >= least).select("key", "value").toArrow()
     key = rows.column(0).to_numpy().view(np.uint64)
     order = np.argsort(key)
-    values = np.stack([rows.column(c).to_numpy()[order] for c in (1, 2)])
-    rest = model.where(grade < least).select("key", "own", "back")
+    rest = model.where(grade < least).select("key", "value")
     slot = F.shiftrightunsigned("key", 64 - FILTER_BITS)
     one = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(63).cast("int"))
     found = rest.groupBy(F.shiftright(slot, 6).alias("i")).agg(F.bit_or(one).alias("w")).toArrow()
     bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
     bits[found.column(0).to_numpy()] = found.column(1).to_numpy().view(np.uint64)
-    return shard(key[order], np.arange(len(order), dtype=np.float64)), values, bits, rest
+    return shard(key[order], np.arange(len(order), dtype=np.float64)), rows.column(1).to_numpy()[order], bits, rest
 
 
-def near_rows(sent: Broadcast):
-    """Rows (doc_id, lang, dkey, n_words, own, near) of (text, lang, doc_id, dkey): own is the language's number, near what sent entries add."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, values, _ = sent.value
-        for batch in batches:
-            for a, b in blocks(batch.column(0)):
-                own = batch.slice(a, b - a)
-                keys, n = grams(own.column(0), own.column(1))
-                doc, near = np.repeat(np.arange(len(n)), n), np.zeros(len(n))
-                for name, kind in KINDS:
-                    at = join_counts([frequent], keys[name], -1.0).astype(np.int64)
-                    hit = at >= 0
-                    near += np.bincount(doc[hit], values[kind][at[hit]], len(n))
-                lang = pa.array(lang_hash(own.column(1)).view(np.int64))
-                columns = [own.column(2), own.column(1), own.column(3), pa.array(n), lang, pa.array(near)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "dkey", "n_words", "own", "near"])
+def asked_rows(sent: Broadcast, part: int):
+    """Rows (dkey, key, n, near, words, lang) of (text, lang, dkey): how often a text asks for a key of the part that was not sent.
 
-    return run
-
-
-def asked_rows(sent: Broadcast):
-    """Rows (dkey, key, own, back) of (text, lang, doc_id, dkey): how often a text asks for what of a key that was not sent."""
+    Each text has one more row that asks for nothing, with what sent entries add (near), its
+    words and the number of its language.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent, _, bits = sent.value
+        frequent, values, bits = sent.value
         for batch in batches:
             for a, b in blocks(batch.column(0)):
                 own = batch.slice(a, b - a)
-                keys, n = grams(own.column(0), own.column(1))
+                u, v, w, n = places(own.column(0), own.column(1))
                 doc = np.repeat(np.arange(len(n)), n)
-                parts = []
-                for name, kind in KINDS:
-                    slot = keys[name] >> np.uint64(64 - FILTER_BITS)
-                    maybe = np.flatnonzero((bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1))
-                    maybe = maybe[join_counts([frequent], keys[name][maybe], -1.0) < 0]
-                    parts.append((doc[maybe], keys[name][maybe], np.full(len(maybe), kind, np.int8)))
-                doc, key, kind = (np.concatenate(x) for x in zip(*parts, strict=True))
-                if not len(key):
-                    continue
+                last, here = np.flatnonzero(part_of(w) == part), np.flatnonzero(part_of(v) == part)
+                u, v, end = u[here], v[here], w[here]
+                uv = hashed(u, v)
+                key = np.concatenate((w[last], ~v, hashed(v, end), ~uv, hashed(uv, end)))
+                doc = np.concatenate((doc[last], *[doc[here]] * 4))
+                at = join_counts([frequent], key, -1.0).astype(np.int64)
+                hit = at >= 0
+                near = np.bincount(doc[hit], values[at[hit]], len(n))
+                doc, key = doc[~hit], key[~hit]
+                slot = key >> np.uint64(64 - FILTER_BITS)
+                maybe = ((bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1)).astype(bool)
+                doc, key = doc[maybe], key[maybe]
                 order = np.lexsort((key, doc))
-                doc, key, kind = doc[order], key[order], kind[order]
-                first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])))
-                back = np.add.reduceat(kind, first, dtype=np.int32)
+                doc, key = doc[order], key[order]
+                first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]))[: len(doc)])
                 count = np.diff(np.append(first, len(key))).astype(np.int32)
-                columns = [own.column(3).take(pa.array(doc[first])), pa.array(key[first].view(np.int64)), pa.array(count - back), pa.array(back)]
-                yield pa.RecordBatch.from_arrays(columns, names=["dkey", "key", "own", "back"])
+                none, dkey = len(first), own.column(2)
+                columns = [
+                    pa.concat_arrays([dkey.take(pa.array(doc[first])), dkey]),
+                    pa.concat_arrays([pa.array(key[first].view(np.int64)), dkey]),
+                    pa.array(np.append(count, np.zeros(len(n), np.int32))),
+                    pa.array(np.append(np.zeros(none), near)),
+                    pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(n)]),
+                    pa.concat_arrays([pa.nulls(none, pa.int64()), pa.array(lang_hash(own.column(1)).view(np.int64))]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["dkey", "key", "n", "near", "words", "lang"])
 
     return run
 
 
-#: The keys of a word, and which value of an entry each takes: own (0) or back (1).
-KINDS = (("w", 0), ("v", 1), ("vw", 0), ("uv", 1), ("uvw", 0))
-
-
 def text_key() -> Column:
     """A number of the text and its language; null differs from all others."""
     return F.xxhash64(F.isnull("lang"), "lang", F.isnull("text"), "text")
 
 
-def scored(docs: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, lang, dkey) of each document, and (dkey, n_words, perplexity) of each text_key, under the model of ``texts``.
+def scored(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(dkey, n_words, perplexity) of each text_key of the documents, under the model of ``texts``.
 
     The perplexity is null for a text without words or a language without model.
     """
-    before = len(STAGED)
-    model, floors = summands(texts)
-    frequent, values, bits, rest = sendable(model)
-    sent = docs.sparkSession.sparkContext.broadcast((frequent, values, bits))
-    rows = docs.select("text", "lang", "doc_id", text_key().alias("dkey"))
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = f"doc_id {kinds['doc_id']}, lang {kinds['lang']}, dkey long, n_words long, own long, near double"
-    base = staged(rows.mapInArrow(near_rows(sent), schema), "quality-near")
-    asked = rows.mapInArrow(asked_rows(sent), "dkey long, key long, own int, back int")
-    entries = rest.select("key", F.col("own").alias("a"), F.col("back").alias("b"))
-    far = asked.join(entries, "key").groupBy("dkey").agg(F.sum(F.col("own") * F.col("a") + F.col("back") * F.col("b")).alias("far"))
+    spark, before = docs.sparkSession, len(STAGED)
+    models, floors = summands(texts)
+    rows = docs.select("text", "lang", text_key().alias("dkey"))
+    added = []
+    for part, model in enumerate(models):
+        *most, rest = sendable(model)
+        sent = spark.sparkContext.broadcast(tuple(most))
+        asked = rows.mapInArrow(asked_rows(sent, part), "dkey long, key long, n int, near double, words long, lang long")
+        got = asked.join(rest, "key", "left").withColumn("value", F.col("near") + F.coalesce(F.col("n") * F.col("value"), F.lit(0.0)))
+        each = got.groupBy("dkey").agg(F.sum("value").alias("value"), F.count("words").alias("copies"), F.max("words").alias("words"), F.max("lang").alias("lang"))
+        added.append(staged(each, "quality-added"))
+        sent.destroy()
+    each = reduce(DataFrame.union, added).groupBy("dkey").agg(F.sum("value").alias("value"), *[F.max(c).alias(c) for c in ("copies", "words", "lang")])
+    each = each.join(floors, "lang", "left")
     # Copies ask for the same, so their sum is shared among them.
-    each = base.groupBy("dkey", "own").agg(F.count("*").alias("copies"), F.max("n_words").alias("n_words"), F.max("near").alias("near"))
-    each = each.join(far, "dkey", "left").join(floors.withColumnRenamed("lang", "own"), "own", "left")
-    total = F.col("near") + F.coalesce(F.col("far") / F.col("copies"), F.lit(0.0))
-    perplexity = F.when(F.col("n_words") > 0, F.exp(-F.col("floor") - total / F.col("n_words")))
-    scores = staged(each.select("dkey", "n_words", perplexity.alias("perplexity")), "quality-scores")
-    base = staged(base.select("doc_id", "lang", "dkey"), "quality-base")
-    release(docs.sparkSession, since=before, last=2)
-    return base, scores
+    perplexity = F.when(F.col("words") > 0, F.exp(-F.col("floor") - F.col("value") / F.col("copies") / F.col("words")))
+    scores = staged(each.select("dkey", F.col("words").alias("n_words"), perplexity.alias("perplexity")), "quality-scores")
+    release(spark, since=before, last=1)
+    return scores
 
 
 def classify(docs: DataFrame, trusted: DataFrame, high: float = HIGH) -> DataFrame:
@@ -372,9 +458,10 @@ def classify(docs: DataFrame, trusted: DataFrame, high: float = HIGH) -> DataFra
     ids = staged(trusted.where("doc_id IS NOT NULL").select("doc_id").distinct(), "quality-trusted")
     drawn = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53) < SHARE
     texts = docs.select("doc_id", "text", "lang").where(drawn).join(ids.where(drawn), "doc_id", "left_semi")
-    base, scores = scored(docs, texts)
+    scores = scored(docs, texts)
     lang = F.coalesce(F.concat(F.lit("+"), "lang"), F.lit("-")).alias("_lang")
-    rest = base.join(ids.where(~drawn), "doc_id", "left_semi").select(lang, "dkey").join(scores, "dkey")
+    base = docs.where(~drawn).select("doc_id", lang, text_key().alias("dkey"))
+    rest = base.join(ids.where(~drawn), "doc_id", "left_semi").select("_lang", "dkey").join(scores, "dkey")
     limits = rest.groupBy("_lang").agg(F.percentile_approx("perplexity", high, 100_000).alias("limit"))
     limits = staged(limits, "quality-limits")
     kept = [c for c in docs.columns if c not in ("n_words", "perplexity", "limit", "keep")]
