@@ -14,7 +14,7 @@ import pyarrow as pa
 
 K = 5
 #: Bytes of text worked on at once; a longer single text is worked on alone.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
