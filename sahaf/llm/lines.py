@@ -8,34 +8,32 @@ similar they can be. Lines that remain are compared by their whole sets. A line
 removed when an earlier line, of the same document or of one with a smaller id, is as
 similar. Equal lines are one node with its first occurrence.
 
-Words are cut and hashed in Arrow batches, all else is joins and groupings. A task lists a
-line that it has just listed only once, so copies of a line don't fill a shuffle. Nulls: a null text stays null; a null id comes last. Blank
-lines are kept. Rows with equal id and text are one document: each gets the same result.
+All of this is DataFrame functions, joins and groupings. The lines that occur most often
+are listed once, so their copies don't fill a shuffle. Nulls: a null text stays null; a null
+id comes last. Blank lines are kept. Rows with equal id and text are one document: each gets the same result.
 Very long lines are compared whole. Lines of equal rank are ordered by their place. Other
 columns are kept, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sahaf.llm.frames import parts
-from sahaf.llm.words import blocks, shingles
+from sahaf.llm.words import K
 from sahaf.session import staged
 
 PERCENT = 80
 #: Counters of token frequency, as bits; bits of the table by which lines are passed over; rows of a task.
 COUNTER_BITS, FILTER_BITS, TASK_ROWS = 16, 22, 1_000_000
-#: Lines that a task remembers, so as not to list them again.
-SEEN = 1 << 20
-_COUNTER, _LOW_BITS = np.uint64(64 - COUNTER_BITS), np.uint64(63 - COUNTER_BITS)
-_LOW = np.uint64((1 << (63 - COUNTER_BITS)) - 1)
+#: Lines listed once, however often they occur.
+OFTEN = 1 << 16
+#: Blanks of a line other than the space.
+BLANKS = "\t\x0b\x0c\r"
 
 
 def document_key() -> Column:
@@ -49,92 +47,70 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.withColumn("node", F.xxhash64("line"))
 
 
-def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (z, doc_id, dkey, no, node, null, null) of lines (.., line), and (.., counter, n) of the task's counters."""
-    counts = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
-    names = ["z", "doc_id", "dkey", "no", "node", "counter", "n"]
-    schema = None
-    for batch in batches:
-        for a, b in blocks(batch.column(5)):
-            h, _ = shingles(batch.column(5).slice(a, b - a))
-            counts += np.bincount((h >> _COUNTER).astype(np.int64), minlength=len(counts))
-        none = [pa.nulls(batch.num_rows, kind) for kind in (pa.int32(), pa.int64())]
-        out = pa.RecordBatch.from_arrays([*batch.columns[:5], *none], names=names)
-        schema = out.schema
-        yield out
-    used = np.flatnonzero(counts)
-    if len(used):
-        empty = [pa.nulls(len(used), schema.field(i).type) for i in range(5)]
-        yield pa.RecordBatch.from_arrays([*empty, pa.array(used.astype(np.int32)), pa.array(counts[used])], names=names)
-
-
-def occurrences_and_rarity(lines: DataFrame) -> tuple[DataFrame, Broadcast]:
-    """(z, doc_id, dkey, no, node) of every line, and each counter's place by how many tokens it counts, in one pass.
-
-    There are as many numbers as counters, whatever the input.
+def line_words(line: Column) -> Column:
+    """The words of a line in lower case."""
+    low = F.lower(line)
+    odd = reduce(Column.__or__, [line.contains(x) for x in BLANKS])
+    return F.array_remove(F.split(F.when(odd, F.translate(low, BLANKS, " " * len(BLANKS))).otherwise(low), " "), "")
+
+
+def shingle(w: Column, i: Column) -> Column:
+    """Hash of the shingle that begins at word ``i``."""
+    return F.xxhash64(*[F.get(w, i + j) for j in range(K)])
+
+
+def places(w: Column) -> Column:
+    """Where the shingles of the words of a line begin."""
+    return F.sequence(F.lit(0), F.greatest(F.size(w) - K, F.lit(0)))
+
+
+def rarity(lines: DataFrame) -> Column:
+    """A constant array: for each counter, its place by how many tokens it counts.
+
+    It has as many numbers as there are counters, whatever the input, and is sent as one text.
     """
-    kind = lines.schema["doc_id"].dataType.simpleString()
-    rows = lines.select("z", "doc_id", "dkey", "no", "node", F.lower("line").alias("line"))
-    both = staged(rows.mapInArrow(counted, f"z boolean, doc_id {kind}, dkey long, no int, node long, counter int, n long"), "lines-all")
-    sums = both.where("counter IS NOT NULL").groupBy("counter").agg(F.sum("n").alias("n")).toArrow()
+    w = F.col("w")
+    rows = lines.select(line_words(F.col("line")).alias("w")).select("w", F.explode(places(w)).alias("i"))
+    counter = F.shiftrightunsigned(shingle(w, F.col("i")), 64 - COUNTER_BITS).cast("int")
+    sums = rows.groupBy(counter.alias("counter")).agg(F.count("*").alias("n")).toArrow()
     counts = np.zeros(1 << COUNTER_BITS, dtype=np.int64)
     counts[sums.column("counter").to_numpy()] = sums.column("n").to_numpy()
-    ranks = np.empty(len(counts), dtype=np.uint64)
-    ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts), dtype=np.uint64)
-    return both.where("counter IS NULL").drop("counter", "n"), lines.sparkSession.sparkContext.broadcast(ranks)
+    ranks = np.empty(len(counts), dtype=np.int64)
+    ranks[np.argsort(counts, kind="stable")] = np.arange(len(counts))
+    return F.split(F.lit(",".join(map(str, ranks.tolist()))), ",").cast("array<bigint>")
 
 
-def tokens(lines: pa.Array, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct tokens of each line in turn, rarest first, and the len + 1 offsets.
+def prefixes(lines: DataFrame, ranks: Column, percent: int) -> DataFrame:
+    """(token, node, n, at) of the prefixes of lines (node, line), each with n distinct tokens.
 
-    A token is the rank of its counter, then the other bits of the hash.
+    A token is the rank of its counter, then the other bits of the hash; rarest come first.
     """
-    h, at = shingles(lines)
-    out = ((ranks[(h >> _COUNTER).astype(np.int64)] << _LOW_BITS) | (h & _LOW)).view(np.int64)
-    for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
-        if b - a > 1:
-            out[a:b].sort()
-    return out, at
-
-
-def prefix_rows(ranks: Broadcast, percent: int):
-    """Rows (token, node, n, at) of the prefixes of lines (node, line); a line that the task remembers is passed over."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        order = ranks.value
-        # No node is the complement of its own place, so nothing is remembered at first.
-        seen = ~np.arange(SEEN, dtype=np.int64)
-        for batch in batches:
-            for a, b in blocks(batch.column(1)):
-                node, first = np.unique(batch.column(0).slice(a, b - a).to_numpy(), return_index=True)
-                place = node & (SEEN - 1)
-                new = seen[place] != node
-                node, first = node[new], first[new]
-                seen[place[new]] = node
-                token, at = tokens(batch.column(1).slice(a, b - a).take(pa.array(first)), order)
-                n = np.diff(at)
-                short = n + (-n * percent // 100) + 1
-                begin = np.cumsum(short) - short
-                inside = np.arange(short.sum()) - np.repeat(begin, short)
-                columns = [token[np.repeat(at[:-1], short) + inside], np.repeat(node, short), np.repeat(n, short), inside]
-                kinds = [np.int64, np.int64, np.int32, np.int32]
-                arrays = [pa.array(c.astype(k)) for c, k in zip(columns, kinds, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["token", "node", "n", "at"])
-
-    return run
-
-
-def set_rows(ranks: Broadcast):
-    """Rows (node, tokens) of lines (node, line)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in blocks(batch.column(1)):
-                token, at = tokens(batch.column(1).slice(a, b - a), ranks.value)
-                lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(token))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), lists], names=["node", "tokens"])
-
-    return run
+    w, t = F.col("w"), F.col("t")
+
+    def token(h: Column) -> Column:
+        rank = F.get(ranks, F.shiftrightunsigned(h, 64 - COUNTER_BITS).cast("int"))
+        return F.shiftleft(rank, 63 - COUNTER_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << (63 - COUNTER_BITS)) - 1)))
+
+    rows = lines.select("node", line_words(F.col("line")).alias("w"))
+    made = F.transform(F.transform(places(w), lambda i: shingle(w, i)), token)
+    rows = rows.select("node", F.sort_array(F.array_distinct(made)).alias("t"))
+    short = F.size(t) - F.floor((F.size(t) * percent + 99) / 100).cast("int") + 1
+    rows = rows.select("node", F.size(t).alias("n"), F.posexplode(F.slice(t, F.lit(1), short)).alias("at", "token"))
+    return rows.select("token", "node", "n", "at")
+
+
+def copied(firsts: DataFrame) -> DataFrame:
+    """(node, first) of the lines that occur most often, at most OFTEN of them."""
+    many = firsts.where("copies > 1")
+    # Eighths of a power of two: some hundred rows, whatever the input.
+    grade = F.floor(F.log2("copies") * 8)
+    least, total = 0, 0
+    for g, n in sorted(many.groupBy(grade.alias("g")).count().collect(), reverse=True):
+        total += n
+        if total > OFTEN:
+            least = g + 1
+            break
+    return many.where(grade >= least).select("node", "first")
 
 
 def may_match(n: Column, at: Column, m: Column, bt: Column, percent: int) -> Column:
@@ -143,7 +119,7 @@ def may_match(n: Column, at: Column, m: Column, bt: Column, percent: int) -> Col
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * rest >= percent * (n + m))
 
 
-def verified(pairs: DataFrame, lines: DataFrame, firsts: DataFrame, ranks: Broadcast, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, lines: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
     """The pairs (later, earlier) that are as similar, by their whole sets of tokens.
 
     Lines are tokenised again where a bit of a table of fixed size says they may be
@@ -161,7 +137,9 @@ def verified(pairs: DataFrame, lines: DataFrame, firsts: DataFrame, ranks: Broad
     word = F.get(table.scalar(), F.shiftright(slot, 5).cast("int"))
     held = F.call_function("shiftright", word, slot.bitwiseAND(31).cast("int")).bitwiseAND(1) == 1
     rows = lines.select("node", place, "line").where(held).join(needed, ["node", "first"], "left_semi").dropDuplicates(["node"])
-    sets = staged(rows.select("node", F.lower("line").alias("line")).mapInArrow(set_rows(ranks), "node long, tokens array<long>"), "lines-sets")
+    w = F.col("w")
+    made = F.array_distinct(F.transform(places(w), lambda i: shingle(w, i)))
+    sets = staged(rows.select("node", line_words(F.col("line")).alias("w")).select("node", made.alias("tokens")), "lines-sets")
     both = pairs.join(sets.select(F.col("node").alias("later"), "tokens"), "later")
     both = both.join(sets.select(F.col("node").alias("earlier"), F.col("tokens").alias("others")), "earlier")
     inter = F.size(F.array_intersect("tokens", "others"))
@@ -174,9 +152,12 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     spark = docs.sparkSession
     lines = lines_of(docs)
     place = F.struct("z", "doc_id", "dkey", "no")
-    occurrences, ranks = occurrences_and_rarity(lines)
-    firsts = staged(occurrences.groupBy("node").agg(F.min(place).alias("first")), "lines-firsts")
-    postings = lines.select("node", F.lower("line").alias("line")).mapInArrow(prefix_rows(ranks, percent), "token long, node long, n int, at int")
+    occurrences = staged(lines.select("z", "doc_id", "dkey", "no", "node"), "lines-all")
+    counted = staged(occurrences.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("copies")), "lines-firsts")
+    firsts = counted.select("node", "first")
+    again = F.broadcast(copied(counted).select(F.col("node").alias("same"), "first"))
+    listed = lines.join(again, (F.col("node") == F.col("same")) & (place != F.col("first")), "left_anti")
+    postings = prefixes(listed.select("node", "line"), rarity(lines), percent)
     rows = occurrences.count() * 16
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts(rows, TASK_ROWS))
     same = Window.partitionBy("token")
@@ -189,7 +170,7 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     near = may_match(F.col("n"), F.col("at"), F.col("lead.n"), F.col("lead.at"), percent)
     pairs = shared.join(lead, "token").where((F.col("node") != F.col("lead.node")) & near)
     pairs = pairs.select(F.col("node").alias("later"), F.col("lead.node").alias("earlier")).distinct()
-    found = verified(pairs, lines, firsts, ranks, percent)
+    found = verified(pairs, lines, firsts, percent)
     gone = staged(found.select(F.col("later").alias("node")).distinct(), "lines-gone")
 
     # The rest are held against every earlier line that they share a token with.
@@ -198,7 +179,7 @@ def repeated_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     near = may_match(F.col("x.n"), F.col("x.at"), F.col("y.n"), F.col("y.at"), percent)
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("y.first") < F.col("x.first")) & near)
     pairs = met.select(F.col("x.node").alias("later"), F.col("y.node").alias("earlier")).distinct()
-    more = verified(pairs, lines, firsts, ranks, percent)
+    more = verified(pairs, lines, firsts, percent)
     gone = gone.union(more.select(F.col("later").alias("node")).distinct()).withColumn("gone", F.lit(True))
 
     status = firsts.join(gone, "node", "left")
