@@ -2,7 +2,7 @@
 
 Counts of words that stand near each other become positive pointwise mutual information;
 the leading part of that sparse symmetric matrix is found by a randomised range finder.
-The matrix and all tables of one row per term stay distributed. The driver sees Gram
+The matrix stays distributed, as a list of neighbours for each term. The driver sees Gram
 matrices of ``dim + OVERSAMPLE`` rows and columns and the rows of ``HOT`` terms, whatever the vocabulary.
 
 Documents come as ``doc_id, text``. A null text has no tokens. Rows without ``doc_id``
@@ -18,22 +18,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sahaf.functions import text as T
-from sahaf.operators.skew import MAX_HOT_KEY_BYTES, join_frequent_first
+from sahaf.operators.skew import MAX_HOT_KEY_BYTES
 from sahaf.operators.terms import SENT_TERMS
-from sahaf.session import STAGED, release, staged
+from sahaf.session import STAGED, drop, staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Words on either side that count as near; columns beyond the wanted ones; passes over the matrix that sharpen the range.
 WINDOW, OVERSAMPLE, PASSES = 2, 16, 2
-#: Terms whose rows are sent to all tasks; entries, and rows, that a task works on at a time.
-HOT, CELLS, ROWS = 16_384, 50_000, 8_192
+#: Terms whose rows are sent to all tasks, 84 MB at 80 columns; entries, and rows, that a task works on at a time.
+HOT, CELLS, ROWS = 131_072, 50_000, 8_192
 #: Words whose pairs a task combines at a time.
 PAIR_WORDS = 1 << 20
 
@@ -162,31 +160,38 @@ def signs(term, columns: int):
 def neighbours(weights: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A symmetric matrix (term, context, weight) as one row per term, written once for all products.
 
-    Returns (term, n), the entries of each term; (place, term), the ``hot`` terms with the most; and
-    (term, near, far). ``near`` lists the places and weights of a term's hot neighbours. ``far`` lists
-    its other neighbours and their weights, for terms that are not hot: what a hot term gets
+    Returns (term, n), the entries of each term; (place, term, n), the ``hot`` terms with the most; and
+    (term, near, far, is_hot, place). ``near`` lists the places and weights of a term's hot neighbours. ``far``
+    lists its other neighbours and their weights, for terms that are not hot: what a hot term gets
     from another is in the other's ``near``. So no list is longer than ``hot``, or than the
     entries of the first term that isn't hot.
     """
     sizes = staged(weights.groupBy("term").agg(F.count("*").alias("n")), "degrees")
     short = F.octet_length("term") <= MAX_HOT_KEY_BYTES
     most = sizes.where(short).orderBy(F.desc("n"), "term").limit(hot)
-    places = staged(most.agg(F.array_sort(F.collect_list("term")).alias("t")).select(F.posexplode("t").alias("place", "term")), "hot-terms")
-    mine = F.broadcast(places.select("term", F.lit(True).alias("is_hot")))
-    other = F.broadcast(places.withColumnRenamed("term", "context"))
-    met = weights.join(other, "context", "left").join(mine, "term", "left").where("place IS NOT NULL OR is_hot IS NULL")
+    listed = most.agg(F.array_sort(F.collect_list(F.struct("term", "n"))).alias("t")).select(F.posexplode("t").alias("place", "t"))
+    places = staged(listed.select("place", "t.term", "t.n"), "hot-terms")
+    mine = F.broadcast(places.select("term", F.col("place").alias("own")))
+    other = F.broadcast(places.select(F.col("term").alias("context"), "place"))
+    met = weights.join(other, "context", "left").join(mine, "term", "left").where("place IS NOT NULL OR own IS NULL")
     lists = met.groupBy("term").agg(
         F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "weight"))).alias("near"),
         F.collect_list(F.when(F.col("place").isNull(), F.struct("context", "weight"))).alias("far"),
-        F.first("is_hot").alias("is_hot"),
+        F.first("own").alias("place"),
     )
-    return sizes, places, staged(lists, "neighbours")
+    is_hot = F.when(F.col("place").isNotNull(), True).alias("is_hot")
+    return sizes, places, staged(lists.select("term", "near", "far", is_hot, "place"), "neighbours")
 
 
-def _pieces(ends: np.ndarray) -> list[int]:
-    """Row numbers at which to cut so that a piece has about CELLS entries, or one row."""
-    cuts = np.searchsorted(ends, np.arange(CELLS, ends[-1], CELLS)) if len(ends) else []
-    return sorted({0, len(ends) - 1, *map(int, cuts)})
+def _pieces(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in pieces that have about CELLS entries, or one row."""
+    ends = np.cumsum([0, *_lengths(batch.column("near"))])
+    cuts = sorted({0, len(ends) - 1, *map(int, np.searchsorted(ends, np.arange(CELLS, ends[-1], CELLS)))})
+    return (batch.slice(at, stop - at) for at, stop in zip(cuts, cuts[1:]))
+
+
+def _lengths(lists: pa.ListArray) -> np.ndarray:
+    return np.diff(lists.offsets.to_numpy())
 
 
 def _vectors(values: np.ndarray) -> pa.ListArray:
@@ -194,119 +199,254 @@ def _vectors(values: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.ravel()))
 
 
+def _matrix(vectors: pa.ListArray, columns: int) -> np.ndarray:
+    """The vectors as rows; a null one is 0."""
+    if not vectors.null_count:
+        return vectors.flatten().to_numpy().reshape(-1, columns)
+    out = np.zeros((len(vectors), columns))
+    out[vectors.is_valid().to_numpy(zero_copy_only=False)] = vectors.drop_null().flatten().to_numpy().reshape(-1, columns)
+    return out
+
+
+def _keyed(name: str, keys: pa.Array, values: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([keys, _vectors(values)], names=[name, "vec"])
+
+
+def _near_sums(part: pa.RecordBatch, hot: np.ndarray) -> np.ndarray:
+    """For each row the sum over its hot neighbours, of weight times their row of ``hot``."""
+    near, sizes = part.column("near").flatten(), _lengths(part.column("near"))
+    place, weight, full = near.field("place").to_numpy(), near.field("weight").to_numpy(), sizes > 0
+    out = np.zeros((len(part), hot.shape[1]))
+    if full.any():
+        out[full] = np.add.reduceat(hot[place] * weight[:, None], (np.cumsum(sizes) - sizes)[full])
+    return out
+
+
+def _give(given: np.ndarray, part: pa.RecordBatch, x: np.ndarray) -> None:
+    """Adds to the rows ``given`` of the hot terms what the rows ``x`` of terms that aren't hot give to them."""
+    near, row = part.column("near").flatten(), np.repeat(np.arange(len(part)), _lengths(part.column("near")))
+    place, weight = near.field("place").to_numpy(), near.field("weight").to_numpy()
+    if len(place):
+        order = np.argsort(place, kind="stable")
+        to, first = np.unique(place[order], return_index=True)
+        given[to] += np.add.reduceat(x[row[order]] * weight[order][:, None], first)
+
+
+def _far_shares(part: pa.RecordBatch, x: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row (term, vec) for each neighbour that isn't hot: the weight times the row of ``x``."""
+    far, row = part.column("far").flatten(), np.repeat(np.arange(len(part)), _lengths(part.column("far")))
+    for k in range(0, len(far), ROWS):
+        piece = far.slice(k, ROWS)
+        yield _keyed("term", piece.field("context").cast(pa.string()), x[row[k : k + ROWS]] * piece.field("weight").to_numpy()[:, None])
+
+
+def _reached(given: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers and values of the rows that aren't 0, ROWS at a time."""
+    reached = np.flatnonzero(given.any(axis=1))
+    return ((at, given[at]) for at in (reached[k : k + ROWS] for k in range(0, len(reached), ROWS)))
+
+
+def _block(rows: DataFrame, size: int, columns: int) -> np.ndarray:
+    """The matrix of rows (place, vec)."""
+    out = np.zeros((size, columns))
+    for batch in rows.select("place", "vec").toArrow().to_batches():
+        out[batch.column(0).to_numpy()] = _matrix(batch.column(1), columns)
+    return out
+
+
 def _times(lists: DataFrame, places: DataFrame, rows: DataFrame, turn: np.ndarray) -> DataFrame:
     """(term, vec) of the matrix times rows (term, vec), each first times the small matrix ``turn``.
 
-    The rows of the hot terms are sent to all tasks, ``HOT`` of them at most. Every other row meets
-    the one row of its neighbours, gives its share to hot ones in a block that each task sums, and
-    makes a row for each neighbour that isn't hot.
+    For rows that are at hand as a table; :func:`fit_token_vectors` needs none.
     """
     wide, columns = turn.shape
-    sent = places.join(rows, "term").select("place", "vec").toArrow()
     names = places.orderBy("place").select("term").toArrow().column("term").combine_chunks().cast(pa.string())
-    block = np.zeros((len(names), wide))
-    if sent.num_rows:
-        block[sent.column("place").to_numpy()] = sent.column("vec").combine_chunks().flatten().to_numpy().reshape(-1, wide)
-    shared = lists.sparkSession.sparkContext.broadcast((block @ turn, names))
-    schema = pa.schema([("term", pa.string()), ("vec", pa.list_(pa.float64()))])
-
-    def made(terms, values):
-        return pa.RecordBatch.from_arrays([terms.cast(pa.string()), _vectors(values)], schema=schema)
+    shared = lists.sparkSession.sparkContext.broadcast((_block(places.join(rows, "term"), len(names), wide) @ turn, names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot, names = shared.value
         given = np.zeros_like(hot)
-        for batch in batches:
-            for at, stop in (lambda c: zip(c, c[1:]))(_pieces(np.cumsum([0, *_lengths(batch.column("near"))]))):
-                part = batch.slice(at, stop - at)
-                x = part.column("vec").flatten().to_numpy().reshape(-1, wide) @ turn
-                near, sizes = part.column("near").flatten(), _lengths(part.column("near"))
-                place, weight = near.field("place").to_numpy(), near.field("weight").to_numpy()
-                full = sizes > 0
-                own = np.zeros((len(part), columns))
-                if full.any():
-                    own[full] = np.add.reduceat(hot[place] * weight[:, None], (np.cumsum(sizes) - sizes)[full])
-                yield made(part.column("term"), own)
-                # What rows of terms that aren't hot give to hot ones: summed by place.
-                rare = np.repeat(part.column("is_hot").is_null().to_numpy(zero_copy_only=False), sizes)
-                if rare.any():
-                    row = np.repeat(np.arange(len(part)), sizes)[rare]
-                    order = np.argsort(place[rare], kind="stable")
-                    to, first = np.unique(place[rare][order], return_index=True)
-                    given[to] += np.add.reduceat(x[row[order]] * weight[rare][order][:, None], first)
-                far, row = part.column("far").flatten(), np.repeat(np.arange(len(part)), _lengths(part.column("far")))
-                for k in range(0, len(far), ROWS):
-                    piece = far.slice(k, ROWS)
-                    yield made(piece.field("context"), x[row[k : k + ROWS]] * piece.field("weight").to_numpy()[:, None])
-        reached = np.flatnonzero(given.any(axis=1))
-        for k in range(0, len(reached), ROWS):
-            yield made(names.take(pa.array(reached[k : k + ROWS])), given[reached[k : k + ROWS]])
+        for part in (p for batch in batches for p in _pieces(batch)):
+            yield _keyed("term", part.column("term").cast(pa.string()), _near_sums(part, hot))
+            rare = part.filter(part.column("is_hot").is_null())
+            x = _matrix(rare.column("vec"), wide) @ turn
+            _give(given, rare, x)
+            yield from _far_shares(rare, x)
+        for at, values in _reached(given):
+            yield _keyed("term", names.take(pa.array(at)), values)
 
     met = lists.join(rows.select("term", "vec"), "term").select("term", "near", "far", "is_hot", "vec")
-    shares = met.mapInArrow(run, "term string, vec array<double>")
-    return shares.repartition("term").sortWithinPartitions("term").mapInArrow(_runs_summed(columns), "term string, vec array<double>")
+    return _summed(met.mapInArrow(run, "term string, vec array<double>"), "term", columns)
 
 
-def _runs_summed(columns: int):
-    """Sums the vectors of rows (term, vec) that come sorted by term; one sum is held between batches."""
+def _summed(shares: DataFrame, key: str, columns: int) -> DataFrame:
+    """The sum of the vectors of each key, from rows (key, vec)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, held = None, np.zeros((1, columns))
+        name, held = None, np.zeros((1, columns))  # one sum is held between batches
         for batch in batches:
             if not batch.num_rows:
                 continue
             runs = pc.run_end_encode(batch.column(0), run_end_type=pa.int32())
-            terms, starts = runs.values, np.concatenate([[0], runs.run_ends.to_numpy()[:-1]])
-            sums = np.add.reduceat(batch.column(1).flatten().to_numpy().reshape(-1, columns), starts)
-            if name == terms[0].as_py():
+            keys, starts = runs.values, np.concatenate([[0], runs.run_ends.to_numpy()[:-1]])
+            sums = np.add.reduceat(_matrix(batch.column(1), columns), starts)
+            if name is not None and name.equals(keys.slice(0, 1)):
                 sums[0] += held[0]
             elif name is not None:
-                yield pa.RecordBatch.from_arrays([pa.array([name], terms.type), _vectors(held)], names=["term", "vec"])
-            name, held = terms[-1].as_py(), sums[-1:]
-            yield pa.RecordBatch.from_arrays([terms.slice(0, len(terms) - 1), _vectors(sums[:-1])], names=["term", "vec"])
+                yield _keyed(key, name, held)
+            name, held = keys.slice(len(keys) - 1), sums[-1:]
+            yield _keyed(key, keys.slice(0, len(keys) - 1), sums[:-1])
         if name is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([name], pa.string()), _vectors(held)], names=["term", "vec"])
-
-    return run
+            yield _keyed(key, name, held)
 
-
-def _lengths(lists: pa.ListArray) -> np.ndarray:
-    return np.diff(lists.offsets.to_numpy())
+    return shares.repartition(key).sortWithinPartitions(key).mapInArrow(run, shares.schema)
 
 
-def _gram(rows: DataFrame, left: str, right: str, columns: int) -> np.ndarray:
-    """Sum over all rows of the outer products of two vectors: each task gives one matrix."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((columns, columns))
-        for batch in batches:
-            a, b = (c.flatten().to_numpy().reshape(-1, columns) for c in batch.columns)
-            total += a.T @ b
-        yield pa.RecordBatch.from_pydict({"i": np.arange(columns), "row": list(total)})
-
-    parts = rows.select(left, right).mapInArrow(run, "i long, row array<double>")
-    summed = parts.groupBy("i").agg(Summarizer.sum(array_to_vector("row")).alias("v")).select("i", vector_to_array("v").alias("row"))
-    out = np.zeros((columns, columns))
-    for r in summed.collect():
-        out[r["i"]] = r["row"]
-    return out
+class _Rest:
+    """The terms that aren't hot during the products: their rows are made anew where they are needed.
 
+    A row is the sum over its hot neighbours, from the rows of the hot terms in the product before, and
+    one over its other neighbours. Only that second sum is kept, as ``vec`` of ``linked``, for
+    the terms that have such neighbours; ``alone`` are the others. In the first product ``vec`` is the row.
+    """
 
-def _mapped(rows: DataFrame, matrix: np.ndarray) -> DataFrame:
-    """(term, vec) with every vector times a small matrix."""
-    wide = matrix.shape[0]
+    def __init__(self, lists: DataFrame, columns: int):
+        rest = lists.where("is_hot IS NULL").select("term", "near", "far", signs(F.col("term"), columns).alias("vec"))
+        self.alone, self.linked = rest.where("size(far) = 0"), rest.where("size(far) > 0")
+        self.columns, self.context = columns, lists.sparkSession.sparkContext
+        self.groups = max(1, -(-lists.where("is_hot IS NULL AND size(far) > 0").count() // ROWS))
+        self.before: tuple | None = None
+
+    def shared(self):
+        """Sends what the rows are made of to the tasks, and gives the function that makes them."""
+        sent, columns = self.context.broadcast(self.before), self.columns
+
+        def rows(part: pa.RecordBatch) -> np.ndarray:
+            if sent.value is None:
+                return _matrix(part.column("vec"), columns)
+            hot, turn = sent.value
+            return _near_sums(part, hot) + _matrix(part.column("vec"), columns) @ turn
+
+        return sent, rows
+
+    def to_hot(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """What the rows give to the ``size`` hot terms, and the Gram matrix of the rows. Each core sums in one block."""
+        sent, rows = self.shared()
+        columns = self.columns
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            given, gram = np.zeros((size, columns)), np.zeros((columns, columns))
+            for part in (p for batch in batches for p in _pieces(batch)):
+                x = rows(part)
+                _give(given, part, x)
+                gram += x.T @ x
+            yield _keyed("place", pa.array(np.arange(size, size + columns, dtype=np.int32)), gram)
+            for at, values in _reached(given):
+                yield _keyed("place", pa.array(at.astype(np.int32)), values)
+
+        every = self.alone.unionByName(self.linked).select("near", "vec").coalesce(self.context.defaultParallelism)
+        table = staged(_summed(every.mapInArrow(run, "place int, vec array<double>"), "place", columns), "given")
+        out = _block(table, size + columns, columns)
+        drop(table.sparkSession, STAGED[-1:])
+        sent.destroy()
+        return out[:size], out[size:]
+
+    def _met(self, rows, work, ddl: str) -> DataFrame:
+        """``work`` on groups of about ROWS linked terms, with the shares that these get from one another."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in (p for batch in batches for p in _pieces(batch)):
+                yield from _far_shares(part, rows(part))
+
+        columns, group = self.columns, F.pmod(F.xxhash64("term"), F.lit(self.groups)).alias("g")
+        shares = self.linked.mapInArrow(run, "term string, vec array<double>")
+
+        def meet(own: pa.Table, got: pa.Table) -> pa.Table:
+            sums, order = np.zeros((len(own), columns)), np.zeros(0, np.int64)
+            if len(got):
+                at = pc.index_in(got.column("term"), value_set=own.column("term").combine_chunks()).combine_chunks()
+                got, at = got.filter(at.is_valid()).combine_chunks(), at.drop_null().to_numpy()
+                order = np.argsort(at, kind="stable")
+            if len(order):
+                to, first = np.unique(at[order], return_index=True)
+                values = np.concatenate([_matrix(c, columns) for c in got.column("vec").chunks])
+                sums[to] = np.add.reduceat(values[order], first)
+            parts = [*_numbered(own)] or [(0, pa.RecordBatch.from_pylist([], schema=own.schema))]
+            return pa.Table.from_batches([work(b, sums[a : a + len(b)]) for a, b in parts])
+
+        pairs = self.linked.select(group, "term", "near", "far", "vec").groupBy("g").cogroup(shares.select(group, "term", "vec").groupBy("g"))
+        return pairs.applyInArrow(meet, ddl)
+
+    def move(self, before: tuple) -> None:
+        """Sums what linked terms give to each other, and takes the rows of the next product from ``before``."""
+        sent, rows = self.shared()
+
+        def work(part: pa.RecordBatch, sums: np.ndarray) -> pa.RecordBatch:
+            kept = [part.column(x) for x in ("term", "near", "far")]
+            return pa.RecordBatch.from_arrays([*kept, _vectors(sums)], names=["term", "near", "far", "vec"])
+
+        kinds = ", ".join(f"{x} {self.linked.schema[x].dataType.simpleString()}" for x in ("term", "near", "far", "vec"))
+        old, self.linked = self.linked, staged(self._met(rows, work, kinds), "linked")
+        if self.before is None:
+            self.alone = self.alone.withColumn("vec", F.lit(None).cast("array<double>"))
+        else:
+            drop(old.sparkSession, STAGED[-2:-1])
+        sent.destroy()
+        self.before = before
+
+    def image(self) -> np.ndarray:
+        """The rows' transpose times what linked terms give to each other."""
+        sent, rows = self.shared()
+        columns = self.columns
+
+        def work(part: pa.RecordBatch, sums: np.ndarray) -> pa.RecordBatch:
+            return _keyed("place", pa.array(np.arange(columns, dtype=np.int32)), rows(part).T @ sums)
+
+        table = staged(_summed(self._met(rows, work, "place int, vec array<double>"), "place", columns), "image")
+        out = _block(table, columns, columns)
+        drop(table.sparkSession, STAGED[-1:])
+        sent.destroy()
+        return out
+
+    def mapped(self, matrix: np.ndarray) -> DataFrame:
+        """(term, vec, n) with every row times a small matrix."""
+        _, rows = self.shared()
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in (p for batch in batches for p in _pieces(batch)):
+                n = _lengths(part.column("near")) + part.column("n_far").to_numpy()
+                made = [part.column("term"), _vectors(rows(part) @ matrix), pa.array(n.astype(np.int64))]
+                yield pa.RecordBatch.from_arrays(made, names=["term", "vec", "n"])
+
+        every = self.alone.unionByName(self.linked).select("term", "near", "vec", F.size("far").alias("n_far"))
+        return every.mapInArrow(run, "term string, vec array<double>, n long")
+
+
+def _numbered(rows: pa.Table) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Pieces of rows, as by :func:`_pieces`, and the number of the first row of each."""
+    at = 0
+    for part in (p for batch in rows.to_batches() for p in _pieces(batch)):
+        yield at, part
+        at += len(part)
+
+
+def _hot_product(lists: DataFrame, hot: np.ndarray) -> np.ndarray:
+    """What the hot terms give to each other: the matrix of their entries times ``hot``. No row is moved but to the driver."""
+    sent = lists.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = batch.column(1).flatten().to_numpy().reshape(-1, wide) @ matrix
-            yield pa.RecordBatch.from_arrays([batch.column(0), _vectors(made)], names=["term", "vec"])
+        for part in (p for batch in batches for p in _pieces(batch)):
+            yield _keyed("place", part.column("place"), _near_sums(part, sent.value))
 
-    return rows.select("term", "vec").mapInArrow(run, "term string, vec array<double>")
+    made = lists.where("is_hot").select("place", "near").mapInArrow(run, "place int, vec array<double>")
+    out = _block(made, *hot.shape)
+    sent.destroy()
+    return out
 
 
-def _orthonormal(rows: DataFrame, columns: int) -> np.ndarray:
-    """The matrix that makes the rows' columns orthonormal; columns without length become 0."""
-    values, axes = np.linalg.eigh(_gram(rows, "vec", "vec", columns))
+def _orthonormal(gram: np.ndarray) -> np.ndarray:
+    """The matrix that makes columns with this Gram matrix orthonormal; columns without length become 0."""
+    values, axes = np.linalg.eigh(gram)
     good = values > max(values[-1], 0.0) * 1e-12
     return axes * np.where(good, 1 / np.sqrt(np.where(good, values, 1.0)), 0.0)
 
@@ -317,34 +457,55 @@ def fit_token_vectors(weights: DataFrame, dim: int = 64, hot: int = HOT) -> Data
     The vectors times each other give about the matrix: they are its ``dim`` leading
     eigenvectors by size, each times the root of its eigenvalue's size. ``n`` is the number
     of entries of a term. ``weights`` is read twice: pass a written table. It is written
-    once as a list of neighbours for each term, which is read ``PASSES + 2`` times.
+    once as a list of neighbours for each term, which is read in each of ``PASSES + 2`` products.
+
+    The driver and each task hold the rows of the ``hot`` terms. Rows of other terms are neither
+    moved nor written: a task makes them from the lists. Sums of what terms that aren't hot
+    give to each other are moved, a row for each entry.
     """
     spark, columns = weights.sparkSession, dim + OVERSAMPLE
-    sizes, places, lists = neighbours(weights, hot)
-    before = len(STAGED)
-    rows = sizes.select("term", signs(F.col("term"), columns).alias("vec"))
-    rows = staged(_times(lists, places, rows, np.eye(columns)), "range")
-    for _ in range(PASSES):
-        rows = staged(_times(lists, places, rows, _orthonormal(rows, columns)), "range")
-        release(spark, since=before, last=1)
-    turn = _orthonormal(rows, columns)
-    image = _times(lists, places, rows, turn).withColumnRenamed("vec", "image")
-    small = turn.T @ _gram(rows.join(image, "term"), "vec", "image", columns)
+    _, places, lists = neighbours(weights, hot)
+    size = places.count()
+    rest, block, turn = _Rest(lists, columns), _block(places.select("place", signs(F.col("term"), columns).alias("vec")), size, columns), np.eye(columns)
+    for product in range(PASSES + 2):
+        given, gram = rest.to_hot(size)
+        if product:
+            turn = _orthonormal(gram + block.T @ block)
+        if product <= PASSES:
+            rest.move((block @ turn, turn))
+            block = _hot_product(lists, block @ turn) + given @ turn
+    # What the hot terms get from the others is the transpose of what these get from them.
+    small = block.T @ (_hot_product(lists, block) + given) + given.T @ block + rest.image()
+    small = turn.T @ small @ turn
     values, axes = np.linalg.eigh((small + small.T) / 2)
     first = np.argsort(-np.abs(values))[:dim]
     axes, values = axes[:, first], values[first]
     # An eigenvector's sign is free: the largest entry of each is made positive.
     axes = axes * np.sign(axes[np.abs(axes).argmax(axis=0), np.arange(len(first))])
-    return _mapped(rows, turn @ (axes * np.sqrt(np.abs(values)))).join(sizes, "term")
+    last = turn @ (axes * np.sqrt(np.abs(values)))
+    sent = spark.sparkContext.broadcast(block @ last)
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = _vectors(sent.value[batch.column("place").to_numpy()])
+            yield pa.RecordBatch.from_arrays([batch.column("term"), made, batch.column("n")], names=["term", "vec", "n"])
+
+    return places.select("place", "term", "n").mapInArrow(named, "term string, vec array<double>, n long").union(rest.mapped(last))
 
 
 def token_vectors(docs: DataFrame, vectors: DataFrame, mode: str = "unicode") -> DataFrame:
     """(doc_id, sent, pos, token, vec) of every token, from vectors (term, vec, n).
 
-    Rows of the terms with the most entries stay where they are, their vectors are sent
+    Rows of the ``HOT`` terms with the most entries stay where they are, their vectors are sent
     to them; others meet by a shuffle. A token without vector has null.
     """
     rows = token_rows(docs, mode)
-    known = vectors.select(F.col("term").alias("token"), F.col("vec").cast("array<float>").alias("vec"), "n")
-    joined = join_frequent_first(rows, known, "token", "n")
-    return joined.select("doc_id", "sent", "pos", "token", "vec")
+    known = vectors.select(F.col("term").alias("token"), F.col("vec").cast("array<float>").alias("vec"))
+    # Names only are sorted and counted out; the vectors follow them.
+    most = vectors.where(F.octet_length("term") <= MAX_HOT_KEY_BYTES).select("term", "n").orderBy(F.desc("n"), "term").limit(HOT)
+    hot = F.broadcast(most.select(F.col("term").alias("token")).distinct())
+    sent = F.broadcast(known.join(hot, "token", "left_semi").withColumn("_sent", F.lit(True)))
+    columns = ["doc_id", "sent", "pos", "token", "vec"]
+    met = rows.join(sent, "token", "left")
+    others = known.join(hot, "token", "left_anti")
+    return met.where("_sent").select(*columns).union(met.where("_sent IS NULL").drop("vec").join(others, "token", "left").select(*columns))

@@ -8,7 +8,7 @@ from sahaf.operators.pooling import mean_pool
 from sahaf.operators.token_vectors import WINDOW, cooccurrence, fit_token_vectors, in_both_orders, pair_counts, ppmi, token_vectors
 from sahaf.plans.registry import query
 from sahaf.plans.texts import SENTENCES, documents, words_sql
-from sahaf.session import staged
+from sahaf.session import STAGED, release, staged
 
 DIM = 64
 
@@ -42,8 +42,13 @@ def ppmi_weights(spark, folder):
 
 
 def fitted(spark, folder):
+    """Vectors (term, vec, n) of all words; only they stay on the disks."""
+    before = len(STAGED)
     weights = staged(ppmi(counted(spark, folder)), "ppmi")
-    return staged(fit_token_vectors(weights, DIM), "token-model")
+    release(spark, since=before, last=1)
+    model = staged(fit_token_vectors(weights, DIM).withColumn("vec", F.col("vec").cast("array<float>")), "token-model")
+    release(spark, since=before, last=1)
+    return model
 
 
 @query("token_vectors")

@@ -163,3 +163,56 @@ def test_pairs_are_weighed_once_whatever_is_combined_or_sent(spark, monkeypatch)
         assert {(r.term, r.context): r.n for r in counts.collect()} == want
         got = V.ppmi(counts, 6).collect()
         assert len(got) == len(weights) and {(r.term, r.context): r.weight for r in got} == pytest.approx(weights, abs=2e-6)
+
+
+@pytest.mark.parametrize("hot", [1, 9, 40])
+def test_rows_of_terms_that_are_not_hot_are_neither_moved_nor_written(spark, monkeypatch, hot):
+    """A hub meets every term and few others meet: the same vectors as from whole matrices, and few rows written."""
+    rng, terms, dim = np.random.default_rng(5), 40, 4
+    m = np.zeros((terms, terms))
+    m[0, 1:] = m[1:, 0] = rng.random(terms - 1) + 0.5
+    for i, j in [(3, 4), (4, 4), (7, 30), (11, 12), (2, 30)]:
+        m[i, j] = m[j, i] = rng.random() + 0.5
+    rows = [(f"t{i}", f"t{j}", float(m[i, j])) for i in range(terms) for j in range(terms) if m[i, j]]
+    weights = staged(spark.createDataFrame(rows, "term string, context string, weight double"), "matrix")
+    monkeypatch.setattr(V, "ROWS", 3)
+    monkeypatch.setattr(V, "CELLS", 7)
+    kept, written = V.staged, []
+
+    def counted(df, name, **options):
+        out = kept(df, name, **options)
+        if name not in ("given", "image") and "vec" in df.columns:
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(V, "staged", counted)
+    got = {r.term: r for r in V.fit_token_vectors(weights, dim, hot).collect()}
+    far = {"t3", "t4", "t7", "t30", "t11", "t12", "t2"}
+    hottest = {r.term for r in V.neighbours(weights, hot)[1].collect()}
+    assert written and max(written) <= len(far - hottest)
+    assert {t: r.n for t, r in got.items()} == {f"t{i}": int((m[i] > 0).sum()) for i in range(terms)}
+    names = spark.createDataFrame([(f"t{i}",) for i in range(terms)], "t string")
+    columns = dim + V.OVERSAMPLE
+    sign = {r.t: r.x for r in names.select("t", V.signs(F.col("t"), columns).alias("x")).collect()}
+    x = m @ np.array([sign[f"t{i}"] for i in range(terms)])
+    for _ in range(V.PASSES):
+        x = m @ x @ V._orthonormal(x.T @ x)
+    turn = V._orthonormal(x.T @ x)
+    small = turn.T @ x.T @ m @ x @ turn
+    values, axes = np.linalg.eigh((small + small.T) / 2)
+    first = np.argsort(-np.abs(values))[:dim]
+    want = x @ turn @ (axes[:, first] * np.sqrt(np.abs(values[first])))
+    found = np.array([got[f"t{i}"].vec for i in range(terms)])
+    assert np.allclose(found @ found.T, want @ want.T, atol=1e-7)
+
+
+def test_pooling_moves_rows_of_rare_tokens_only(spark, monkeypatch):
+    texts = ["common words here", "words common rare", "here common"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = spark.createDataFrame([("common", [1.0, 2.0], 9), ("words", [3.0, 0.0], 8), ("here", [0.0, 1.0], 7), ("rare", [5.0, 5.0], 1), ("x" * 300, [1.0, 1.0], 99)], "term string, vec array<double>, n long")
+    for hot in (0, 3, 1000):
+        monkeypatch.setattr(V, "HOT", hot)
+        rows = V.token_vectors(docs, model)
+        assert f"limit={hot}," in rows._jdf.queryExecution().executedPlan().toString() or not hot
+        got = {r.doc_id: r.vec for r in mean_pool(rows, ["doc_id"]).collect()}
+        assert got == {0: pytest.approx([4 / 3, 1.0]), 1: pytest.approx([3.0, 7 / 3]), 2: pytest.approx([0.5, 1.5])}
