@@ -63,5 +63,5 @@ def vectors_of_tokens(spark, folder):
 def pooled(spark, folder):
     """Mean vector of each document's tokens."""
     rows = token_vectors(documents(spark, folder).select("doc_id", "text"), fitted(spark, folder))
-    out = mean_pool(rows.where("vec IS NOT NULL"), ["doc_id"])
+    out = mean_pool(rows.where("vec IS NOT NULL"), ["doc_id"], many=True)
     return out.select("doc_id", F.size("vec").alias("dim"), F.round(F.get("vec", F.lit(0)), 4).alias("first"))

@@ -1,10 +1,11 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sahaf.functions import vectors as V
-from sahaf.operators.pooling import mean_pool
+from sahaf.operators.pooling import _batch_means, mean_pool
 
 
 def one(spark, column, **values):
@@ -49,3 +50,19 @@ def test_dense_from_entries(spark):
     assert got[1] == [0, 5, 0, 0, 7, 0]
     assert got[2] == [0] * 6
     assert got[3] == [1, 0, 0, 0, 0, 2]
+
+
+@pytest.mark.parametrize("kind", ["float", "int", "double"])
+def test_many_keys_are_combined_in_batches_first(spark, kind):
+    rng = np.random.default_rng(4)
+    rows = [(int(k) if k else None, {"s": int(k) % 2}, rng.integers(0, 9, 3).tolist()) for k in rng.integers(0, 400, 3000)]
+    df = spark.createDataFrame(rows, f"k long, half map<string, int>, vec array<int>").selectExpr("k", "half['s'] AS _n_", f"CAST(vec AS array<{kind}>) AS vec")
+    df = df.withColumn("s", F.struct("_n_"))
+    for keys in (["k"], ["_n_", "k"], ["s"]):
+        want = {tuple(r[:-1]): r.vec for r in mean_pool(df, keys).collect()}
+        got = {tuple(r[:-1]): pytest.approx(r.vec) for r in mean_pool(df, keys, many=True).collect()}
+        assert want == got
+    partial = _batch_means(df.orderBy("k").coalesce(1), ["k"], "vec")
+    assert partial.count() <= 401 and partial.selectExpr("sum(_n)").first()[0] == 3000
+    odd = spark.createDataFrame([(1, [1.0]), (2, [1.0, 2.0]), (1, [3.0])], "k long, vec array<float>").coalesce(1)
+    assert {r.k: r.vec for r in mean_pool(odd, ["k"], many=True).collect()} == {1: [2.0], 2: [1.0, 2.0]}
