@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sahaf.operators.nearest import best_hits
-from sahaf.operators.terms import TermModel, _entries, term_counts, weigh, weigh_queries
+from sahaf.operators.terms import SENT_TERMS, TermModel, _entries, term_counts, weigh, weigh_queries
 from sahaf.session import staged
 from sahaf.sources import versions
 
@@ -56,7 +56,7 @@ def publish(spark: SparkSession, folder: str) -> int:
     if not segments:
         raise FileNotFoundError(f"no segment in {folder}")
     counts = spark.read.parquet(*[f"{folder}/segments/{s}/counts" for s in segments])
-    if len(segments) > 1:  # a document may come in parts
+    if _in_parts(counts, segments):
         counts = staged(counts.groupBy("doc_id", "term").agg(F.sum("tf").alias("tf")), "counts")
     n = spark.read.parquet(*[f"{folder}/segments/{s}/size" for s in segments]).agg(F.sum("n")).first()[0]
     name = uuid.uuid4().hex
@@ -66,14 +66,17 @@ def publish(spark: SparkSession, folder: str) -> int:
     terms.sortWithinPartitions("term").write.parquet(f"{place}/terms")
     model = TermModel(spark.read.parquet(f"{place}/terms"), F.lit(n))
 
-    entries = staged(_entries(weigh(counts, model), "doc_id", F.lit(True)), "entries")
-    shards = max(1, -(-entries.count() // SHARD_DOCS))
-    # About SHARD_DOCS documents in each window, dealt by hash.
+    weighed = weigh(counts, model, SENT_TERMS)
+    ids = staged(weighed.where("weight > 0").select("doc_id").distinct(), "ids")
+    shards = max(1, -(-ids.count() // SHARD_DOCS))
+    # About SHARD_DOCS documents in each window, dealt by hash. The counts of a shard move once, to the task that
+    # gathers and numbers its documents and makes its blocks; with four partitions a shard few tasks get two.
     inside = Window.partitionBy("shard").orderBy("doc_id")
-    dealt = entries.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int"))
-    numbers = staged(dealt.select("shard", "doc_id").withColumn("no", F.row_number().over(inside) - 1), "numbers")
-    numbers.repartition("shard").sortWithinPartitions("shard", "no").write.parquet(f"{place}/documents")
-    postings = dealt.drop("shard").join(numbers, "doc_id").select("shard", "no", F.inline("entries"))
+    shard, number = F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"), (F.row_number().over(inside) - 1).alias("no")
+    named = ids.select(shard, "doc_id").repartition("shard").select("shard", "doc_id", number)
+    named.sortWithinPartitions("shard", "no").write.parquet(f"{place}/documents")
+    entries = _entries(weighed.select(shard, "doc_id", "term", "weight").repartition(4 * shards, "shard"), ["shard", "doc_id"], F.lit(True))
+    postings = entries.select("shard", number, "entries").select("shard", "no", F.inline("entries"))
     lists = postings.groupBy("shard", "term").agg(F.sort_array(F.collect_list(F.struct("no", "weight"))).alias("p"))
     starts = F.sequence(F.lit(1), F.size("p"), F.lit(BLOCK))
     blocks = lists.select("shard", "term", F.explode(F.transform(starts, lambda i: F.slice("p", i, BLOCK))).alias("b"))
@@ -81,10 +84,19 @@ def publish(spark: SparkSession, folder: str) -> int:
         "shard", "term", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)).cast("int").alias("bucket"),
         F.col("b")[0]["no"].alias("first"), F.array_max("b.weight").alias("top"), F.col("b.no").alias("nos"), F.col("b.weight").alias("shares"),
     )
-    blocks.repartition("bucket", "shard").sortWithinPartitions("bucket", "term", "shard", "first").write.partitionBy("bucket").parquet(f"{place}/blocks")
+    blocks.sortWithinPartitions("bucket", "term", "shard", "first").write.partitionBy("bucket").parquet(f"{place}/blocks")
     return versions.commit(spark, folder, base, {"name": name, "documents": n, "shards": shards, "segments": segments})
 
 
+def _in_parts(counts: DataFrame, segments: list[str]) -> bool:
+    """Whether a document came in several segments, so that its counts have to be added up."""
+    if len(segments) < 2:
+        return False
+    name = F.regexp_extract(F.col("_metadata.file_path"), "/segments/([^/]+)/counts/", 1)
+    held = counts.select("doc_id", F.array_position(F.array(*map(F.lit, segments)), name).alias("s"))
+    return not held.groupBy("doc_id").agg(F.min("s").alias("a"), F.max("s").alias("b")).where("a != b").isEmpty()
+
+
 class Shard:
     """The blocks of some terms in one shard, and their maxima over stretches of documents."""
 

@@ -121,3 +121,31 @@ def test_tokenising_happens_once(spark, docs, asked, tmp_path, monkeypatch):
     index.index_search(spark, folder, asked, 3).count()
     assert len(seen) == 1, "only the queries are tokenised"
     assert spark.read.parquet(f"{folder}/index/*/terms").where(F.col("df") < 1).count() == 0
+
+
+def test_publishing_moves_counts_once(spark, docs, asked, tmp_path, monkeypatch):
+    """Neither segments of different documents are merged, nor postings moved; documents in parts are merged."""
+    writes, staged = [], []
+    writer, kept = type(docs.write), (type(docs.write).parquet, index.staged)
+
+    def parquet(self, path, *args, **more):
+        if path.endswith("/blocks"):
+            writes.append(self._df._jdf.queryExecution().optimizedPlan().toString())
+        return kept[0](self, path, *args, **more)
+
+    monkeypatch.setattr(writer, "parquet", parquet)
+    monkeypatch.setattr(index, "staged", lambda df, name: staged.append(name) or kept[1](df, name))
+    apart, parts = str(tmp_path / "a"), str(tmp_path / "p")
+    for part in (docs.where("doc_id < 300"), docs.where("doc_id >= 300")):
+        index.add_segment(part, apart)
+    index.publish(spark, apart)
+    assert staged == ["ids"] and len(writes) == 1
+    last = writes[0][: writes[0].index("Union")]
+    assert last.count("RepartitionByExpression") == 1 and "bucket" in last
+    for text in (F.substring_index("text", " ", 5), F.substring_index("text", " ", -7)):  # twelve words
+        index.add_segment(docs.where("doc_id < 700").withColumn("text", text), parts)
+    index.publish(spark, parts)
+    assert staged == ["ids", "counts", "ids"]
+    df = spark.read.parquet(f"{parts}/index/*/terms").select("term", "df")
+    want = index.term_counts(docs.where("doc_id < 700")).groupBy("term").count()
+    assert {tuple(r) for r in df.collect()} == {tuple(r) for r in want.collect()}
