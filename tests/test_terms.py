@@ -299,3 +299,9 @@ def test_keyword_tokens_follow_the_text_in_partitions(docs, monkeypatch):
     size = sum(len(t) for _, t in TEXTS.values())
     assert keywords.keyword_tokens(docs).rdd.getNumPartitions() == -(-size // 8)
     assert sorted(map(tuple, extract_keywords(docs, threshold=1e9).collect())) == few
+
+
+def test_graph_summaries_move_to_their_terms_only_places_of_rare_ones(spark):
+    docs = spark.createDataFrame([(1, "A red cat. A dog."), (2, "A blue cat.")], "doc_id long, text string")
+    plan = sentence_entries(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "limit=65536," in plan and "limit=1024," not in plan
